@@ -79,12 +79,13 @@ def gps_landing(spark: SparkSession, sf_dir: str) -> str:
 
 
 def gps_landing_misnamed(spark: SparkSession, sf_dir: str) -> str:
-    """The same, but the first hour of each day is filed under a name without an instant."""
+    """The same, but on odd days the first hour is filed under a name without an instant."""
 
     def write(root: str) -> None:
         rows = _gps_rows(spark, sf_dir)
         named = F.date_format("snapshot_ts", SNAPSHOT_NAME)
-        name = F.when(F.hour("snapshot_ts") == 0, "gps_latest.csv").otherwise(named)
+        nameless = (F.hour("snapshot_ts") == 0) & (F.day("snapshot_ts") % 2 == 1)
+        name = F.when(nameless, "gps_latest.csv").otherwise(named)
         _write_snapshots(rows, root, name)
 
     return _once(spark, sf_dir, "gps-landing-misnamed", write)
@@ -199,7 +200,8 @@ def archive_landing(spark: SparkSession, sf_dir: str) -> str:
                     members.setdefault(member.as_py(), [header.as_py()]).append(line.as_py())
                 for member, text in sorted(members.items()):
                     archive.writestr(member, "\n".join(text) + "\n")
-            files, base = pafs.FileSystem.from_uri(root)
+            # Arrow knows Spark's s3a scheme as s3
+            files, base = pafs.FileSystem.from_uri(root.replace("s3a://", "s3://"))
             folder = f"{base}/extract_source=gtfs/extract_date={day}"
             files.create_dir(folder, recursive=True)
             with files.open_output_stream(f"{folder}/gtfs_{stamp}.zip") as out:

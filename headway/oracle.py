@@ -74,6 +74,9 @@ _STD = """
     nullif(heading_deg, 999) AS heading_deg
 """
 
+# snapshots the misnamed landing area files without an instant
+_NAMELESS = "(hour(snapshot_ts) = 0 AND day(snapshot_ts) % 2 = 1)"
+
 # positions as the analytical queries take them
 _POSITIONS = (
     "positions AS (SELECT snapshot_ts AS extract_ts, vehicle_id, fleet_number, line_number, "
@@ -128,6 +131,17 @@ _BACKFILL = """
     FROM calendar AS c LEFT JOIN counted AS k ON c.day = k.day
 """
 
+_ISOLATION = _with(
+    ["gps_raw"],
+    f"""
+    SELECT CAST(day AS VARCHAR) AS date, n AS rows, bad AS bad_rows,
+           CASE WHEN bad > 0 THEN 'failed' ELSE 'written' END AS status
+    FROM (SELECT CAST(snapshot_ts AS DATE) AS day, count(*) AS n,
+                 count(*) FILTER (WHERE {_NAMELESS}) AS bad
+          FROM gps_raw GROUP BY 1) AS profile
+    """,
+)
+
 _UPSERT = f"""
     SELECT 'vehicle-' || CAST(user_id AS VARCHAR) AS source,
            CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS extract_date,
@@ -437,7 +451,7 @@ ORACLES: dict[str, str] = {
     ),
     "std_gps_lenient": _with(
         ["gps_raw"],
-        f"SELECT {_STD}, CASE WHEN hour(snapshot_ts) > 0 THEN {_TS.format('snapshot_ts')} END "
+        f"SELECT {_STD}, CASE WHEN NOT {_NAMELESS} THEN {_TS.format('snapshot_ts')} END "
         "AS extract_ts, CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw",
     ),
     **{f"std_{name}": _std_gtfs(name) for name in GTFS_TABLES},
@@ -452,8 +466,20 @@ ORACLES: dict[str, str] = {
         ["gtfs_trips"], "SELECT trip_id, route_id, service_id, trip_headsign FROM gtfs_trips"
     ),
     "backfill_range": _BACKFILL,
+    "backfill_isolation": _ISOLATION,
+    "rejected_rows": _with(
+        ["gps_raw"],
+        f"SELECT {_RAW_TEXT}, CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date "
+        f"FROM gps_raw WHERE {_NAMELESS}",
+    ),
     "upsert_control": _UPSERT,
     "resolve_extract_date": _RESOLVE,
+    "scan_resolved_date": _with(
+        ["gps_raw"],
+        f"SELECT {_STD}, {_TS.format('snapshot_ts')} AS extract_ts, "
+        "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw "
+        "WHERE CAST(snapshot_ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)",
+    ),
     "local_time_window": _WINDOW,
     "scheduled_trips": _SCHEDULED,
     "travel_duration": _TRAVEL,

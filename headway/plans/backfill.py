@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,12 +79,58 @@ def asked_dates(
     return [day or date.today()]
 
 
+def _spec(model: str) -> Model:
+    if model not in MODELS:
+        raise ValueError(f"unknown model {model!r}, know {sorted(MODELS)}")
+    return MODELS[model]
+
+
 def _status_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(
         rows, "model string, date date, rows bigint, bad_rows bigint, status string"
     ).orderBy("model", "date")
 
 
+def rejected_rows(
+    spark: SparkSession, model: str, root: str, dates: list[date] | None = None
+) -> DataFrame:
+    """The raw rows that keep their dates from being standardized."""
+    spec = _spec(model)
+    return spec.read(spark, root, dates).filter(spec.bad())
+
+
+def _profile(
+    spark: SparkSession, spec: Model, root: str, dates: list[date]
+) -> dict[date, tuple[int, int]]:
+    """(rows, unreadable rows) of each date; one result row per asked date."""
+    per_date = (
+        spec.read(spark, root, dates)
+        .groupBy(F.col("extract_date").cast("date").alias("day"))
+        .agg(F.count("*").alias("rows"), F.count_if(spec.bad()).alias("bad_rows"))
+    )
+    return {r.day: (r.rows, r.bad_rows) for r in per_date.collect()}
+
+
+def _write(spark: SparkSession, spec: Model, root: str, path: str, dates: list[date]) -> None:
+    rows = spec.standardize(spec.read(spark, root, dates))
+    write_dates(rows.withColumnRenamed("extract_date", spec.key), path, spec.key, overwrite=True)
+
+
+def _written_rows(
+    spark: SparkSession, spec: Model, path: str, dates: list[date]
+) -> dict[date, tuple[int, int]]:
+    """(rows, 0) of each date just written, from the file footers."""
+    if not written_dates(spark, path, spec.key):
+        return {}
+    counted = (
+        spark.read.parquet(path)
+        .filter(F.col(spec.key).isin(dates))
+        .groupBy(F.col(spec.key).cast("date").alias("day"))
+        .agg(F.count("*").alias("rows"))
+    )
+    return {r.day: (r.rows, 0) for r in counted.collect()}
+
+
 def backfill(
     spark: SparkSession,
     model: str,
@@ -94,15 +141,13 @@ def backfill(
 ) -> DataFrame:
     """Standardize dates of one model and report on each of them.
 
-    All dates go through two jobs, not one each: a profile that counts rows and
-    unreadable rows per date, and the write of the dates without any. A date
-    with unreadable rows fails as a whole and leaves the others alone.
+    All dates go through one strict job that reads the raw files once and commits
+    as a whole. Only if it fails are rows profiled per date, and the dates
+    without unreadable rows written: a bad date fails alone.
 
     Statuses: written; skipped, as it exists already; empty; failed.
     """
-    if model not in MODELS:
-        raise ValueError(f"unknown model {model!r}, know {sorted(MODELS)}")
-    spec = MODELS[model]
+    spec = _spec(model)
     path = f"{target}/{model}"
     landed = {
         row.extract_date
@@ -111,27 +156,26 @@ def backfill(
     asked = sorted(landed) if dates is None else dates
     existing = set() if overwrite else set(written_dates(spark, path, spec.key))
     todo = [d for d in asked if d in landed and d not in existing]
-    profile = {}
+    counts: dict[date, tuple[int, int]] = {}
     if todo:
-        raw = spec.read(spark, root, todo)
-        per_date = raw.groupBy(F.col("extract_date").cast("date").alias("date")).agg(
-            F.count("*").alias("rows"), F.count_if(spec.bad()).alias("bad_rows")
-        )
-        # one row per asked date
-        profile = {r["date"]: (r["rows"], r["bad_rows"]) for r in per_date.collect()}
-        clean = [d for d, (_, bad) in profile.items() if bad == 0]
-        if clean:
-            rows = spec.standardize(spec.read(spark, root, sorted(clean)))
-            keyed = rows.withColumnRenamed("extract_date", spec.key)
-            write_dates(keyed, path, spec.key, overwrite=True)
+        try:
+            _write(spark, spec, root, path, todo)
+            counts = _written_rows(spark, spec, path, todo)
+        except PySparkException:
+            counts = _profile(spark, spec, root, todo)
+            clean = sorted(d for d, (_, bad) in counts.items() if not bad)
+            if len(clean) == len(counts):
+                raise  # the rows are fine, so something else went wrong
+            if clean:
+                _write(spark, spec, root, path, clean)
     report = []
     for d in asked:
         if d in existing:
             report.append((model, d, None, None, "skipped"))
-        elif d not in profile:
-            report.append((model, d, 0, 0, spec.no_input if d not in landed else "empty"))
+        elif d not in counts:
+            report.append((model, d, 0, 0, "empty" if d in landed else spec.no_input))
         else:
-            rows, bad = profile[d]
+            rows, bad = counts[d]
             report.append((model, d, rows, bad, "failed" if bad else "written"))
     return _status_frame(spark, report)
 

@@ -19,6 +19,7 @@ from headway.functions.casting import LENIENT, typed
 from headway.functions.clock import in_local_window
 from headway.operators.control import (
     read_control,
+    resolve_date,
     resolve_dates,
     upsert_control,
     write_control,
@@ -26,7 +27,7 @@ from headway.operators.control import (
 from headway.operators.sinks import create_schemas, replace_table, write_dates
 from headway.operators.standardize import standardize_gps, standardize_gtfs
 from headway.operators.union import union_snapshots
-from headway.plans.backfill import backfill, dates_between
+from headway.plans.backfill import backfill, dates_between, rejected_rows
 from headway.plans.distances import distances_to_targets, stop_distances, with_grid
 from headway.plans.migrate import (
     apply_shift,
@@ -273,6 +274,28 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def backfill_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates with a misnamed snapshot fail, the others are written."""
+    root, out = landing.gps_landing_misnamed(spark, sf_dir), shared_folder(spark, "isolation")
+    return shown(backfill(spark, "gps_positions", root, out).drop("model"))
+
+
+def rejected_snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = landing.gps_landing_misnamed(spark, sf_dir)
+    return rejected_rows(spark, "gps_positions", root).select(*GPS_RAW_COLUMNS, "extract_date")
+
+
+def scan_resolved_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of the date the control table names: here the last one landed."""
+    params = (
+        table(spark, sf_dir, "events")
+        .agg(F.max(F.to_date("ts")).alias("extract_date"))
+        .select(F.lit("gps").alias("source"), "extract_date", F.lit(True).alias("active"))
+    )
+    root = landing.gps_landing(spark, sf_dir)
+    return shown(standardize_gps(read_gps(spark, root, [resolve_date(params, "gps")])))
+
+
 def _vehicle_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "user_id",
@@ -473,8 +496,11 @@ QUERIES: dict[str, Query] = {
     "write_overwrite": write_overwrite,
     "replace_table": table_replaced,
     "backfill_range": backfill_range,
+    "backfill_isolation": backfill_isolation,
+    "rejected_rows": rejected_snapshot_rows,
     "upsert_control": upsert_control_rows,
     "resolve_extract_date": resolve_extract_date,
+    "scan_resolved_date": scan_resolved_date,
     "local_time_window": local_time_window,
     "scheduled_trips": trips_scheduled,
     "travel_duration": travel_duration,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.casting import LENIENT
@@ -50,8 +49,3 @@ def start_gps_stream(
     )
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
-
-
-def compact_stream_output(spark: SparkSession, target: str) -> DataFrame:
-    """The table as written so far, ready for `write_dates` into fewer, sorted files."""
-    return spark.read.parquet(target).withColumn("date", F.col("date").cast("date"))
