@@ -10,7 +10,7 @@ from headway.functions.geo import (
     planar_metres,
     project_lest97,
     sphere_metres,
-    with_spheroid_metres,
+    spheroid_metres,
 )
 from headway.operators.sizing import join_measured
 
@@ -48,11 +48,9 @@ def with_distances(df: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFra
         )
     if "sphere" in methods:
         columns["sphere_m"] = sphere_metres(*ends)
-    if columns:
-        df = df.withColumns(columns)
     if "spheroid" in methods:
-        df = with_spheroid_metres(df, "spheroid_m", "lat", "lon", "stop_lat", "stop_lon")
-    return df
+        columns["spheroid_m"] = spheroid_metres(*ends)
+    return df.withColumns(columns)
 
 
 def stop_distances(
