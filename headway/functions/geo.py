@@ -54,8 +54,9 @@ def sphere_metres(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Col
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * (
         half_lon * half_lon
     )
-    # rounding can lift opposite points above one
-    return F.lit(2 * SPHERE_RADIUS) * F.asin(F.least(F.lit(1.0), F.sqrt(chord)))
+    # rounding can lift opposite points above one; `least` would turn null into one
+    bounded = F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)
+    return F.lit(2 * SPHERE_RADIUS) * F.asin(F.sqrt(bounded))
 
 
 # ---- projected --------------------------------------------------------------

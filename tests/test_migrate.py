@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from conftest import put
+from headway.operators.sinks import write_dates
+from headway.plans.migrate import (
+    file_records,
+    plan_rename,
+    plan_shift,
+    rename_partition_key,
+    shift_counts,
+)
+
+
+def planned(spark, records, **how):
+    df = spark.createDataFrame(records, "source string, extract_date string, file_name string")
+    return {
+        (r.source, r.extract_date, r.file_name): (r.action, r.new_date, r.new_name)
+        for r in plan_shift(df, **how).collect()
+    }
+
+
+def test_shift_over_midnight_and_skips(spark):
+    found = planned(
+        spark,
+        [
+            ("gps", "2024-03-01", "gps_20240301_013000.csv"),
+            ("gps", "2024-03-01", "notes.txt"),
+            ("gps", "2024-03-01", "gps_20241399_013000.csv"),
+            ("gps", "2024-03-01", "gps_20240301_120000_20240301_130000.csv"),
+        ],
+    )
+    assert list(found.values()).count(("skip", None, None)) == 2
+    assert found["gps", "2024-03-01", "gps_20240301_013000.csv"] == (
+        "move", "2024-02-29", "gps_20240229_223000.csv",
+    )
+    # only the first instant of a name is moved
+    assert found["gps", "2024-03-01", "gps_20240301_120000_20240301_130000.csv"] == (
+        "move", "2024-03-01", "gps_20240301_090000_20240301_130000.csv",
+    )
+
+
+def test_zone_follows_clock_changes(spark):
+    found = planned(
+        spark,
+        [("gps", "2024-01-05", "gps_20240105_120000.csv"),
+         ("gps", "2024-07-05", "gps_20240705_120000.csv")],
+        zone="Europe/Tallinn",
+    )
+    assert sorted(name for _, _, name in found.values()) == [
+        "gps_20240105_100000.csv", "gps_20240705_090000.csv",
+    ]
+
+
+def test_kept_file_owns_its_name(spark):
+    records = [("gps", "2024-01-02", "gps_20240102_120000.csv"),
+               ("gps", "2024-01-01", "gps_20240102_120000.csv")]
+    found = planned(spark, records, hours=0)
+    assert found[records[0]] == ("keep", "2024-01-02", "gps_20240102_120000.csv")
+    assert found[records[1]] == ("move", "2024-01-02", "gps_20240102_120000-1.csv")
+
+
+def expected_plan(records, hours):
+    """First claims, then the smallest free number, one file after the other."""
+    claims = {}
+    for source, day, name in records:
+        stem, _, tail = name.partition("_")
+        moved = datetime.strptime(tail[:15], "%Y%m%d_%H%M%S") - timedelta(hours=hours)
+        place = (source, f"{moved:%Y-%m-%d}", f"{stem}_{moved:%Y%m%d_%H%M%S}{tail[15:]}")
+        keep = place[1] == day and place[2] == name
+        claims.setdefault(place, []).append((not keep, day, name))
+    used = set(claims)
+    plan = {}
+    for place, files in claims.items():
+        for i, (moves, day, name) in enumerate(sorted(files)):
+            new = place
+            if i:
+                base, dot, kind = place[2].rpartition(".")
+                k = 1
+                while (place[0], place[1], f"{base}-{k}{dot}{kind}") in used:
+                    k += 1
+                new = (place[0], place[1], f"{base}-{k}{dot}{kind}")
+                used.add(new)
+            plan[place[0], day, name] = ("move" if moves else "keep", new[1], new[2])
+    return plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_names_against_a_loop(spark, seed):
+    """Many files per name, one name in a third of all records, suffixes with gaps."""
+    rng = random.Random(seed)
+    days = [f"2024-01-{d:02d}" for d in range(1, 29)]
+    records = {("gps", day, "gps_20240110_120000.csv") for day in days}
+    for _ in range(60):
+        suffix = rng.choice(["", "", "-1", "-2", "-3", "-5", "-12", "-1-1"])
+        hour = rng.choice([0, 2, 12])
+        records.add((rng.choice(["gps", "gtfs"]), rng.choice(days),
+                     f"gps_20240110_{hour:02d}0000{suffix}.csv"))
+    records = sorted(records)
+    for hours in (0, 3):
+        found = planned(spark, records, hours=hours)
+        assert found == expected_plan(records, hours)
+        targets = [(key[0], new[1], new[2]) for key, new in found.items()]
+        assert len(set(targets)) == len(targets) == len(records)
+
+
+def test_records_and_counts(spark, tmp_path):
+    for name in ("gps_20240301_013000.csv", "notes.txt"):
+        put(tmp_path / "extract_source=gps/extract_date=2024-03-01" / name, "x")
+    records = file_records(spark, str(tmp_path))
+    row = shift_counts(plan_shift(records)).first()
+    assert (row.total, row.changed) == (2, 1)
+
+
+def test_rename_partition_key(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    rows = spark.createDataFrame(
+        [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")], "n int, date string"
+    )
+    write_dates(rows, old, sort_by=None)
+    plan = sorted((r.old_folder, r.new_folder) for r in plan_rename(spark, old).collect())
+    assert plan == [("date=2024-01-01", "extract_date=2024-01-01"),
+                    ("date=2024-01-02", "extract_date=2024-01-02")]
+    rename_partition_key(spark, old, new)
+    found = spark.read.parquet(new).collect()
+    assert sorted((r.n, str(r.extract_date)) for r in found) == [
+        (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02"),
+    ]
+    with pytest.raises(ValueError, match="no partition key"):
+        rename_partition_key(spark, new, old)
