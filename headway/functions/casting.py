@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from headway.schemas import GTFS_DATE_FORMAT, STAMP_FORMAT
+from headway.schemas import GTFS_DATE_FORMAT
 
 STRICT = "strict"
 LENIENT = "lenient"
@@ -37,10 +37,22 @@ def unreadable(column: Column, kind: str) -> Column:
 
 
 def stamp_to_instant(stamp: Column, mode: str = STRICT) -> Column:
-    """`YYYYMMDD_HHMMSS` in UTC to an instant, whatever the session's time zone."""
+    """`YYYYMMDD_HHMMSS` in UTC to an instant, whatever the session's time zone.
+
+    The stamp is cut at fixed places: every row of a file carries it, and a
+    pattern-based parser would cost more than the rest of the row.
+    """
     check_mode(mode)
-    with_zone = F.concat(stamp, F.lit("+0000"))
-    layout = STAMP_FORMAT + "xx"
-    if mode == STRICT:
-        return F.to_timestamp(with_zone, layout)
-    return F.try_to_timestamp(with_zone, F.lit(layout))
+    well_formed = (F.length(stamp) == 15) & (F.substring(stamp, 9, 1) == "_")
+    places = ((1, 4), (5, 2), (7, 2), (10, 2), (12, 2), (14, 2))
+    pieces = [F.substring(stamp, start, size) for start, size in places]
+    joints = ["", "-", "-", " ", ":", ":"]
+    text = F.concat(*[part for pair in zip(map(F.lit, joints), pieces) for part in pair])
+    # without a zone until the end, so that the session's zone has no part in it
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", epoch, text.try_cast("timestamp_ntz"))
+    instant = F.when(well_formed, F.timestamp_seconds(seconds))
+    if mode == LENIENT:
+        return instant
+    shown = F.coalesce(stamp, F.lit("nothing"))
+    return F.coalesce(instant, F.raise_error(F.concat(F.lit("not an instant: "), shown)))

@@ -9,8 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.casting import LENIENT, STRICT, stamp_to_instant, typed, unreadable
-from headway.schemas import GTFS_TABLES, HEADING_UNKNOWN, MICRO_DEGREES
-from headway.sources.landing import SNAPSHOT_PATTERN
+from headway.schemas import (
+    GTFS_TABLES,
+    HEADING_UNKNOWN,
+    MICRO_DEGREES,
+    SNAPSHOT_PREFIX,
+    SNAPSHOT_SUFFIX,
+)
 
 GPS_NUMBERS = {
     "transport_type": "int",
@@ -21,9 +26,15 @@ GPS_NUMBERS = {
 }
 
 
-def snapshot_stamp() -> Column:
-    """The `YYYYMMDD_HHMMSS` part of the snapshot's file name, '' if it has none."""
-    return F.regexp_extract("snapshot_file", SNAPSHOT_PATTERN, 1)
+def with_stamp(raw: DataFrame) -> DataFrame:
+    """Add `_stamp`, the `YYYYMMDD_HHMMSS` of `gps_<stamp>.csv` in the path, else null.
+
+    Columns of their own, as text inside a larger expression is cut anew at every use.
+    """
+    tail = F.substring_index("snapshot_file", SNAPSHOT_PREFIX, -1)
+    named = F.substring("_tail", 16, len(SNAPSHOT_SUFFIX)) == SNAPSHOT_SUFFIX
+    stamp = F.when(named, F.substring("_tail", 1, 15))
+    return raw.withColumn("_tail", tail).withColumn("_stamp", stamp).drop("_tail")
 
 
 def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
@@ -36,7 +47,7 @@ def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
     def number(name: str) -> Column:
         return typed(F.col(name), GPS_NUMBERS[name], mode)
 
-    return raw.select(
+    return with_stamp(raw).select(
         number("transport_type").alias("transport_type"),
         "line_number",
         number("speed_kmh").alias("speed_kmh"),
@@ -47,16 +58,17 @@ def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
         (number("latitude_raw") / F.lit(MICRO_DEGREES)).alias("lat"),
         (number("longitude_raw") / F.lit(MICRO_DEGREES)).alias("lon"),
         F.nullif(number("heading_deg"), F.lit(HEADING_UNKNOWN)).alias("heading_deg"),
-        stamp_to_instant(snapshot_stamp(), mode).alias("extract_ts"),
+        stamp_to_instant(F.col("_stamp"), mode).alias("extract_ts"),
         F.current_timestamp().alias("updated_ts"),
         F.col("extract_date").cast("date").alias("extract_date"),
     )
 
 
-def bad_gps_row() -> Column:
-    """True for a raw row that strict standardization would fail on."""
+def bad_gps_rows(raw: DataFrame) -> DataFrame:
+    """Raw rows with `bad`: would strict standardization fail on this one?"""
     checks = [unreadable(F.col(name), kind) for name, kind in GPS_NUMBERS.items()]
-    return reduce(or_, checks, stamp_to_instant(snapshot_stamp(), LENIENT).isNull())
+    checks.append(stamp_to_instant(F.col("_stamp"), LENIENT).isNull())
+    return with_stamp(raw).withColumn("bad", reduce(or_, checks)).drop("_stamp")
 
 
 def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFrame:
@@ -73,7 +85,7 @@ def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFram
     )
 
 
-def bad_gtfs_row(table: str) -> Column:
-    """True for a raw row that strict standardization would fail on."""
+def bad_gtfs_rows(raw: DataFrame, table: str) -> DataFrame:
+    """Raw rows with `bad`: would strict standardization fail on this one?"""
     checks = [unreadable(F.col(name), kind) for name, kind in GTFS_TABLES[table].items()]
-    return reduce(or_, checks)
+    return raw.withColumn("bad", reduce(or_, checks))

@@ -7,14 +7,14 @@ from datetime import date, timedelta
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.casting import STRICT
 from headway.operators.sinks import write_dates, written_dates
 from headway.operators.standardize import (
-    bad_gps_row,
-    bad_gtfs_row,
+    bad_gps_rows,
+    bad_gtfs_rows,
     standardize_gps,
     standardize_gtfs,
 )
@@ -27,7 +27,7 @@ class Model(NamedTuple):
 
     source: str
     read: Callable[..., DataFrame]
-    bad: Callable[[], Column]
+    flag: Callable[[DataFrame], DataFrame]
     standardize: Callable[[DataFrame], DataFrame]
     no_input: str  # status of a date without raw files
     key: str = "date"  # partition key of the output
@@ -37,7 +37,7 @@ def _gtfs_model(table: str) -> Model:
     return Model(
         "gtfs",
         lambda spark, root, dates: read_gtfs(spark, root, table, dates),
-        lambda: bad_gtfs_row(table),
+        lambda raw: bad_gtfs_rows(raw, table),
         lambda raw: standardize_gtfs(raw, table, STRICT),
         "failed",
         # calendar_dates has a column "date" of its own
@@ -47,7 +47,7 @@ def _gtfs_model(table: str) -> Model:
 
 MODELS = {
     "gps_positions": Model(
-        "gps", read_gps, bad_gps_row, lambda raw: standardize_gps(raw, STRICT), "empty"
+        "gps", read_gps, bad_gps_rows, lambda raw: standardize_gps(raw, STRICT), "empty"
     ),
     **{table: _gtfs_model(table) for table in GTFS_TABLES},
 }
@@ -96,7 +96,7 @@ def rejected_rows(
 ) -> DataFrame:
     """The raw rows that keep their dates from being standardized."""
     spec = _spec(model)
-    return spec.read(spark, root, dates).filter(spec.bad())
+    return spec.flag(spec.read(spark, root, dates)).filter("bad").drop("bad")
 
 
 def _profile(
@@ -104,9 +104,9 @@ def _profile(
 ) -> dict[date, tuple[int, int]]:
     """(rows, unreadable rows) of each date; one result row per asked date."""
     per_date = (
-        spec.read(spark, root, dates)
+        spec.flag(spec.read(spark, root, dates))
         .groupBy(F.col("extract_date").cast("date").alias("day"))
-        .agg(F.count("*").alias("rows"), F.count_if(spec.bad()).alias("bad_rows"))
+        .agg(F.count("*").alias("rows"), F.count_if("bad").alias("bad_rows"))
     )
     return {r.day: (r.rows, r.bad_rows) for r in per_date.collect()}
 

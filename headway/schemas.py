@@ -22,6 +22,10 @@ HEADING_UNKNOWN = 999
 # Fixed value: the feed sends coordinates as degrees times one million.
 MICRO_DEGREES = 1e6
 
+# Snapshot files are named gps_YYYYMMDD_HHMMSS.csv.
+SNAPSHOT_PREFIX = "gps_"
+SNAPSHOT_SUFFIX = ".csv"
+
 # Fixed value: how instants are written in file and directory names.
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
 

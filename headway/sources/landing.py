@@ -23,10 +23,6 @@ MAX_PARTITIONS = 40_000
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
-# Fixed value: snapshot file names.
-SNAPSHOT_PATTERN = r"(?:^|[/=])gps_(\d{8}_\d{6})\.csv"
-
-
 def iso(day: date | str) -> str:
     return day if isinstance(day, str) else day.isoformat()
 
