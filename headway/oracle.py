@@ -473,6 +473,9 @@ ORACLES: dict[str, str] = {
         f"FROM gps_raw WHERE {_NAMELESS}",
     ),
     "upsert_control": _UPSERT,
+    "control_defaults": "SELECT 'vehicle-' || CAST(user_id AS VARCHAR) AS source, "
+    "CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS extract_date, true AS active, "
+    "CAST(NULL AS VARCHAR) AS comment, 1 AS stamped FROM events GROUP BY user_id",
     "resolve_extract_date": _RESOLVE,
     "scan_resolved_date": _with(
         ["gps_raw"],

@@ -7,6 +7,7 @@ every engine prints them alike; load times are left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -18,6 +19,7 @@ from headway.fixtures.adapter import table, view
 from headway.functions.casting import LENIENT, typed
 from headway.functions.clock import in_local_window
 from headway.operators.control import (
+    create_control_table,
     read_control,
     resolve_date,
     resolve_dates,
@@ -245,7 +247,8 @@ def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     # names of their own: the session's catalog may hold real tables
-    names = [f"headway_check_{name}" for name in ("standardized", "intermediate", "config")]
+    run = uuid.uuid4().hex
+    names = [f"headway_check_{name}_{run}" for name in ("standardized", "intermediate", "config")]
     create_schemas(spark, names, shared_folder(spark, "databases"))
     target = f"{names[0]}.gtfs_trips"
     rows = standardize_gtfs(
@@ -327,6 +330,19 @@ def upsert_control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(read_control(spark, path))
 
 
+def control_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows inserted with key and date only take the table's defaults."""
+    database = f"headway_check_{uuid.uuid4().hex}"
+    create_schemas(spark, [database], shared_folder(spark, "control-database"))
+    name = f"{database}.source_params"
+    create_control_table(spark, name)
+    rows = _vehicle_dates(spark, sf_dir).groupBy("source").agg(F.max("day").alias("day"))
+    spark.sql(f"INSERT INTO {name} (source, extract_date) SELECT * FROM {{rows}}", rows=rows)
+    stored = spark.table(name)
+    stamped = F.col("updated_ts").isNotNull().cast("int").alias("stamped")
+    return shown(stored.select("source", "extract_date", "active", "comment", stamped))
+
+
 def resolve_extract_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _vehicle_dates(spark, sf_dir)
     asked = rows.select("source").distinct()
@@ -499,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "backfill_isolation": backfill_isolation,
     "rejected_rows": rejected_snapshot_rows,
     "upsert_control": upsert_control_rows,
+    "control_defaults": control_defaults,
     "resolve_extract_date": resolve_extract_date,
     "scan_resolved_date": scan_resolved_date,
     "local_time_window": local_time_window,

@@ -72,7 +72,9 @@ def read_archive_table(
     """A schedule table straight from its archives, all columns text.
 
     Decompression and parsing stream through Arrow batches, so an archive's
-    unpacked size does not have to fit in memory. `absent` says what to do about
+    unpacked size does not have to fit in memory; packed it may take up to 2 GB,
+    the largest value of a column. Tasks share out archives: a compressed member
+    cannot be entered in the middle. `absent` says what to do about
     an archive without the member: "error" or "skip".
     """
     if absent not in ("error", "skip"):
