@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.landing import files_or_none
+from headway.sources.landing import files_or_none, folder_value
 
 
 def create_control_table(spark: SparkSession, name: str) -> None:
@@ -70,10 +70,10 @@ def upsert_control(current: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def _versions(spark: SparkSession, path: str) -> int:
-    files = files_or_none(spark, path, [path], "*.parquet")
-    if files is None or "version" not in files.columns:
+    files = files_or_none(spark, [path], "*.parquet")
+    if files is None:
         return 0
-    return files.select(F.max(F.col("version").cast("int"))).first()[0] or 0
+    return files.select(F.max(folder_value("version").cast("int"))).first()[0] or 0
 
 
 def write_control(df: DataFrame, path: str) -> int:

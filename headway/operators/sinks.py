@@ -7,15 +7,17 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.landing import MAX_PARTITIONS, files_or_none
+from headway.sources.landing import MAX_PARTITIONS, files_or_none, folder_value
 
 
 def written_dates(spark: SparkSession, path: str, key: str = "date") -> list[date]:
     """Dates that have files below `path`, from a file listing alone."""
-    files = files_or_none(spark, path, [path], "*.parquet")
-    if files is None or key not in files.columns:
+    files = files_or_none(spark, [path], "*.parquet")
+    if files is None:
         return []
-    rows = files.select(F.col(key).cast("date").alias("d")).distinct().take(MAX_PARTITIONS + 1)
+    # try_cast: undated rows lie in a folder that is no date
+    rows = files.select(folder_value(key).try_cast("date").alias("d")).distinct()
+    rows = rows.take(MAX_PARTITIONS + 1)
     if len(rows) > MAX_PARTITIONS:
         raise ValueError(f"more than {MAX_PARTITIONS} dates below {path}")
     return sorted(row.d for row in rows if row.d is not None)

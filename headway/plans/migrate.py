@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headway.functions.clock import zone_or_utc
 from headway.operators.sinks import write_dates
 from headway.schemas import STAMP_FORMAT
-from headway.sources.landing import list_files
+from headway.sources.landing import folder_value, list_files
 
 RECORD = ["source", "extract_date", "file_name"]
 
@@ -19,9 +19,9 @@ STAMPED = r"^(.*?)_(\d{8}_\d{6})"
 def file_records(spark: SparkSession, root: str, source: str = "*") -> DataFrame:
     """One (source, extract_date, file_name) row per landed file."""
     paths = [f"{root}/extract_source={source}/extract_date=*"]
-    return list_files(spark, root, paths).select(
-        F.regexp_extract("path", r"extract_source=([^/]+)", 1).alias("source"),
-        F.regexp_extract("path", r"extract_date=([^/]+)", 1).alias("extract_date"),
+    return list_files(spark, paths).select(
+        folder_value("extract_source").alias("source"),
+        folder_value("extract_date").alias("extract_date"),
         F.regexp_extract("path", r"extract_date=[^/]+/(?:[^/=]+=)?([^/]+)", 1).alias("file_name"),
     ).distinct()
 
@@ -188,7 +188,7 @@ def plan_rename(
     """Old and new folder names with file counts, from a listing alone."""
     folder = F.regexp_extract("path", f"/({old}=[^/]+)/", 1)
     return (
-        list_files(spark, path, [path], "*.parquet")
+        list_files(spark, [path], "*.parquet")
         .groupBy(folder.alias("old_folder"))
         .agg(F.count("*").alias("files"))
         .withColumn("new_folder", F.regexp_replace("old_folder", f"^{old}=", f"{new}="))

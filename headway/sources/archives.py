@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import GTFS_TABLES, gtfs_member
-from headway.sources.landing import MAX_PARTITIONS, date_glob, files_or_none, list_files
+from headway.sources.landing import (
+    MAX_PARTITIONS,
+    date_glob,
+    files_or_none,
+    folder_value,
+    list_files,
+)
 
 LINES_PER_BATCH = 20_000
 BLOCK_BYTES = 4 << 20
@@ -28,9 +34,9 @@ def list_archives(
     spark: SparkSession, root: str, dates: list | None = None
 ) -> DataFrame:
     """One row per archive: path, extract_date, extract_ts."""
-    return list_files(spark, root, date_glob(root, "gtfs", dates), "*.zip").select(
+    return list_files(spark, date_glob(root, "gtfs", dates), "*.zip").select(
         "path",
-        F.col("extract_date").cast("string").alias("extract_date"),
+        folder_value("extract_date").alias("extract_date"),
         F.regexp_extract("path", ARCHIVE_PATTERN, 1).alias("extract_ts"),
     )
 
@@ -167,13 +173,11 @@ def unpack_archives(
     archive stops the run; `archive_status` names it.
     """
     archives = list_archives(spark, root, dates)
-    done = files_or_none(
-        spark, out, [f"{out}/extract_source=gtfs/extract_date=*/extract_ts=*/member=*"]
-    )
+    done = files_or_none(spark, [f"{out}/extract_source=gtfs/extract_date=*/extract_ts=*"])
     if done is not None:
         done = done.select(
-            F.col("extract_date").cast("string").alias("extract_date"),
-            F.col("extract_ts").cast("string").alias("extract_ts"),
+            folder_value("extract_date").alias("extract_date"),
+            folder_value("extract_ts").alias("extract_ts"),
         ).distinct()
         archives = archives.join(done, ["extract_date", "extract_ts"], "left_anti")
     paths = _paths(archives)

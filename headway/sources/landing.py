@@ -10,9 +10,10 @@ named `<key>=<file name>`.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES, gtfs_member
@@ -41,23 +42,31 @@ def date_glob(root: str, source: str, dates: list[date | str] | None = None) ->
     return [f"{base}/extract_date={iso(day)}" for day in dates]
 
 
-def list_files(spark: SparkSession, root: str, paths: list[str], like: str = "*") -> DataFrame:
-    """One row per file: path, size and partition columns. No file is read."""
+def list_files(spark: SparkSession, paths: list[str], like: str = "*") -> DataFrame:
+    """One row per file: its path, size and time. No file is opened.
+
+    Folder keys are taken from the path with `folder_value`, so that files at
+    different depths, such as archives beside unpacked extracts, can be listed
+    together.
+    """
     return (
         spark.read.format("binaryFile")
-        .option("basePath", root)
+        .option("recursiveFileLookup", True)
         .option("pathGlobFilter", like)
         .load(paths)
         .drop("content")
     )
 
 
-def files_or_none(
-    spark: SparkSession, root: str, paths: list[str], like: str = "*"
-) -> DataFrame | None:
+def folder_value(key: str) -> Column:
+    """The value of `key=value` in a listed path, '' if there is none."""
+    return F.regexp_extract("path", f"/{key}=([^/]+)/", 1)
+
+
+def files_or_none(spark: SparkSession, paths: list[str], like: str = "*") -> DataFrame | None:
     """`list_files`, or None where nothing has been written yet."""
     try:
-        files = list_files(spark, root, paths, like)
+        files = list_files(spark, paths, like)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -67,11 +76,11 @@ def files_or_none(
 
 def discover_dates(spark: SparkSession, root: str, source: str) -> DataFrame:
     """Dates with landed files, oldest first."""
-    found = files_or_none(spark, root, date_glob(root, source))
+    found = files_or_none(spark, date_glob(root, source))
     if found is None:
         return spark.createDataFrame([], "extract_date date")
     return (
-        found.select(F.col("extract_date").cast("date").alias("extract_date"))
+        found.select(folder_value("extract_date").cast("date").alias("extract_date"))
         .distinct()
         .orderBy("extract_date")
     )
@@ -108,34 +117,35 @@ def with_snapshot_file(rows: DataFrame) -> DataFrame:
 # ---- schedule extracts ------------------------------------------------------
 
 
-def extract_glob(
-    root: str, table: str, dates: list[date | str] | None = None
-) -> list[str]:
-    """Extract folders only: an interrupted unpack leaves stray folders beside them."""
+def list_extracts(
+    spark: SparkSession, root: str, table: str, dates: list[date | str] | None = None
+) -> DataFrame:
+    """Extracts holding the table: (extract_date, extract_ts, parts), text.
+
+    `parts` tells a folder that Spark wrote from a plain file, which wins if
+    there are both. Only `extract_ts=` folders are looked at: an interrupted
+    unpack leaves stray ones beside them.
+    """
     member = gtfs_member(table)
-    return [
+    paths = [
         f"{folder}/extract_ts=*/{{{member},member={member}}}"
         for folder in date_glob(root, "gtfs", dates)
     ]
-
-
-def list_extracts(
-    spark: SparkSession, root: str, table: str, dates: list[date | str] | None = None
-) -> DataFrame:
-    """Extracts holding the table: (extract_date, extract_ts), text."""
     return (
-        list_files(spark, root, extract_glob(root, table, dates))
-        .select(
-            F.col("extract_date").cast("string").alias("extract_date"),
-            F.col("extract_ts").cast("string").alias("extract_ts"),
+        list_files(spark, paths)
+        .groupBy(
+            folder_value("extract_date").alias("extract_date"),
+            folder_value("extract_ts").alias("extract_ts"),
         )
-        .distinct()
+        .agg(F.min(folder_value("member") != "").alias("parts"))
     )
 
 
 def latest_extracts(extracts: DataFrame) -> DataFrame:
     """Newest extract of each date."""
-    return extracts.groupBy("extract_date").agg(F.max("extract_ts").alias("extract_ts"))
+    return extracts.groupBy("extract_date").agg(
+        F.max_by("parts", "extract_ts").alias("parts"), F.max("extract_ts").alias("extract_ts")
+    )
 
 
 def read_gtfs(
@@ -157,27 +167,37 @@ def read_gtfs(
         raise ValueError(f"unknown table {table!r}")
     if extracts not in ("latest", "all"):
         raise ValueError(f"extracts must be 'latest' or 'all', not {extracts!r}")
-    paths = extract_glob(root, table, dates)
+    chosen = list_extracts(spark, root, table, dates)
     if extracts == "latest":
-        # one pair per date: partition names, not data
-        newest = latest_extracts(list_extracts(spark, root, table, dates)).take(MAX_PARTITIONS + 1)
-        if len(newest) > MAX_PARTITIONS:
-            raise ValueError(f"more than {MAX_PARTITIONS} dates in one read")
-        member = gtfs_member(table)
-        paths = [
-            f"{root}/extract_source=gtfs/extract_date={day}/extract_ts={stamp}/"
-            f"{{{member},member={member}}}"
-            for day, stamp in sorted(newest)
-        ]
-    rows = (
+        chosen = latest_extracts(chosen)
+    # folder names of the extracts to read, not data
+    names = chosen.select("extract_date", "extract_ts", "parts").take(MAX_PARTITIONS + 1)
+    if len(names) > MAX_PARTITIONS:
+        raise ValueError(f"more than {MAX_PARTITIONS} extracts in one read")
+    if not names:
+        raise FileNotFoundError(f"no {gtfs_member(table)} below {root} for the dates asked for")
+    reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("inferSchema", False)
         .option("multiLine", multiline)
         .options(**CSV_OPTIONS)
         .option("basePath", root)
-        .csv(paths)
     )
+    frames = []
+    for folder in ("", "member="):
+        paths = [
+            f"{root}/extract_source=gtfs/extract_date={day}/extract_ts={stamp}/"
+            f"{folder}{gtfs_member(table)}"
+            for day, stamp, parts in sorted(names)
+            if parts == bool(folder)
+        ]
+        if paths:
+            frames.append(_schedule_columns(reader.csv(paths), table))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _schedule_columns(rows: DataFrame, table: str) -> DataFrame:
     missing = [c for c in GTFS_TABLES[table] if c not in rows.columns]
     if missing:
         raise ValueError(f"{gtfs_member(table)} lacks {', '.join(missing)}")

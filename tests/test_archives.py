@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import io
 import zipfile
+from datetime import date
 
 import pytest
 
 from conftest import put
+from headway.plans.backfill import backfill
 from headway.session import shared_folder
 from headway.sources.archives import archive_status, read_archive_table, unpack_archives
-from headway.sources.landing import read_gtfs
+from headway.sources.landing import discover_dates, read_gtfs
 
 HEAD = "exception_type,service_id,date,note\n"
 
@@ -89,3 +91,24 @@ def test_unpack_then_read(spark, root):
     ]
     agency = spark.read.text(f"{out}/extract_source=gtfs/*/*/member=agency.txt")
     assert [r.value for r in agency.collect()] == ["agency_id", "7"]
+
+
+def test_unpack_beside_the_archives(spark, root):
+    """Archives, unpacked extracts and a plain extract folder share the landing area."""
+    put(
+        root / "extract_source=gtfs/extract_date=2026-08-21/extract_ts=20260821_041500"
+        "/calendar_dates.txt",
+        "service_id,date,exception_type\nplain,20260104,1\n",
+    )
+    where = str(root)
+    assert unpack_archives(spark, where, where) == 3
+    assert unpack_archives(spark, where, where) == 0
+    dates = [str(r[0]) for r in discover_dates(spark, where, "gtfs").collect()]
+    assert dates == ["2026-08-17", "2026-08-18", "2026-08-21"]
+    rows = read_gtfs(spark, where, "gtfs_calendar_dates", multiline=True).collect()
+    assert sorted(r.service_id for r in rows if r.service_id) == [
+        "a, b", "next", "plain", "two\nlines",
+    ]
+    report = backfill(spark, "gtfs_calendar_dates", where, shared_folder(spark, "beside"),
+                      [date(2026, 8, 18), date(2026, 8, 21), date(2026, 8, 22)])
+    assert [r.status for r in report.collect()] == ["written", "written", "failed"]

@@ -128,6 +128,27 @@ def test_write_dates(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(out).collect()) == [1, 2]
 
 
+def test_a_hot_date_is_split_over_files(spark, tmp_path):
+    """A third of all rows on one date: several tasks write it, one writes each other date."""
+    out = str(tmp_path / "t")
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)
+    rows = spark.range(0, 300_000, 1, 8).select(
+        "id", F.date_add(F.lit("2024-01-01").cast("date"), hot.cast("int")).alias("date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        write_dates(rows, out, sort_by=None)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = {p.name[5:]: len(list(p.glob("*.parquet"))) for p in tmp_path.glob("t/date=*")}
+    assert files.pop("2024-01-01") > 3
+    assert max(files.values()) <= 3
+    assert spark.read.parquet(out).count() == 300_000
+
+
 def test_replace_table(spark):
     create_schemas(spark, ["headway_test"], shared_folder(spark, "db"))
     create_schemas(spark, ["headway_test"])
