@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,19 @@ from headway.operators.standardize import (
     standardize_gtfs,
 )
 from headway.schemas import GTFS_TABLES
-from headway.sources.landing import MAX_PARTITIONS, discover_dates, read_gps, read_gtfs
+from headway.sources.landing import (
+    MAX_PARTITIONS,
+    discover_dates,
+    list_extracts,
+    read_gps,
+    read_gtfs,
+)
 
 
 class Model(NamedTuple):
     """How one standardized table is made; the functions take and give DataFrames."""
 
-    source: str
+    landed: Callable[[SparkSession, str], DataFrame]  # dates with input, as extract_date
     read: Callable[..., DataFrame]
     flag: Callable[[DataFrame], DataFrame]
     standardize: Callable[[DataFrame], DataFrame]
@@ -35,7 +42,10 @@ class Model(NamedTuple):
 
 def _gtfs_model(table: str) -> Model:
     return Model(
-        "gtfs",
+        # a date whose archive was not unpacked, or lacks the table, has no input
+        lambda spark, root: list_extracts(spark, root, table).select(
+            F.col("extract_date").cast("date").alias("extract_date")
+        ),
         lambda spark, root, dates: read_gtfs(spark, root, table, dates),
         lambda raw: bad_gtfs_rows(raw, table),
         lambda raw: standardize_gtfs(raw, table, STRICT),
@@ -47,12 +57,21 @@ def _gtfs_model(table: str) -> Model:
 
 MODELS = {
     "gps_positions": Model(
-        "gps", read_gps, bad_gps_rows, lambda raw: standardize_gps(raw, STRICT), "empty"
+        lambda spark, root: discover_dates(spark, root, "gps"),
+        read_gps,
+        bad_gps_rows,
+        lambda raw: standardize_gps(raw, STRICT),
+        "empty",
     ),
     **{table: _gtfs_model(table) for table in GTFS_TABLES},
 }
 
 
+# what a date's own files can bring about: bad rows, missing or other columns; the
+# CSV reader's complaint about a header is not translated into a PySpark error
+FAULTS = (PySparkException, Py4JJavaError, ValueError)
+
+
 def dates_between(first: date, last: date) -> list[date]:
     """Every date from first to last; a reversed range is an error."""
     days = (last - first).days
@@ -99,9 +118,10 @@ def rejected_rows(
     return spec.flag(spec.read(spark, root, dates)).filter("bad").drop("bad")
 
 
-def _profile(
-    spark: SparkSession, spec: Model, root: str, dates: list[date]
-) -> dict[date, tuple[int, int]]:
+Counts = dict[date, tuple[int | None, int | None]]
+
+
+def _profile(spark: SparkSession, spec: Model, root: str, dates: list[date]) -> Counts:
     """(rows, unreadable rows) of each date; one result row per asked date."""
     per_date = (
         spec.flag(spec.read(spark, root, dates))
@@ -111,6 +131,17 @@ def _profile(
     return {r.day: (r.rows, r.bad_rows) for r in per_date.collect()}
 
 
+def _profile_apart(spark: SparkSession, spec: Model, root: str, dates: list[date]) -> Counts:
+    """The same for dates that cannot be read together; None for an unreadable date."""
+    counts: Counts = {}
+    for d in dates:
+        try:
+            counts |= _profile(spark, spec, root, [d])
+        except FAULTS:
+            counts[d] = (None, None)
+    return counts
+
+
 def _write(spark: SparkSession, spec: Model, root: str, path: str, dates: list[date]) -> None:
     rows = spec.standardize(spec.read(spark, root, dates))
     write_dates(rows.withColumnRenamed("extract_date", spec.key), path, spec.key, overwrite=True)
@@ -118,7 +149,7 @@ def _write(spark: SparkSession, spec: Model, root: str, path: str, dates: list[d
 
 def _written_rows(
     spark: SparkSession, spec: Model, path: str, dates: list[date]
-) -> dict[date, tuple[int, int]]:
+) -> Counts:
     """(rows, 0) of each date just written, from the file footers."""
     if not written_dates(spark, path, spec.key):
         return {}
@@ -151,23 +182,28 @@ def backfill(
     path = f"{target}/{model}"
     landed = {
         row.extract_date
-        for row in discover_dates(spark, root, spec.source).take(MAX_PARTITIONS + 1)
+        for row in spec.landed(spark, root).distinct().take(MAX_PARTITIONS + 1)
     }
     asked = sorted(landed) if dates is None else dates
     existing = set() if overwrite else set(written_dates(spark, path, spec.key))
     todo = [d for d in asked if d in landed and d not in existing]
-    counts: dict[date, tuple[int, int]] = {}
+    counts: Counts = {}
     if todo:
         try:
             _write(spark, spec, root, path, todo)
             counts = _written_rows(spark, spec, path, todo)
-        except PySparkException:
-            counts = _profile(spark, spec, root, todo)
-            clean = sorted(d for d, (_, bad) in counts.items() if not bad)
-            if len(clean) == len(counts):
+        except FAULTS:
+            apart = False
+            try:
+                counts = _profile(spark, spec, root, todo)
+            except FAULTS:  # files of other columns: every date on its own
+                counts, apart = _profile_apart(spark, spec, root, todo), True
+            clean = sorted(d for d, (_, bad) in counts.items() if bad == 0)
+            if not apart and len(clean) == len(counts):
                 raise  # the rows are fine, so something else went wrong
-            if clean:
-                _write(spark, spec, root, path, clean)
+            for batch in [[d] for d in clean] if apart else [clean]:
+                if batch:
+                    _write(spark, spec, root, path, batch)
     report = []
     for d in asked:
         if d in existing:
@@ -176,7 +212,7 @@ def backfill(
             report.append((model, d, 0, 0, "empty" if d in landed else spec.no_input))
         else:
             rows, bad = counts[d]
-            report.append((model, d, rows, bad, "failed" if bad else "written"))
+            report.append((model, d, rows, bad, "written" if bad == 0 else "failed"))
     return _status_frame(spark, report)
 
 

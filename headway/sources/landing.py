@@ -131,9 +131,11 @@ def list_extracts(
         f"{folder}/extract_ts=*/{{{member},member={member}}}"
         for folder in date_glob(root, "gtfs", dates)
     ]
+    files = files_or_none(spark, paths)
+    if files is None:
+        return spark.createDataFrame([], "extract_date string, extract_ts string, parts boolean")
     return (
-        list_files(spark, paths)
-        .groupBy(
+        files.groupBy(
             folder_value("extract_date").alias("extract_date"),
             folder_value("extract_ts").alias("extract_ts"),
         )

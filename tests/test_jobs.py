@@ -109,6 +109,30 @@ def test_schedule_date_without_extract_fails(spark, tmp_path):
     assert (str(stored.date), str(stored.extract_date)) == ("2026-02-24", "2026-08-17")
 
 
+def test_dates_with_other_columns_are_read_apart(spark, tmp_path):
+    root = tmp_path / "raw"
+    texts = {
+        "17": "service_id,date,exception_type\ns,20260224,2\n",
+        "18": "date,service_id,exception_type\n20260225,s,1\n",
+        "19": "date,service_id\n20260226,s\n",
+    }
+    for day, text in texts.items():
+        put(
+            root / f"extract_source=gtfs/extract_date=2026-08-{day}"
+            f"/extract_ts=202608{day}_041500/calendar_dates.txt",
+            text,
+        )
+    put(root / "extract_source=gtfs/extract_date=2026-08-20/gtfs_20260820_041500.zip", b"packed")
+    asked = dates_between(date(2026, 8, 17), date(2026, 8, 20))
+    out = str(tmp_path / "std")
+    report = backfill(spark, "gtfs_calendar_dates", str(root), out, asked)
+    assert [r.status for r in report.collect()] == ["written", "written", "failed", "failed"]
+    rows = spark.read.parquet(f"{out}/gtfs_calendar_dates").collect()
+    assert sorted((r.service_id, str(r.date)) for r in rows) == [
+        ("s", "2026-02-24"), ("s", "2026-02-25"),
+    ]
+
+
 # ---- sinks ------------------------------------------------------------------
 
 
