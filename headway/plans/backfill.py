@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ from headway.sources.landing import (
 class Model(NamedTuple):
     """How one standardized table is made; the functions take and give DataFrames."""
 
-    landed: Callable[[SparkSession, str], DataFrame]  # dates with input, as extract_date
+    landed: Callable[..., DataFrame]  # those of the asked dates with input, as extract_date
     read: Callable[..., DataFrame]
     flag: Callable[[DataFrame], DataFrame]
     standardize: Callable[[DataFrame], DataFrame]
@@ -43,7 +43,7 @@ class Model(NamedTuple):
 def _gtfs_model(table: str) -> Model:
     return Model(
         # a date whose archive was not unpacked, or lacks the table, has no input
-        lambda spark, root: list_extracts(spark, root, table).select(
+        lambda spark, root, dates: list_extracts(spark, root, table, dates).select(
             F.col("extract_date").cast("date").alias("extract_date")
         ),
         lambda spark, root, dates: read_gtfs(spark, root, table, dates),
@@ -57,7 +57,7 @@ def _gtfs_model(table: str) -> Model:
 
 MODELS = {
     "gps_positions": Model(
-        lambda spark, root: discover_dates(spark, root, "gps"),
+        lambda spark, root, dates: discover_dates(spark, root, "gps", dates),
         read_gps,
         bad_gps_rows,
         lambda raw: standardize_gps(raw, STRICT),
@@ -151,11 +151,12 @@ def _written_rows(
     spark: SparkSession, spec: Model, path: str, dates: list[date]
 ) -> Counts:
     """(rows, 0) of each date just written, from the file footers."""
-    if not written_dates(spark, path, spec.key):
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:  # nothing was written
         return {}
     counted = (
-        spark.read.parquet(path)
-        .filter(F.col(spec.key).isin(dates))
+        table.filter(F.col(spec.key).isin(dates))
         .groupBy(F.col(spec.key).cast("date").alias("day"))
         .agg(F.count("*").alias("rows"))
     )
@@ -182,7 +183,7 @@ def backfill(
     path = f"{target}/{model}"
     landed = {
         row.extract_date
-        for row in spec.landed(spark, root).distinct().take(MAX_PARTITIONS + 1)
+        for row in spec.landed(spark, root, dates).distinct().take(MAX_PARTITIONS + 1)
     }
     asked = sorted(landed) if dates is None else dates
     existing = set() if overwrite else set(written_dates(spark, path, spec.key))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from headway.schemas import GTFS_TABLES, gtfs_member
 from headway.sources.landing import (
     MAX_PARTITIONS,
+    check_dates,
     date_glob,
     files_or_none,
     folder_value,
@@ -34,7 +35,7 @@ def list_archives(
     spark: SparkSession, root: str, dates: list | None = None
 ) -> DataFrame:
     """One row per archive: path, extract_date, extract_ts."""
-    return list_files(spark, date_glob(root, "gtfs", dates), "*.zip").select(
+    return list_files(spark, [date_glob(root, "gtfs", dates)], "*.zip").select(
         "path",
         folder_value("extract_date").alias("extract_date"),
         F.regexp_extract("path", ARCHIVE_PATTERN, 1).alias("extract_ts"),
@@ -59,12 +60,12 @@ def newest_archives(archives: DataFrame) -> DataFrame:
     )
 
 
-def _paths(archives: DataFrame) -> list[str]:
-    """Archive paths for a scan: names only, and a bounded number of them."""
-    rows = archives.select("path").take(MAX_PARTITIONS + 1)
+def _paths(archives: DataFrame) -> dict[str, str]:
+    """Archive paths for a scan, with their dates: a bounded number of names."""
+    rows = archives.select("path", "extract_date").take(MAX_PARTITIONS + 1)
     if len(rows) > MAX_PARTITIONS:
         raise ValueError(f"more than {MAX_PARTITIONS} archives in one read")
-    return sorted(row.path for row in rows)
+    return dict(sorted((row.path, row.extract_date) for row in rows))
 
 
 def read_archive_table(
@@ -89,8 +90,7 @@ def read_archive_table(
     if extracts == "latest":
         archives = newest_archives(archives)
     paths = _paths(archives)
-    if not paths:
-        raise FileNotFoundError(f"no archive below {root} for the dates asked for")
+    check_dates(dates, set(paths.values()), "archive")
     columns = list(GTFS_TABLES[table])
     member = gtfs_member(table)
     schema = ", ".join(["path string", *(f"`{c}` string" for c in columns)])
@@ -121,7 +121,7 @@ def read_archive_table(
                             [where, *part.columns], ["path", *columns]
                         )
 
-    rows = _contents(spark, paths).mapInArrow(members, schema)
+    rows = _contents(spark, list(paths)).mapInArrow(members, schema)
     return rows.select(
         *columns,
         F.regexp_extract("path", r"extract_date=([^/]+)", 1).alias("extract_date"),
@@ -158,7 +158,7 @@ def archive_status(spark: SparkSession, root: str, dates: list | None = None) ->
                 ["path", "members", "unpacked_bytes", "status"],
             )
 
-    return _contents(spark, paths).mapInArrow(
+    return _contents(spark, list(paths)).mapInArrow(
         check, "path string, members long, unpacked_bytes long, status string"
     )
 
@@ -214,7 +214,7 @@ def unpack_archives(
 
     keys = ["extract_source", "extract_date", "extract_ts", "member"]
     (
-        _contents(spark, paths)
+        _contents(spark, list(paths))
         .mapInArrow(
             lines,
             "extract_date string, extract_ts string, member string, "

@@ -28,18 +28,18 @@ def iso(day: date | str) -> str:
     return day if isinstance(day, str) else day.isoformat()
 
 
-def date_glob(root: str, source: str, dates: list[date | str] | None = None) -> list[str]:
-    """Date folders of a source, one path per date if dates are given.
+def date_glob(root: str, source: str, dates: list[date | str] | None = None) -> str:
+    """Date folders of a source: all, or those of the given dates that exist.
 
     Only these folders are listed, so a short backfill of a long history does not
     pay for the history.
     """
     base = f"{root}/extract_source={source}"
     if dates is None:
-        return [f"{base}/extract_date=*"]
-    if len(dates) > MAX_PARTITIONS:
-        raise ValueError(f"{len(dates)} dates in one read, at most {MAX_PARTITIONS}")
-    return [f"{base}/extract_date={iso(day)}" for day in dates]
+        return f"{base}/extract_date=*"
+    if not dates or len(dates) > MAX_PARTITIONS:
+        raise ValueError(f"{len(dates)} dates in one read, allowed are 1 to {MAX_PARTITIONS}")
+    return f"{base}/extract_date={{{','.join(iso(day) for day in dates)}}}"
 
 
 def list_files(spark: SparkSession, paths: list[str], like: str = "*") -> DataFrame:
@@ -74,9 +74,11 @@ def files_or_none(spark: SparkSession, paths: list[str], like: str = "*") -> Dat
     return files
 
 
-def discover_dates(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """Dates with landed files, oldest first."""
-    found = files_or_none(spark, date_glob(root, source))
+def discover_dates(
+    spark: SparkSession, root: str, source: str, dates: list[date | str] | None = None
+) -> DataFrame:
+    """Dates, all or out of the given ones, with landed files; oldest first."""
+    found = files_or_none(spark, [date_glob(root, source, dates)])
     if found is None:
         return spark.createDataFrame([], "extract_date date")
     return (
@@ -98,12 +100,15 @@ def gps_raw_schema() -> str:
 def read_gps(
     spark: SparkSession, root: str, dates: list[date | str] | None = None
 ) -> DataFrame:
-    """Snapshot rows as text, with `extract_date` and the `snapshot_file` path."""
+    """Snapshot rows as text, with `extract_date` and the `snapshot_file` path.
+
+    A date without files adds no rows.
+    """
     rows = (
         spark.read.schema(gps_raw_schema())
         .option("basePath", root)
         .options(**CSV_OPTIONS)
-        .csv(date_glob(root, "gps", dates))
+        .csv([date_glob(root, "gps", dates)])
     )
     return with_snapshot_file(rows)
 
@@ -114,6 +119,13 @@ def with_snapshot_file(rows: DataFrame) -> DataFrame:
     )
 
 
+def check_dates(asked: list[date | str] | None, found: set[str], what: str) -> None:
+    """Every asked date must have its schedule; without asked dates there must be one."""
+    missing = sorted({iso(day) for day in asked or []} - found)
+    if missing or not found:
+        raise FileNotFoundError(f"no {what} for {', '.join(missing) or 'any date'}")
+
+
 # ---- schedule extracts ------------------------------------------------------
 
 
@@ -127,11 +139,8 @@ def list_extracts(
     unpack leaves stray ones beside them.
     """
     member = gtfs_member(table)
-    paths = [
-        f"{folder}/extract_ts=*/{{{member},member={member}}}"
-        for folder in date_glob(root, "gtfs", dates)
-    ]
-    files = files_or_none(spark, paths)
+    folders = f"{date_glob(root, 'gtfs', dates)}/extract_ts=*"
+    files = files_or_none(spark, [f"{folders}/{{{member},member={member}}}"])
     if files is None:
         return spark.createDataFrame([], "extract_date string, extract_ts string, parts boolean")
     return (
@@ -176,8 +185,7 @@ def read_gtfs(
     names = chosen.select("extract_date", "extract_ts", "parts").take(MAX_PARTITIONS + 1)
     if len(names) > MAX_PARTITIONS:
         raise ValueError(f"more than {MAX_PARTITIONS} extracts in one read")
-    if not names:
-        raise FileNotFoundError(f"no {gtfs_member(table)} below {root} for the dates asked for")
+    check_dates(dates, {row.extract_date for row in names}, gtfs_member(table))
     reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)

@@ -19,7 +19,7 @@ def stream_gps(
         .option("basePath", root)
         .option("maxFilesPerTrigger", max_files)
         .options(**CSV_OPTIONS)
-        .csv(date_glob(root, "gps")[0])
+        .csv(date_glob(root, "gps"))
     )
     return standardize_gps(with_snapshot_file(raw), mode).withColumnRenamed("extract_date", "date")
 

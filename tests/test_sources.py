@@ -79,7 +79,9 @@ def test_only_asked_dates_are_read(spark, tmp_path):
         "2026-08-17", "2026-08-18",
     ]
     assert read_gps(spark, root, ["2026-08-18"]).count() == 4
+    assert read_gps(spark, root, ["2026-08-18", "2026-08-20"]).count() == 4
     assert read_gps(spark, root).count() == 6
+    assert discover_dates(spark, root, "gps", ["2026-08-18", "2026-08-20"]).count() == 1
     assert discover_dates(spark, root, "gtfs").count() == 0
 
 
@@ -148,6 +150,8 @@ def test_newest_extract_and_stray_folder(spark, tmp_path):
     root = str(tmp_path)
     latest = read_gtfs(spark, root, "gtfs_calendar_dates").collect()
     assert [r.service_id for r in latest] == ["new"]
+    with pytest.raises(FileNotFoundError, match="2026-08-19"):
+        read_gtfs(spark, root, "gtfs_calendar_dates", ["2026-08-17", "2026-08-19"])
     every = read_gtfs(spark, root, "gtfs_calendar_dates", extracts="all").collect()
     assert sorted(r.service_id for r in every) == ["new", "old"]
 
