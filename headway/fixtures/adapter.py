@@ -123,6 +123,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame."""
     source = VIEWS[name][0]
     base = next(t for t in ("events", "supplier", "nation", "orders", "lineitem") if t in source)
-    # the frame is handed to the query by name; nothing is registered in the catalog
+    # the frame is handed to the query by name, not by a lasting view
     text = view_sql(name).replace(f"FROM {base}", "FROM {base}")
     return spark.sql(text, base=table(spark, sf_dir, base))

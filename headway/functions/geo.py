@@ -100,7 +100,9 @@ def grid_metres(n1: Column, e1: Column, n2: Column, e2: Column) -> Column:
 # ---- ellipsoid --------------------------------------------------------------
 
 
-def _geodesic(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray):
+def _geodesic(
+    lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray
+) -> np.ndarray:
     """Vincenty's inverse formula over arrays, with a fixed number of steps."""
     flat = WGS84_FLATTENING
     polar = WGS84_AXIS * (1 - flat)

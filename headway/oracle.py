@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from headway.fixtures.adapter import VIEWS, view_sql
-from headway.fixtures.landing import EXTRACT_DATE, EXTRACT_TS, STOP_EXTRACTS
+from headway.fixtures.landing import EXTRACT_DATE, STOP_EXTRACTS
 from headway.functions.geo import VINCENTY_STEPS
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES
 
