@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, language, packing, pieces, quality, warc
+from headway.llm import html_text, language, packing, partenum, pieces, quality, warc
 from headway.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer("byte_bpe_50k.json"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.link_components(table(spark, sf_dir, "documents"), words_each=4, share=85)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     found = quality.judged(documents, table(spark, sf_dir, "labels"), "m")
@@ -56,7 +60,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op2_language_id, op5_packing, op7_quality_rules, op8_warc,
+        op1_html_extraction, op2_language_id, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
         op10_sentencepiece,
     )
 }
