@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, language, packing, partenum, pieces, quality, suffixes, warc
+from headway.llm import html_text, language, packing, partenum, pieces, quality, suffixes, vectors, warc
 from headway.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.summaries(table(spark, sf_dir, "documents"))
 
@@ -64,7 +68,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_html_extraction, op2_language_id, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
+        op1_html_extraction, op2_language_id, op3_embedding_dedup, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
         op10_sentencepiece,
     )
 }
