@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, language, packing, partenum, pieces, quality, suffixes, vectors, warc
+from headway.llm import html_text, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc
 from headway.llm.common import table
 
 
@@ -61,6 +61,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.summaries(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -69,7 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_language_id, op3_embedding_dedup, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
-        op10_sentencepiece,
+        op9_line_dedup,        op10_sentencepiece,
     )
 }
 
