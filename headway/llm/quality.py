@@ -6,8 +6,10 @@ severity's share of clean documents above it, moved further out by a margin of i
 to the median for the mildest. On the second, severities are tried from the
 mildest on. One is certified while the exact binomial upper bound on its share of falsely
 rejected clean documents stays below `risk`; the first failure ends the sequence, so trying
-many severities costs nothing, and the error is divided by the number of strata. The
-strictest certified severity holds; a stratum without one rejects nothing by these rules.
+many severities costs nothing, and the error is divided by the number of strata. Every
+certified severity keeps the bound, so the mildest holds that rejects nearly all (`NEARLY`)
+of the bad documents that the strictest does; a stratum without one rejects nothing by
+these rules.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import SpanHash, blocks, free_name, mixed, sums_by, utf8, words
+from headway.llm.common import SpanHash, blocks, free_name, keep, mixed, sums_by, utf8, words
 
 RISK = 0.03
 ERROR = 0.1
+NEARLY = 0.99
 # (share of clean documents above the cutoff, margin put on it), the mildest first
 SEVERITIES = (
     (0.0, 1.0), (0.0, 0.5), (0.0, 0.25), (0.0, 0.0), (0.0005, 0.0), (0.001, 0.0), (0.002, 0.0),
@@ -90,8 +93,13 @@ def measured(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return [n_words, word_chars, n_symbols, n_dup, n_repeat, n_lines, n_upper, n_marks]
 
 
-def measure(documents: DataFrame, name: str, text: str = "text") -> DataFrame:
-    """`documents` with a struct column `name` of MEASURES; a null text measures as empty."""
+def measure(documents: DataFrame, name: str, text: str = "text", carry: bool = True) -> DataFrame:
+    """`documents` with a struct column `name` of MEASURES; a null text measures as empty.
+
+    Without `carry` the text itself is left out.
+    """
+    fields = [f for f in documents.schema.fields if carry or f.name != text]
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,11 +108,10 @@ def measure(documents: DataFrame, name: str, text: str = "text") -> DataFrame:
                 struct = pa.StructArray.from_arrays(
                     [pa.array(x, pa.int64()) for x in found], names=list(MEASURES)
                 )
-                yield pa.record_batch([*part.columns, struct], names=[*part.schema.names, name])
+                yield pa.record_batch([*(part.column(c) for c in names), struct], names=[*names, name])
 
     struct = T.StructType([T.StructField(m, T.LongType()) for m in MEASURES])
-    schema = T.StructType([*documents.schema.fields, T.StructField(name, struct)])
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(run, T.StructType([*fields, T.StructField(name, struct)]))
 
 
 def base_failed(m: str) -> Column:
@@ -162,28 +169,33 @@ def certify(trials: list[tuple[int, int]], error: float, risk: float) -> int | N
     return held
 
 
+def measures(documents: DataFrame, stratum: str) -> DataFrame:
+    """doc_id, stratum and measures `m` of every document, kept: rows without their texts."""
+    rows = documents.select("doc_id", F.coalesce(stratum, F.lit("und")).alias("stratum"), "text")
+    return keep(measure(rows, "m", carry=False), "measures")
+
+
 def thresholds(
-    documents: DataFrame,
+    measured: DataFrame,
     labels: DataFrame,
-    stratum: str = "lang",
     risk: float = RISK,
     error: float = ERROR,
     severities: tuple[tuple[float, float], ...] = SEVERITIES,
 ) -> dict[str, dict[str, float]]:
-    """Cutoff of each rule by stratum; a score above it rejects.
+    """Cutoff of each rule by stratum, from `measures`; a score above it rejects.
 
-    A document is clean if no label of it says quality 0. All labelled rows count; only
+    A document is bad if a label of it says quality 0, else clean. All labelled rows count; only
     quantiles and counts per stratum reach the driver.
     """
-    clean = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
-    m = "m"
-    known = measure(documents.select("doc_id", "text", stratum).join(clean, "doc_id"), m)
-    known = known.filter(~base_failed(m)).select(
-        F.coalesce(stratum, F.lit("und")).alias("stratum"),
+    marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    known = measured.filter(~base_failed("m")).join(marks.filter("quality is not null"), "doc_id").select(
+        "stratum",
+        (F.col("quality") == 1).alias("clean"),
         (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0).alias("fit"),
-        *(score.alias(name) for name, score in scores(m).items()),
-    )
-    rules = list(scores(m))
+        *(score.alias(name) for name, score in scores("m").items()),
+    )
+    known = keep(known, "scores")
+    rules = list(scores("m"))
     levels = F.array(F.lit(0.5), *(F.lit(1 - share) for share, _ in severities))
 
     def spread(found: list[float]) -> list[float]:
@@ -191,7 +203,7 @@ def thresholds(
 
     cuts = {
         r["stratum"]: {name: spread(r[name]) for name in rules}
-        for r in known.filter("fit").groupBy("stratum").agg(
+        for r in known.filter("fit and clean").groupBy("stratum").agg(
             *(F.percentile_approx(name, levels, 10_000).alias(name) for name in rules)
         ).collect()
     }
@@ -203,15 +215,18 @@ def thresholds(
         return rejects(by, F.col("stratum"), {name: F.col(name) for name in rules})
 
     held = {}
-    tests = known.filter(~F.col("fit")).groupBy("stratum").agg(
-        F.count("*").alias("n"),
-        *(F.sum(rejected(i).cast("long")).alias(f"f{i}") for i in range(len(severities))),
+    bad = ~F.col("clean")
+    tests = known.filter("not fit or not clean").groupBy("stratum").agg(
+        F.count_if("clean").alias("n"),
+        *(F.count_if(F.col("clean") & rejected(i)).alias(f"f{i}") for i in range(len(severities))),
+        *(F.count_if(bad & rejected(i)).alias(f"b{i}") for i in range(len(severities))),
     )
     for r in tests.collect():
         if r["stratum"] in cuts:
             trials = [(r[f"f{i}"], r["n"]) for i in range(len(severities))]
-            best = certify(trials, error / len(cuts), risk)
-            if best is not None:
+            last = certify(trials, error / len(cuts), risk)
+            if last is not None:
+                best = next(i for i in range(last + 1) if r[f"b{i}"] >= NEARLY * r[f"b{last}"])
                 held[r["stratum"]] = {name: cuts[r["stratum"]][name][best] for name in rules}
     return held
 
@@ -229,21 +244,30 @@ def rejects(cutoffs: dict[str, dict[str, float]], stratum: Column, by_rule: dict
     return verdict
 
 
-def judged(documents: DataFrame, labels: DataFrame, name: str, stratum: str = "lang") -> DataFrame:
-    """`documents` with a struct `name`: MEASURES, and column `name`_kept.
+def failed(cutoffs: dict[str, dict[str, float]], m: str, stratum: Column) -> Column:
+    return base_failed(m) | rejects(cutoffs, stratum, scores(m))
+
+
+def judged(documents: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """doc_id, stratum, measures `m`, `base_failed` and `kept` of every document.
 
     Null or empty texts have no words and fail. Repeated rows are judged alike, an empty
-    table gives no rows, and without labels only the base rules reject.
+    table gives no rows, and without labels only the base rules reject. One pass over the
+    texts; labels meet rows of a few numbers.
     """
-    cutoffs = thresholds(documents, labels, stratum)
-    found = measure(documents, name)
-    failed = base_failed(name) | rejects(
-        cutoffs, F.coalesce(F.col(stratum), F.lit("und")), scores(name)
-    )
-    return found.withColumn(f"{name}_kept", ~failed)
+    rows = measures(documents, stratum)
+    cutoffs = thresholds(rows, labels)
+    return rows.withColumns({
+        "base_failed": base_failed("m"), "kept": ~failed(cutoffs, "m", F.col("stratum")),
+    })
 
 
-def filtered(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
+def filtered(documents: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The documents that pass, with their own columns.
+
+    Texts are measured a second time rather than shuffled to meet their verdicts.
+    """
+    cutoffs = thresholds(measures(documents, stratum), labels)
     name = free_name(documents, "measures")
-    return judged(documents, labels, name).filter(f"{name}_kept").select(*documents.columns)
+    verdict = failed(cutoffs, name, F.coalesce(F.col(stratum), F.lit("und")))
+    return measure(documents, name).filter(~verdict).select(*documents.columns)

@@ -45,14 +45,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    found = quality.judged(documents, table(spark, sf_dir, "labels"), "m")
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return found.select(
-        "doc_id",
-        *(F.col(f"m.{name}").alias(name) for name in base),
-        quality.base_failed("m").alias("base_failed"),
-        F.col("m_kept").alias("kept"),
+        "doc_id", *(F.col(f"m.{name}").alias(name) for name in base), "base_failed", "kept"
     )
 
 

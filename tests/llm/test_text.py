@@ -56,9 +56,9 @@ def test_quality_query(spark):
 
 def test_quality_edges(spark, edges):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    rows = quality.judged(edges, none, "m").collect()
+    rows = quality.judged(edges, none).collect()
     assert sorted(tuple(r.m)[:5] for r in rows) == sorted(measures(t) for _, t in EDGES)
-    assert quality.judged(edges.limit(0), none, "m").count() == 0
+    assert quality.judged(edges.limit(0), none).count() == 0
     kept = quality.filtered(edges.withColumnRenamed("n_words", "measures"), none)
     assert kept.columns == [*edges.columns[:-1], "measures"]
 
