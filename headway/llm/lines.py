@@ -21,7 +21,7 @@ from headway.llm.components import components, labelled
 
 SHINGLE = 8
 ANCHORED = 12
-BANDS = 7
+BANDS = 8
 ROWS = 2
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1
@@ -52,11 +52,10 @@ def signed(documents: DataFrame) -> DataFrame:
     )
     marked = occurrences(documents).select("doc", "place", "h1", "h2", F.explode(anchors).alias("shingle"))
     code = F.hash("shingle")
-    # the element nearest to a random number by exclusive or is a fair draw from the set
-    minima = [
-        F.min(code.bitwiseXOR(F.lit((i * 0x9E3779B1 + 0x7F4A7C15) % (1 << 31)))).alias(f"m{i}")
-        for i in range(BANDS * ROWS)
-    ]
+    # the element nearest to a random number by exclusive or is a fair draw from the set;
+    # multiples of the golden ratio spread those numbers over all 32 bits
+    draws = [(i * 0x9E3779B1 + 0x7F4A7C15) % (1 << 32) - (1 << 31) for i in range(BANDS * ROWS)]
+    minima = [F.min(code.bitwiseXOR(F.lit(d))).alias(f"m{i}") for i, d in enumerate(draws)]
     return marked.groupBy("h1", "h2").agg(F.min(F.struct("doc", "place")).alias("first"), *minima)
 
 
