@@ -1,0 +1,83 @@
+"""Every stage against a plain version of it, on what the stage before kept."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+from headway.llm.queries import op7_quality_rules
+from tests.llm.conftest import EDGES
+from tests.llm.test_lines import brute as repeated_lines
+from tests.llm.test_partenum import brute as near_copies
+from tests.llm.test_tokens import check_packing
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def texts(df) -> list:
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def cut(rows: list, span: int = 100) -> list:
+    """Texts without whole characters of strings that start earlier."""
+    first, out = {}, []
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        if text is None:
+            out.append((doc, text))
+            continue
+        data = text.encode()
+        gone = [False] * len(data)
+        for p in range(len(data) - span + 1):
+            if first.setdefault(data[p : p + span], (doc, p)) != (doc, p):
+                gone[p : p + span] = [True] * span
+        left, at = [], 0
+        for c in text:
+            n = len(c.encode())
+            if not all(gone[at : at + n]):
+                left.append(c)
+            at += n
+        if "".join(left).strip() or not any(gone):
+            out.append((doc, "".join(left)))
+    return sorted(out, key=str)
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality_rules", "line_dedup", "jaccard_join", "suffix_dedup", "packing"]
+    before = texts(docs)
+    kept = {r.doc_id for r in op7_quality_rules(spark, SF_DIR).collect() if r.kept}
+    one = corpus_pipeline.keep(stages["quality_rules"](spark, docs, SF_DIR), "t1")
+    assert one.columns == docs.columns and texts(one) == [x for x in before if x[0] in kept]
+
+    two = corpus_pipeline.keep(stages["line_dedup"](spark, one, SF_DIR), "t2")
+    gone, _ = repeated_lines(texts(one))
+    wanted = []
+    for doc, text in texts(one):
+        left = [x for i, x in enumerate(text.split("\n")) if (doc, i) not in gone]
+        if any(x.strip() for x in left):
+            wanted.append((doc, "\n".join(left)))
+    assert two.columns == docs.columns and texts(two) == sorted(wanted, key=str)
+
+    three = corpus_pipeline.keep(stages["jaccard_join"](spark, two, SF_DIR), "t3")
+    groups = {i: c for i, _, c in near_copies(texts(two), 80, 5)}
+    assert three.columns == docs.columns and texts(three) == [x for x in texts(two) if groups[x[0]] == x[0]]
+
+    four = corpus_pipeline.keep(stages["suffix_dedup"](spark, three, SF_DIR), "t4")
+    assert four.columns == docs.columns and texts(four) == cut(texts(three))
+    assert all(r.n_chars == len(r.text) for r in four.collect())
+    check_packing(stages["packing"](spark, four, SF_DIR).collect(), texts(four), 2048)
+    assert corpus_pipeline.run(spark, SF_DIR).count() == stages["packing"](spark, four, SF_DIR).count()
+
+
+def test_edges(spark, edges, documents):
+    for rows in (edges, documents([])):
+        docs = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs if name != "quality_rules" else rows, SF_DIR)
+            assert after.columns == rows.columns
+            if name != "quality_rules":
+                docs = corpus_pipeline.keep(after, "edges")
+            else:
+                assert after.filter("text is null").isEmpty()
+        found = corpus_pipeline.packed(spark, docs, SF_DIR).collect()
+        assert {r.doc_id for r in found} == {r.doc_id for r in docs.collect()}
+    assert len(EDGES) > len(found)
