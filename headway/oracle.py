@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from headway.fixtures.adapter import VIEWS, view_sql
 from headway.fixtures.landing import EXTRACT_DATE, STOP_EXTRACTS
-from headway.functions.geo import VINCENTY_STEPS
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES
 
 _TS = "strftime({}, '%Y-%m-%d %H:%M:%S')"
@@ -388,7 +387,7 @@ def _geodesic(pairs: str) -> str:
                      su1 * su2 + cu1 * cu2 * cos(lam) AS cs
         FROM ({inner}) AS q) AS q) AS q) AS q) AS q
     """
-    for number in range(VINCENTY_STEPS):
+    for number in range(GEODESIC_STEPS):
         dropped = "EXCLUDE (ss_, cs_, sg_, c2a_, c2m_)" if number else ""
         sql = step.format(inner=sql, dropped=dropped)
     return f"""
@@ -400,6 +399,9 @@ def _geodesic(pairs: str) -> str:
     """
 
 
+# steps of the geodesic in SQL, enough for two points of one country
+GEODESIC_STEPS = 12
+
 _VISIBLE = f"{_TS.format('extract_ts')} AS extract_ts, vehicle_id, fleet_number, lat, lon"
 
 

@@ -12,7 +12,6 @@ from headway.functions.geo import (
     sphere_metres,
     spheroid_metres,
 )
-from headway.operators.sizing import join_measured
 
 METHODS = ("planar", "projected", "sphere", "spheroid")
 
@@ -101,8 +100,8 @@ def distances_to_targets(
 
     Its columns are `stop_id` and any of line_number, destination (case does not
     matter) and fleet_number. Positions meet their targets by equality of these
-    columns; nothing is crossed. Targets with their stops are broadcast only if
-    counted to be few.
+    columns; nothing is crossed. Adaptive execution broadcasts the targets if
+    their measured bytes are few, and splits a line that many positions have.
     """
     asked = targets
     if "destination" in targets.columns:
@@ -115,7 +114,7 @@ def distances_to_targets(
         stops.select("stop_id", "stop_lat", "stop_lon"), "stop_id"
     )
     columns = dict.fromkeys([*POSITION_COLUMNS, *keys])
-    joined = join_measured(positions.select(*columns), placed, keys)
+    joined = positions.select(*columns).join(placed, keys)
     return with_distances(
         joined.select(*POSITION_COLUMNS, "stop_id", "stop_lat", "stop_lon"), methods
     )

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.functions.geo import project_lest97
-from headway.operators import sizing
 from headway.plans.distances import distances_to_targets, stop_distances, with_distances
 
 STOP = (59.42621, 24.65889)
@@ -100,8 +99,8 @@ def test_unknown_stop_gives_no_rows_and_repeated_stop_fails(spark):
         stop_distances(positions, twice, **ASKED).collect()
 
 
-@pytest.mark.parametrize("rows", [sizing.BROADCAST_ROWS, 1])
-def test_targets_by_broadcast_and_by_shuffle(spark, monkeypatch, rows):
+@pytest.mark.parametrize("bound", ["10m", "-1"])
+def test_targets_by_broadcast_and_by_shuffle(spark, bound):
     """A line holding a third of all positions, against a plain nested loop."""
     rng = random.Random(3)
     lines = ["8"] * 200 + [str(n) for n in range(20) for _ in range(20)]
@@ -119,15 +118,42 @@ def test_targets_by_broadcast_and_by_shuffle(spark, monkeypatch, rows):
         for s in stops
         if p[3] == line and p[4].lower() == destination.lower() and s[0] == stop
     )
-    from headway.plans import distances
-
-    monkeypatch.setattr(
-        distances, "join_measured", lambda a, b, on: sizing.join_measured(a, b, on, rows=rows)
-    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     found = distances_to_targets(
         _positions(spark, positions),
         _stops(spark, stops),
         spark.createDataFrame(targets, "line_number string, destination string, stop_id string"),
         ("planar",),
     )
-    assert sorted((r.vehicle_id, r.stop_id) for r in found.collect()) == expected
+    try:
+        assert sorted((r.vehicle_id, r.stop_id) for r in found.collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# End points and lengths of WGS84 geodesics.
+FAR = [
+    (0.0, 0.0, 0.5, 179.5, 19936288.579),
+    (0.0, 0.0, 0.5, 179.7, 19944127.421),
+    (0.0, 0.0, 0.0, 180.0, 20003931.4586),
+    (90.0, 0.0, -90.0, 0.0, 20003931.4586),
+    (0.0, 0.0, 0.0, 1.0, 111319.4908),
+    (0.0, 179.5, 0.0, -179.5, 111319.4908),
+    (59.4, 24.7, 59.4, 24.7, 0.0),
+]
+
+
+def test_geodesic_settles_everywhere():
+    import numpy as np
+
+    from headway.functions.geo import _geodesic
+
+    for a, b, c, d, metres in FAR:
+        ends = [np.array([x]) for x in (a, b, c, d)]
+        assert abs(_geodesic(*ends)[0] - metres) < 0.001
+        assert abs(_geodesic(*ends[2:], *ends[:2])[0] - metres) < 0.001
+    rng = np.random.default_rng(1)
+    lat, lon = rng.uniform(-3, 3, 500), rng.uniform(-180, 180, 500)
+    other = -lat + rng.uniform(-1, 1, 500), lon + 180 + rng.uniform(-1, 1, 500)
+    found = _geodesic(lat, lon, *other)
+    assert np.isfinite(found).all() and (found > 19.8e6).all() and (found < 20003931.459).all()
