@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.landing import MAX_PARTITIONS, files_or_none, folder_value
+from headway.sources.landing import files_or_none, folder_value
 
 
 def written_dates(spark: SparkSession, path: str, key: str = "date") -> list[date]:
@@ -17,10 +17,13 @@ def written_dates(spark: SparkSession, path: str, key: str = "date") -> list[dat
         return []
     # try_cast: undated rows lie in a folder that is no date
     rows = files.select(folder_value(key).try_cast("date").alias("d")).distinct()
-    rows = rows.take(MAX_PARTITIONS + 1)
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} dates below {path}")
-    return sorted(row.d for row in rows if row.d is not None)
+    return sorted(row.d for row in rows.collect() if row.d is not None)
+
+
+def check_not_streamed(spark: SparkSession, path: str) -> None:
+    """A stream's file sink keeps a list of its files; Spark reads no others beside it."""
+    if files_or_none(spark, [f"{path}/_spark_metadata"]) is not None:
+        raise ValueError(f"{path} is written by a stream; files added to it would not be read")
 
 
 def write_dates(
@@ -37,6 +40,7 @@ def write_dates(
     Dates without rows get no folder. The rebalance gathers the many small
     snapshot files of a date, and splits a date that is too large for one task.
     """
+    check_not_streamed(df.sparkSession, path)
     skipped: list[date] = []
     if not overwrite:
         skipped = written_dates(df.sparkSession, path, key)

@@ -16,6 +16,7 @@ from headway.schemas import (
     SNAPSHOT_PREFIX,
     SNAPSHOT_SUFFIX,
 )
+from headway.sources.landing import MALFORMED
 
 GPS_NUMBERS = {
     "transport_type": "int",
@@ -32,11 +33,28 @@ def with_stamp(raw: DataFrame) -> DataFrame:
     Columns of their own, as text inside a larger expression is cut anew at every use.
     """
     tail = F.substring_index("snapshot_file", SNAPSHOT_PREFIX, -1)
-    named = F.substring("_tail", 16, len(SNAPSHOT_SUFFIX)) == SNAPSHOT_SUFFIX
+    # the name ends here, or goes on as a folder of parts
+    rest = F.substring("_tail", 16, len(SNAPSHOT_SUFFIX) + 1)
+    named = rest.isin(SNAPSHOT_SUFFIX, f"{SNAPSHOT_SUFFIX}/")
     stamp = F.when(named, F.substring("_tail", 1, 15))
     return raw.withColumn("_tail", tail).withColumn("_stamp", stamp).drop("_tail")
 
 
+def with_malformed(raw: DataFrame) -> DataFrame:
+    """Rows that come from elsewhere than a raw file have no malformed lines."""
+    if MALFORMED in raw.columns:
+        return raw
+    return raw.withColumn(MALFORMED, F.lit(None).cast("string"))
+
+
+def well_formed(column: Column, mode: str) -> Column:
+    """`column`; strict fails here on a line with too few or too many fields."""
+    if mode == LENIENT:
+        return column
+    line = F.concat(F.lit("wrong number of fields: "), MALFORMED)
+    return F.when(F.col(MALFORMED).isNotNull(), F.raise_error(line)).otherwise(column)
+
+
 def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
     """Vehicle positions: degrees, unknown headings as null, the snapshot's instant.
 
@@ -44,11 +62,13 @@ def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
     turns both into nulls. Keeps `extract_date`, the date folder of the row.
     """
 
+    raw = with_malformed(raw)
+
     def number(name: str) -> Column:
         return typed(F.col(name), GPS_NUMBERS[name], mode)
 
     return with_stamp(raw).select(
-        number("transport_type").alias("transport_type"),
+        well_formed(number("transport_type"), mode).alias("transport_type"),
         "line_number",
         number("speed_kmh").alias("speed_kmh"),
         "vehicle_id",
@@ -68,16 +88,18 @@ def bad_gps_rows(raw: DataFrame) -> DataFrame:
     """Raw rows with `bad`: would strict standardization fail on this one?"""
     checks = [unreadable(F.col(name), kind) for name, kind in GPS_NUMBERS.items()]
     checks.append(stamp_to_instant(F.col("_stamp"), LENIENT).isNull())
-    return with_stamp(raw).withColumn("bad", reduce(or_, checks)).drop("_stamp")
+    checks.append(F.col(MALFORMED).isNotNull())
+    return with_stamp(with_malformed(raw)).withColumn("bad", reduce(or_, checks)).drop("_stamp")
 
 
 def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFrame:
     """A schedule table with its columns cast and the extract's instant."""
-    columns = [
-        typed(F.col(name), kind, mode).alias(name) for name, kind in GTFS_TABLES[table].items()
+    first, *columns = [
+        typed(F.col(name), kind, mode) for name, kind in GTFS_TABLES[table].items()
     ]
-    return raw.select(
-        *columns,
+    columns = [well_formed(first, mode), *columns]
+    return with_malformed(raw).select(
+        *(column.alias(name) for column, name in zip(columns, GTFS_TABLES[table])),
         # the folder name is optional information in every variant: never fatal
         stamp_to_instant(F.col("extract_ts"), LENIENT).alias("extract_ts"),
         F.current_timestamp().alias("updated_ts"),
@@ -88,4 +110,5 @@ def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFram
 def bad_gtfs_rows(raw: DataFrame, table: str) -> DataFrame:
     """Raw rows with `bad`: would strict standardization fail on this one?"""
     checks = [unreadable(F.col(name), kind) for name, kind in GTFS_TABLES[table].items()]
-    return raw.withColumn("bad", reduce(or_, checks))
+    checks.append(F.col(MALFORMED).isNotNull())
+    return with_malformed(raw).withColumn("bad", reduce(or_, checks))

@@ -21,7 +21,6 @@ from headway.operators.standardize import (
 )
 from headway.schemas import GTFS_TABLES
 from headway.sources.landing import (
-    MAX_PARTITIONS,
     discover_dates,
     list_extracts,
     read_gps,
@@ -181,10 +180,7 @@ def backfill(
     """
     spec = _spec(model)
     path = f"{target}/{model}"
-    landed = {
-        row.extract_date
-        for row in spec.landed(spark, root, dates).distinct().take(MAX_PARTITIONS + 1)
-    }
+    landed = {row.extract_date for row in spec.landed(spark, root, dates).distinct().collect()}
     asked = sorted(landed) if dates is None else dates
     existing = set() if overwrite else set(written_dates(spark, path, spec.key))
     todo = [d for d in asked if d in landed and d not in existing]

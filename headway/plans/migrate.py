@@ -150,12 +150,16 @@ def shift_counts(plan: DataFrame) -> DataFrame:
 def shift_positions(
     positions: DataFrame, hours: int = 3, zone: str | None = None, key: str = "date"
 ) -> DataFrame:
-    """Rows with their instants moved, and the partition date that follows from it."""
+    """Rows with their instants moved, and the partition date that follows from it.
+
+    A row without an instant stays where it is.
+    """
     if zone:
         instant = F.to_utc_timestamp("extract_ts", zone_or_utc(zone))
     else:
         instant = F.col("extract_ts") - F.make_dt_interval(hours=F.lit(hours))
-    return positions.withColumn("extract_ts", instant).withColumn(key, F.to_date("extract_ts"))
+    moved = positions.withColumn("extract_ts", instant)
+    return moved.withColumn(key, F.coalesce(F.to_date("extract_ts"), F.col(key)))
 
 
 def apply_shift(

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from headway.schemas import GTFS_TABLES, gtfs_member
 from headway.sources.landing import (
-    MAX_PARTITIONS,
     check_dates,
     date_glob,
     files_or_none,
@@ -61,10 +60,8 @@ def newest_archives(archives: DataFrame) -> DataFrame:
 
 
 def _paths(archives: DataFrame) -> dict[str, str]:
-    """Archive paths for a scan, with their dates: a bounded number of names."""
-    rows = archives.select("path", "extract_date").take(MAX_PARTITIONS + 1)
-    if len(rows) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} archives in one read")
+    """Archive paths for a scan, with their dates. The scan's file index holds them anyway."""
+    rows = archives.select("path", "extract_date").collect()
     return dict(sorted((row.path, row.extract_date) for row in rows))
 
 
@@ -84,6 +81,8 @@ def read_archive_table(
     cannot be entered in the middle. `absent` says what to do about
     an archive without the member: "error" or "skip".
     """
+    if extracts not in ("latest", "all"):
+        raise ValueError(f"extracts must be 'latest' or 'all', not {extracts!r}")
     if absent not in ("error", "skip"):
         raise ValueError(f"absent must be 'error' or 'skip', not {absent!r}")
     archives = list_archives(spark, root, dates)
@@ -191,6 +190,9 @@ def unpack_archives(
             if day is None or stamp is None:
                 raise ValueError(f"{path} is not named gtfs_YYYYMMDD_HHMMSS.zip in a date folder")
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                names = [posixpath.basename(i.filename) for i in archive.infolist() if not i.is_dir()]
+                if len(set(names)) < len(names):
+                    raise ValueError(f"{path} has several members of one name")
                 for info in archive.infolist():
                     if info.is_dir():
                         continue

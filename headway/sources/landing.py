@@ -13,16 +13,25 @@ from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES, gtfs_member
 
-# Dates and extracts are held on the driver as partition filters. Beyond this
-# many (over a century of days) a caller must split the range.
-MAX_PARTITIONS = 40_000
+# A line of another number of fields than the layout is kept as it is in MALFORMED. With
+# column pruning the parser would count only the fields that a query asks for.
+MALFORMED = "malformed"
+CSV_OPTIONS = {
+    "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
+    "columnPruning": "false",
+}
+
+# Tables with free text, in which a quoted line break is part of a value. Their files are
+# small, as one is read by one task.
+FREE_TEXT = {"gtfs_routes", "gtfs_trips", "gtfs_stops"}
+
+FOLDER_KEYS = ("extract_source", "extract_date", "extract_ts", "member")
 
-CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 def iso(day: date | str) -> str:
     return day if isinstance(day, str) else day.isoformat()
@@ -37,8 +46,8 @@ def date_glob(root: str, source: str, dates: list[date | str] | None = None) ->
     base = f"{root}/extract_source={source}"
     if dates is None:
         return f"{base}/extract_date=*"
-    if not dates or len(dates) > MAX_PARTITIONS:
-        raise ValueError(f"{len(dates)} dates in one read, allowed are 1 to {MAX_PARTITIONS}")
+    if not dates:
+        raise ValueError("no dates to read")
     return f"{base}/extract_date={{{','.join(iso(day) for day in dates)}}}"
 
 
@@ -93,29 +102,39 @@ def discover_dates(
 
 def gps_raw_schema() -> str:
     """All text: a typed reader would turn bad numbers into nulls silently."""
-    columns = [*GPS_RAW_COLUMNS, "extract_source", "extract_date"]
-    return ", ".join(f"{name} string" for name in columns)
+    return ", ".join(f"{name} string" for name in [*GPS_RAW_COLUMNS, MALFORMED])
+
+
+# Snapshots and part folders may lie beside each other, so folder keys are taken from the
+# path and not inferred; a file that does not end in .csv is still being written.
+GPS_OPTIONS = {**CSV_OPTIONS, "recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
 
 def read_gps(
     spark: SparkSession, root: str, dates: list[date | str] | None = None
 ) -> DataFrame:
-    """Snapshot rows as text, with `extract_date` and the `snapshot_file` path.
+    """Snapshot rows as text, with `extract_date`, the `snapshot_file` path and `malformed`,
+    the line itself where it has too few or too many fields.
 
     A date without files adds no rows.
     """
-    rows = (
-        spark.read.schema(gps_raw_schema())
-        .option("basePath", root)
-        .options(**CSV_OPTIONS)
-        .csv([date_glob(root, "gps", dates)])
-    )
+    reader = spark.read.schema(gps_raw_schema()).options(**GPS_OPTIONS)
+    try:
+        rows = reader.csv([date_glob(root, "gps", dates)])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        names = [*GPS_RAW_COLUMNS, MALFORMED, "extract_date", "snapshot_file"]
+        return spark.createDataFrame([], ", ".join(f"{name} string" for name in names))
     return with_snapshot_file(rows)
 
 
 def with_snapshot_file(rows: DataFrame) -> DataFrame:
     return rows.select(
-        *GPS_RAW_COLUMNS, "extract_date", F.col("_metadata.file_path").alias("snapshot_file")
+        *GPS_RAW_COLUMNS,
+        MALFORMED,
+        F.regexp_extract("_metadata.file_path", "/extract_date=([^/]+)/", 1).alias("extract_date"),
+        F.col("_metadata.file_path").alias("snapshot_file"),
     )
 
 
@@ -165,14 +184,16 @@ def read_gtfs(
     table: str,
     dates: list[date | str] | None = None,
     extracts: str = "latest",
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> DataFrame:
-    """A schedule table as text columns plus `extract_date` and `extract_ts`.
+    """A schedule table as text columns plus `extract_date`, `extract_ts` and `malformed`,
+    the line itself where its number of fields differs from the header's.
 
     By default only the newest extract of each date is read; "all" reads every
     one. Columns are found by header name: extra ones are dropped, a missing one
     is an error. Files whose headers disagree are refused, not misread; read
-    those apart and join them with `union_snapshots`.
+    those apart and join them with `union_snapshots`. Line breaks within quotes are
+    read in the tables with free text, or as `multiline` says.
     """
     if table not in GTFS_TABLES:
         raise ValueError(f"unknown table {table!r}")
@@ -181,19 +202,20 @@ def read_gtfs(
     chosen = list_extracts(spark, root, table, dates)
     if extracts == "latest":
         chosen = latest_extracts(chosen)
-    # folder names of the extracts to read, not data
-    names = chosen.select("extract_date", "extract_ts", "parts").take(MAX_PARTITIONS + 1)
-    if len(names) > MAX_PARTITIONS:
-        raise ValueError(f"more than {MAX_PARTITIONS} extracts in one read")
+    # folder names of the extracts to read, not data: the scan needs them as its paths
+    names = chosen.select("extract_date", "extract_ts", "parts").collect()
     check_dates(dates, {row.extract_date for row in names}, gtfs_member(table))
-    reader = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("inferSchema", False)
-        .option("multiLine", multiline)
-        .options(**CSV_OPTIONS)
-        .option("basePath", root)
-    )
+
+    def reader() -> DataFrameReader:
+        return (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("inferSchema", False)
+            .option("multiLine", table in FREE_TEXT if multiline is None else multiline)
+            .options(**CSV_OPTIONS)
+            .option("basePath", root)
+        )
+
     frames = []
     for folder in ("", "member="):
         paths = [
@@ -203,7 +225,10 @@ def read_gtfs(
             if parts == bool(folder)
         ]
         if paths:
-            frames.append(_schedule_columns(reader.csv(paths), table))
+            header = [c for c in reader().csv(paths).columns if c not in FOLDER_KEYS]
+            # with the raw line as a column every field is parsed, so none goes uncounted
+            schema = ", ".join(f"`{c}` string" for c in [*header, MALFORMED])
+            frames.append(_schedule_columns(reader().schema(schema).csv(paths), table))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -213,6 +238,7 @@ def _schedule_columns(rows: DataFrame, table: str) -> DataFrame:
         raise ValueError(f"{gtfs_member(table)} lacks {', '.join(missing)}")
     return rows.select(
         *GTFS_TABLES[table],
+        MALFORMED,
         F.col("extract_date").cast("string").alias("extract_date"),
         F.col("extract_ts").cast("string").alias("extract_ts"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.casting import LENIENT
 from headway.operators.standardize import standardize_gps
-from headway.sources.landing import CSV_OPTIONS, date_glob, gps_raw_schema, with_snapshot_file
+from headway.sources.landing import GPS_OPTIONS, date_glob, gps_raw_schema, with_snapshot_file
 
 
 def stream_gps(
@@ -16,9 +16,10 @@ def stream_gps(
     """Standardized positions of each snapshot as it lands. Row by row: no state is kept."""
     raw = (
         spark.readStream.schema(gps_raw_schema())
-        .option("basePath", root)
         .option("maxFilesPerTrigger", max_files)
-        .options(**CSV_OPTIONS)
+        # a late file is taken however old its time is; the default drops it after a week
+        .option("maxFileAge", "36500d")
+        .options(**GPS_OPTIONS)
         .csv(date_glob(root, "gps"))
     )
     return standardize_gps(with_snapshot_file(raw), mode).withColumnRenamed("extract_date", "date")

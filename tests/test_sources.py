@@ -164,3 +164,47 @@ def test_union_refuses_other_types(spark):
         union_snapshots([one, spark.createDataFrame([("x", "b")], "n string, s string")])
     with pytest.raises(ValueError, match="differs"):
         union_snapshots([one, one.select("n")])
+
+
+GOOD = "1,8,24700000,59400000,10,90,v1,Z,0089,Kopli\n"
+
+
+def test_ragged_lines_fail_strict_and_are_reported(spark, tmp_path):
+    folder = tmp_path / "extract_source=gps" / "extract_date=2026-08-17"
+    put(folder / "gps_20260817_070000.csv", GOOD + GOOD.strip() + ",extra\n" + "1,8,24700000\n")
+    raw = read_gps(spark, str(tmp_path))
+    assert sorted(len(r.malformed or "") for r in raw.collect()) == [0, 12, len(GOOD) + 5]
+    assert bad_gps_rows(raw).filter("bad").count() == 2
+    with pytest.raises(Exception, match="wrong number of fields"):
+        standardize_gps(raw).collect()
+    assert standardize_gps(raw, "lenient").count() == 3
+
+
+def test_mixed_layouts_and_stray_files(spark, tmp_path):
+    base = tmp_path / "extract_source=gps"
+    put(base / "extract_date=2026-08-17" / "gps_20260817_070000.csv", GOOD)
+    put(base / "extract_date=2026-08-17" / "gps_20260817_070500.csv.part", GOOD)
+    put(base / "extract_date=2026-08-17" / "notes.json", "{}")
+    put(base / "extract_date=2026-08-17" / "gps_file=gps_20260817_071000.csv" / "part-0.csv", GOOD)
+    put(base / "extract_date=2026-08-18" / "gps_file=gps_20260818_070000.csv" / "part-0.csv", GOOD)
+    rows = standardize_gps(read_gps(spark, str(tmp_path))).collect()
+    assert sorted((str(r.extract_date), str(r.extract_ts)) for r in rows) == [
+        ("2026-08-17", "2026-08-17 07:00:00"), ("2026-08-17", "2026-08-17 07:10:00"),
+        ("2026-08-18", "2026-08-18 07:00:00"),
+    ]
+
+
+def test_absent_date_is_an_empty_table(spark, tmp_path):
+    rows = standardize_gps(read_gps(spark, str(tmp_path), ["2026-08-17"]))
+    assert rows.count() == 0 and "lat" in rows.columns
+
+
+def test_quoted_line_breaks_and_ragged_schedule_lines(spark, tmp_path):
+    header = "stop_id,stop_code,stop_name,stop_desc,stop_lat,stop_lon,stop_url,location_type,parent_station,thoreb_id"
+    folder = tmp_path / "extract_source=gtfs" / "extract_date=2026-08-17" / "extract_ts=20260817_041500"
+    put(folder / "stops.txt", header + '\ns1,,A,"two\nlines ""x""",59.1,24.1,,,,\ns2,,B,,59.2,24.2,,,,\ns3,,C\n')
+    rows = {r.stop_id: r for r in read_gtfs(spark, str(tmp_path), "gtfs_stops").collect()}
+    assert set(rows) == {"s1", "s2", "s3"} and rows["s1"].stop_desc == 'two\nlines "x"'
+    assert rows["s1"].malformed is None and rows["s3"].malformed is not None
+    with pytest.raises(Exception, match="wrong number of fields"):
+        standardize_gtfs(read_gtfs(spark, str(tmp_path), "gtfs_stops"), "gtfs_stops").collect()
