@@ -100,7 +100,13 @@ def resolve_dates(
     default = F.current_date() if fallback is None else fallback
     if not isinstance(default, Column):
         default = F.lit(default)
-    active = params.filter(F.col("active")).select("source", "extract_date")
+    active = params.filter(F.col("active")).groupBy("source").agg(
+        F.count("*").alias("_n"), F.first("extract_date").alias("extract_date")
+    )
+    twice = F.raise_error(F.lit("control table: source is active twice")).cast("date")
+    active = active.select(
+        "source", F.when(F.col("_n") > 1, twice).otherwise(F.col("extract_date")).alias("extract_date")
+    )
     resolved = F.coalesce(F.col("extract_date"), default.cast("date")).cast("string")
     return (
         sources.select("source")

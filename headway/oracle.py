@@ -200,8 +200,17 @@ _SHIFT_APPLY = _with(
     _POSITIONS,
 )
 
+# keys of the schedule tables without coordinates
+_VALIDATED = {
+    "gtfs_routes": ["route_id"],
+    "gtfs_trips": ["trip_id", "route_id", "service_id"],
+    "gtfs_stop_times": ["trip_id", "stop_id"],
+    "gtfs_calendar": ["service_id"],
+    "gtfs_calendar_dates": ["service_id", '"date"'],
+}
+
 _VALIDATE = _with(
-    ["gps_raw", "gtfs_stops"],
+    ["gps_raw", "gtfs_stops", *_VALIDATED],
     """
     SELECT 'gps_positions' AS model, kind AS check, amount AS value FROM (
         SELECT 'schema_faults' AS kind, CAST(0 AS BIGINT) AS amount
@@ -223,7 +232,19 @@ _VALIDATE = _with(
                   WHERE stop_lat IS NULL OR stop_lon IS NULL
                      OR stop_lat < 57 OR stop_lat > 60.5 OR stop_lon < 21 OR stop_lon > 29
     ) AS stops
-    """,
+    """
+    + "".join(
+        f"""
+    UNION ALL
+    SELECT '{name}', kind, amount FROM (
+        SELECT 'schema_faults' AS kind, CAST(0 AS BIGINT) AS amount
+        UNION ALL SELECT 'rows', count(*) FROM {name}
+        UNION ALL SELECT 'partitions', CAST(1 AS BIGINT)
+        UNION ALL SELECT 'null_keys', count(*) FROM {name}
+                  WHERE {' OR '.join(f'{key} IS NULL' for key in keys)}
+    ) AS {name}_checks"""
+        for name, keys in _VALIDATED.items()
+    ),
     _POSITIONS,
 )
 
@@ -362,7 +383,7 @@ _PROJECTED = (
 )
 
 
-def _geodesic(pairs: str) -> str:
+def _geodesic(pairs: str, steps: int = 12) -> str:
     """Vincenty's inverse formula over rows of `pairs`, one nested select per step."""
     sql = f"""
         SELECT *, l AS lam, sin(u1) AS su1, cos(u1) AS cu1, sin(u2) AS su2, cos(u2) AS cu2
@@ -387,7 +408,7 @@ def _geodesic(pairs: str) -> str:
                      su1 * su2 + cu1 * cu2 * cos(lam) AS cs
         FROM ({inner}) AS q) AS q) AS q) AS q) AS q
     """
-    for number in range(GEODESIC_STEPS):
+    for number in range(steps):
         dropped = "EXCLUDE (ss_, cs_, sg_, c2a_, c2m_)" if number else ""
         sql = step.format(inner=sql, dropped=dropped)
     return f"""
@@ -399,9 +420,6 @@ def _geodesic(pairs: str) -> str:
     """
 
 
-# steps of the geodesic in SQL, enough for two points of one country
-GEODESIC_STEPS = 12
-
 _VISIBLE = f"{_TS.format('extract_ts')} AS extract_ts, vehicle_id, fleet_number, lat, lon"
 
 
@@ -494,6 +512,12 @@ ORACLES: dict[str, str] = {
     ),
     "stop_distance_sphere": _distance("sphere_m", _SPHERE),
     "stop_distance_spheroid": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m"),
+    "stop_distance_numeric_id": _distance("planar_m", _PLANAR)
+    .replace("s.stop_id = '3'", "TRY_CAST(s.stop_id AS BIGINT) = 3")
+    .replace("p.fleet_number = '0008'", "TRY_CAST(p.fleet_number AS BIGINT) = 8"),
+    "stop_distance_far": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m").replace(
+        "s.stop_lat, s.stop_lon", "-s.stop_lat / 2 AS stop_lat, s.stop_lon + 120 AS stop_lon"
+    ),
     "stop_distance_targets": _TARGETS,
     "project_lest97": _GRID,
     "shift_partitions": _with(["gps_raw"], _SHIFTED),

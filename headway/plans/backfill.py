@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from datetime import date, timedelta
 from typing import NamedTuple
@@ -66,9 +67,18 @@ MODELS = {
 }
 
 
-# what a date's own files can bring about: bad rows, missing or other columns; the
-# CSV reader's complaint about a header is not translated into a PySpark error
-FAULTS = (PySparkException, Py4JJavaError, ValueError)
+# Errors that a date's own files can bring about, among those Spark may raise: bad rows and
+# other columns. The CSV reader's complaint about a header has no condition of its own.
+RAISED = (PySparkException, Py4JJavaError, ValueError)
+DATA_FAULTS = (
+    "CAST_INVALID_INPUT", "CAST_OVERFLOW", "CANNOT_PARSE", "USER_RAISED_EXCEPTION", "DATETIME",
+    "CSV header does not conform", "Number of column in CSV header",
+)
+
+
+def is_data_fault(error: Exception) -> bool:
+    """A fault of the files; anything else, such as lost executors, is not theirs."""
+    return isinstance(error, ValueError) or any(known in str(error) for known in DATA_FAULTS)
 
 
 def dates_between(first: date, last: date) -> list[date]:
@@ -136,7 +146,9 @@ def _profile_apart(spark: SparkSession, spec: Model, root: str, dates: list[date
     for d in dates:
         try:
             counts |= _profile(spark, spec, root, [d])
-        except FAULTS:
+        except RAISED as error:
+            if not is_data_fault(error):
+                raise
             counts[d] = (None, None)
     return counts
 
@@ -189,11 +201,15 @@ def backfill(
         try:
             _write(spark, spec, root, path, todo)
             counts = _written_rows(spark, spec, path, todo)
-        except FAULTS:
+        except RAISED as error:
+            if not is_data_fault(error):
+                raise
             apart = False
             try:
                 counts = _profile(spark, spec, root, todo)
-            except FAULTS:  # files of other columns: every date on its own
+            except RAISED as other:  # files of other columns: every date on its own
+                if not is_data_fault(other):
+                    raise
                 counts, apart = _profile_apart(spark, spec, root, todo), True
             clean = sorted(d for d, (_, bad) in counts.items() if bad == 0)
             if not apart and len(clean) == len(counts):
@@ -221,11 +237,18 @@ def backfill_all(
     dates: list[date] | None = None,
     overwrite: bool = False,
 ) -> tuple[DataFrame, bool]:
-    """Backfill several models; the flag is False if any date of any model failed."""
-    reports = [
-        backfill(spark, model, root, target, dates, overwrite)
-        for model in (models or list(MODELS))
-    ]
+    """Backfill several models; the flag is False if any date of any model failed.
+
+    A model that cannot be read or written at all is `failed` as a whole, without a
+    date, and the others go on.
+    """
+    reports = []
+    for model in models or list(MODELS):
+        try:
+            reports.append(backfill(spark, model, root, target, dates, overwrite))
+        except (*RAISED, OSError) as error:
+            logging.getLogger(__name__).error("%s: %s", model, error)
+            reports.append(_status_frame(spark, [(model, None, None, None, "failed")]))
     status = reports[0]
     for report in reports[1:]:
         status = status.unionByName(report)

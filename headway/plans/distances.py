@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.geo import (
@@ -52,6 +52,12 @@ def with_distances(df: DataFrame, methods: tuple[str, ...] = METHODS) -> DataFra
     return df.withColumns(columns)
 
 
+def _is_id(column: str, value: str, numeric: bool) -> Column:
+    if numeric and value.isascii() and value.isdigit():
+        return F.col(column).try_cast("bigint") == int(value)
+    return F.col(column) == value
+
+
 def stop_distances(
     positions: DataFrame,
     stops: DataFrame,
@@ -62,22 +68,26 @@ def stop_distances(
     stop_id: str,
     methods: tuple[str, ...] = METHODS,
     ordered: bool = True,
+    numeric_ids: bool = False,
 ) -> DataFrame:
     """Distance of every position of one vehicle on a line to one stop.
 
+    With `numeric_ids` a fleet number or stop id that is a number meets every way
+    of writing that number, such as `89` and `0089`; other ids are compared as text.
+
     The stop enters as a scalar subquery, so the positions are filtered and
     measured in one pass without a join. A stop id that is not unique fails the
     query; an unknown one gives no rows.
     """
     stop = (
-        stops.filter(F.col("stop_id") == stop_id)
+        stops.filter(_is_id("stop_id", stop_id, numeric_ids))
         .select(F.struct("stop_lat", "stop_lon").alias("stop"))
         .scalar()
     )
     measured = (
         positions.filter(F.col("line_number") == line)
         .filter(F.lower("destination") == destination.lower())
-        .filter(F.col("fleet_number") == fleet_number)
+        .filter(_is_id("fleet_number", fleet_number, numeric_ids))
         .select(*POSITION_COLUMNS, stop.alias("stop"))
         .filter(F.col("stop").isNotNull())
         .select(

@@ -19,6 +19,8 @@ KEYS = {
     "gtfs_trips": ["trip_id", "route_id", "service_id"],
     "gtfs_stops": ["stop_id"],
     "gtfs_stop_times": ["trip_id", "stop_id"],
+    "gtfs_calendar": ["service_id"],
+    "gtfs_calendar_dates": ["service_id", "date"],
 }
 
 COORDINATES = {"gps_positions": ("lat", "lon"), "gtfs_stops": ("stop_lat", "stop_lon")}

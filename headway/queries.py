@@ -40,7 +40,7 @@ from headway.plans.migrate import (
 )
 from headway.plans.schedule import scheduled_trips
 from headway.plans.validate import validate_layer
-from headway.schemas import GPS_RAW_COLUMNS
+from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES
 from headway.session import shared_folder, use_utc
 from headway.sources.archives import archive_status, read_archive_table, unpack_archives
 from headway.sources.landing import discover_dates, read_gps, read_gtfs
@@ -406,11 +406,11 @@ def rename_key_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     gps = standardize_gps(read_gps(spark, landing.gps_landing(spark, sf_dir)))
-    stops = standardize_gtfs(
-        read_gtfs(spark, landing.gtfs_landing(spark, sf_dir, "gtfs_stops"), "gtfs_stops"),
-        "gtfs_stops",
-    )
-    return validate_layer({"gps_positions": gps, "gtfs_stops": stops}, "extract_date")
+    tables = {
+        name: standardize_gtfs(read_gtfs(spark, landing.gtfs_landing(spark, sf_dir, name), name), name)
+        for name in GTFS_TABLES
+    }
+    return validate_layer({"gps_positions": gps, **tables}, "extract_date")
 
 
 def stream_gps_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,16 +452,22 @@ def travel_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stop_distance(*methods: str) -> Query:
+def _stop_distance(
+    *methods: str, fleet: str = FLEET, stop: str = FIRST_STOP, numeric: bool = False, far: bool = False
+) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stops = view(spark, sf_dir, "gtfs_stops")
+        if far:  # to the other side of the globe
+            stops = stops.withColumns({"stop_lat": -F.col("stop_lat") / 2, "stop_lon": F.col("stop_lon") + 120})
         found = stop_distances(
             _positions(spark, sf_dir),
-            view(spark, sf_dir, "gtfs_stops"),
+            stops,
             line=LINE,
             destination=HEADSIGN,
-            fleet_number=FLEET,
-            stop_id=FIRST_STOP,
+            fleet_number=fleet,
+            stop_id=stop,
             methods=methods,
+            numeric_ids=numeric,
         )
         names = [f"{method}_m" for method in methods]
         return rounded(
@@ -525,6 +531,8 @@ QUERIES: dict[str, Query] = {
     "stop_distance_projected": _stop_distance("projected"),
     "stop_distance_sphere": _stop_distance("sphere"),
     "stop_distance_spheroid": _stop_distance("spheroid"),
+    "stop_distance_numeric_id": _stop_distance("planar", fleet="8", stop="003", numeric=True),
+    "stop_distance_far": _stop_distance("spheroid", far=True),
     "stop_distance_targets": stop_distance_targets,
     "project_lest97": project_lest97_grid,
     "shift_partitions": shift_partitions,
