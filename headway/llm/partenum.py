@@ -13,8 +13,9 @@ Documents with equal sets are one class, known by the sum of their features' has
 task, equal signatures of a block are joined to the smallest id first, and only that one
 goes on, so a signature that many documents share is a few rows of the shuffle. Candidate
 pairs are verified on the texts: first every document with the candidate it shares most
-signatures with, then pairs whose ends are still apart, then whatever else shares a
-signature across components. What is left apart shares no link.
+signatures with, then pairs whose ends are still apart, then whatever else shares enough
+signatures across components. Sizes and the number of shared signatures rule out most pairs
+before. What is left apart shares no link.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,8 +34,8 @@ from headway.llm.components import components, labelled
 
 PARTITIONS = 2  # n2
 SUBSET_GAP = 1  # k2
-BAND = 1.5  # ratio of the lower ends of bands
-SETS = "doc_id long, n_shingles long, first long, second long"
+BAND = 1.35  # ratio of the lower ends of bands
+SETS = "doc_id long, n_shingles long, first long, second long, differ long"
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +73,9 @@ def shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray,
     return owner[new], code[new]
 
 
-def bands(size: np.ndarray, share: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Members, their band and its number of features that may differ: twice, as bands overlap."""
+def bands(size: np.ndarray, share: int) -> list[tuple[np.ndarray, ...]]:
+    """Members, band, its smallest size and its number of features that may differ: of each
+    set's own band, and of those below that reach as far."""
     lower = [1]
     top = int(size.max(initial=1))
     while lower[-1] <= top:
@@ -82,9 +84,24 @@ def bands(size: np.ndarray, share: int) -> list[tuple[np.ndarray, np.ndarray, np
     upper = (low[1:] - 1) * 100 // share
     differ = 2 * upper * (100 - share) // (100 + share)
     own = np.searchsorted(low, size, "right") - 1
-    every = np.flatnonzero(size > 0)
-    below = every[(own[every] > 0) & (size[every] <= upper[own[every] - 1])]
-    return [(every, own[every], differ[own[every]]), (below, own[below] - 1, differ[own[below] - 1])]
+    member, out = np.flatnonzero(size > 0), []
+    band = own[member]
+    while len(member):
+        out.append((member, band, low[band], differ[band]))
+        below = (band > 0) & (size[member] <= upper[band - 1])
+        member, band = member[below], band[below] - 1
+    return out
+
+
+def groups_for(need: np.ndarray, least: np.ndarray, n2: int, k2: int) -> np.ndarray:
+    """Enough groups above `need` for the weak ones that even the smallest sets of a band
+    will likely have; more would only make partitions smaller."""
+    groups = need + 1
+    for _ in range(4):
+        empty = np.exp(-least * (n2 - k2) / (groups * n2))
+        weak = groups * n2 * empty
+        groups = np.minimum(need + 1 + np.ceil(weak + 3 * np.sqrt(weak)), 2 * need + 2).astype(np.int64)
+    return groups
 
 
 def cut(
@@ -130,17 +147,17 @@ def signatures(
     first = np.searchsorted(row, np.arange(n))
     size = np.bincount(row, minlength=n)
     rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for member, band, differ in bands(size, share):
+    for member, band, least, differ in bands(size, share):
         need = differ // (k2 + 1) + 1
         for level in range(2):
-            groups = 2 * need + 2 if level else need + 1 + need // 32
+            groups = 2 * need + 2 if level else groups_for(need, least, n2, k2)
             salt = mixed((band * 4 + level).astype(np.uint64) + np.uint64(0x5151))
             local, signature, weak = cut(code, first[member], size[member], groups, salt, n2, k2)
             rows.append(member[local])
             found.append(signature)
             # a pair shares groups - need + 1 groups at least; one of them must not be weak
             again = weak >= groups - need + 1
-            member, band, need = member[again], band[again], need[again]
+            member, band, least, need = member[again], band[again], least[again], need[again]
         owner = np.repeat(member, size[member])
         at = np.repeat(first[member] - np.concatenate([[0], np.cumsum(size[member])[:-1]]), size[member])
         at = at + np.arange(len(at))
@@ -149,8 +166,9 @@ def signatures(
     return np.concatenate(rows), np.concatenate(found)
 
 
-def sets(documents: DataFrame, words_each: int) -> DataFrame:
-    """Size of each document's set and two sums of its features' hashes, which name the set."""
+def sets(documents: DataFrame, words_each: int, share: int) -> DataFrame:
+    """Size of each document's set, two sums of its features' hashes, which name the set,
+    and the number of features that may differ in its band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,10 +176,14 @@ def sets(documents: DataFrame, words_each: int) -> DataFrame:
                 row, code = shingles(*utf8(part.column("text")), words_each)
                 edge = np.searchsorted(row, np.arange(part.num_rows + 1))
                 total = [np.concatenate([[0], np.cumsum(mixed(code ^ np.uint64(s)))]).astype(np.uint64) for s in (3, 5)]
+                differ = np.zeros(part.num_rows, np.int64)
+                for member, _, _, allowed in bands(np.diff(edge), share)[:1]:
+                    differ[member] = allowed
                 yield pa.record_batch(
                     [part.column("doc_id"), pa.array(np.diff(edge)),
-                     *(pa.array((t[edge[1:]] - t[edge[:-1]]).view(np.int64)) for t in total)],
-                    names=["doc_id", "n_shingles", "first", "second"],
+                     *(pa.array((t[edge[1:]] - t[edge[:-1]]).view(np.int64)) for t in total),
+                     pa.array(differ)],
+                    names=["doc_id", "n_shingles", "first", "second", "differ"],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(run, SETS)
@@ -177,10 +199,11 @@ def signed(documents: DataFrame, words_each: int, share: int) -> DataFrame:
                 owner, signature = signatures(row, code, part.num_rows, share)
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)[owner].astype(np.int64)
                 order = np.argsort(signature)
-                ids, signature = ids[order], signature[order]
-                edge = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(ids) else np.zeros(0, np.int64)
-                rep = np.repeat(np.minimum.reduceat(ids, edge), np.diff(np.append(edge, len(ids)))) if len(ids) else ids
-                # equal rows need no second copy
+                ranked = signature[order]
+                edge = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ids) else np.zeros(0, np.int64)
+                rep = ids.copy()  # rows stay in the order of documents, which packs well
+                if len(ids):
+                    rep[order] = np.repeat(np.minimum.reduceat(ids[order], edge), np.diff(np.append(edge, len(ids))))
                 yield pa.record_batch(
                     [pa.array(signature.view(np.int64)), pa.array(ids), pa.array(rep)],
                     names=["signature", "id", "rep"],
@@ -230,15 +253,34 @@ def compared(texts: DataFrame, pairs: DataFrame, words_each: int, share: int) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def least_shared(differ: Column, sizes: Column, share: int) -> Column:
+    """How many signatures two similar sets share at least, given their sizes together.
+
+    Of the 2 n1 partitions of a cut, those of n1 - need weak groups may be empty, and each
+    feature that differs takes one away; `differ` is what the band allows at most.
+    """
+    return F.greatest(F.lit(1), differ + 1 - F.floor(sizes * (100 - share) / (100 + share)))
+
+
 def alike(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
-    """Pairs whose sizes allow the similarity."""
+    """Pairs whose sizes and number of shared signatures, `support`, allow the similarity."""
     for end in ("a", "b"):
-        own = sizes.select(
-            F.col("doc_id").alias(end), F.col("least").alias(f"{end}_least"), F.col("most").alias(f"{end}_most")
-        )
-        pairs = pairs.join(own, end)
+        pairs = pairs.join(sizes.select(
+            F.col("doc_id").alias(end), F.col("least").alias(f"{end}_least"),
+            F.col("most").alias(f"{end}_most"), F.col("differ").alias(f"{end}_differ"),
+        ), end)
     fits = 100 * F.least("a_most", "b_most") >= share * F.greatest("a_least", "b_least")
-    return pairs.filter(fits).drop("a_least", "a_most", "b_least", "b_most")
+    enough = least_shared(F.least("a_differ", "b_differ"), F.col("a_most") + F.col("b_most"), share)
+    return pairs.filter(fits & (F.col("support") >= enough)).select("a", "b", "support")
+
+
+def viable(members: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Members that meet others in as many signatures as any similar set would ask for."""
+    counts = members.groupBy("id").agg(F.count("*").alias("met"))
+    own = sizes.withColumnRenamed("doc_id", "id")
+    enough = least_shared(F.col("differ"), F.col("most") + F.floor(F.col("most") * 100 / share), share)
+    ids = keep(counts.join(own, "id").filter(F.col("met") >= enough).select("id"), "viable")
+    return members.join(ids, "id", "left_semi")
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -247,17 +289,20 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.filter("of_a <> of_b").drop("of_a", "of_b")
 
 
-def across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a signature across components: what joining to one member of each
-    signature has left open. Signatures within one component have none."""
+def across(members: DataFrame, labels: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Pairs that share signatures across components, as many as similar sets do: what
+    joining to one member of each signature has left open."""
     placed = keep(labelled(members, "id", labels, "component"), "placed")
-    mixed_up = placed.groupBy("signature").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low <> high")
-    open_ = keep(placed.join(keep(mixed_up.select("signature"), "open"), "signature", "left_semi"), "open")
-    left = open_.select("signature", F.col("id").alias("a"), F.col("component").alias("of_a"))
-    right = open_.select("signature", F.col("id").alias("b"), F.col("component").alias("of_b"))
-    return left.join(right, "signature").filter("of_a > of_b").select("a", "b").distinct()
+    for _ in range(2):
+        several = placed.groupBy("signature").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        ).filter("low <> high")
+        open_ = placed.join(keep(several.select("signature"), "open"), "signature", "left_semi")
+        placed = keep(viable(keep(open_, "open-members"), sizes, share), "open-members")
+    left = placed.select("signature", F.col("id").alias("a"), F.col("component").alias("of_a"))
+    right = placed.select("signature", F.col("id").alias("b"), F.col("component").alias("of_b"))
+    pairs = left.join(right, "signature").filter("of_a > of_b").groupBy("a", "b")
+    return alike(pairs.agg(F.count("*").alias("support")), sizes, share)
 
 
 def link_components(documents: DataFrame, words_each: int, share: int) -> DataFrame:
@@ -267,24 +312,28 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     other. Rows of one doc_id are one vertex; a null doc_id links with nothing and has no
     component. Other columns are not read; an empty table gives no rows.
     """
-    sized = keep(sets(documents, words_each), "sets")
+    sized = keep(sets(documents, words_each, share), "sets")
     same = ["n_shingles", "first", "second"]
     some = sized.filter("n_shingles > 0 and doc_id is not null")
     leaders = some.groupBy(*same).agg(F.min("doc_id").alias("leader"), F.count("*").alias("n"))
     leaders = keep(leaders.filter("n > 1").drop("n"), "leaders")
     copies = some.join(leaders, same).select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
     member = components(copies)
-    sizes = some.groupBy("doc_id").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    sizes = keep(sizes, "sizes")
+    sizes = keep(some.groupBy("doc_id").agg(
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("differ").alias("differ")
+    ), "sizes")
 
     met = keep(shared(signed(documents, words_each, share)), "signatures")
-    met = labelled(labelled(met, "id", member, "a"), "least", member, "b").filter("a <> b")
-    met = keep(met.select("signature", "a", "b"), "met")
-    tried = keep(alike(met.groupBy("a", "b").agg(F.count("*").alias("support")), sizes, share), "candidates")
-    wanted = tried.select(F.col("a").alias("doc_id")).union(tried.select("b"))
-    members = met.select("signature", F.col("a").alias("id")).union(met.select("signature", "b")).distinct()
+    members = met.select("signature", F.explode(F.array("id", "least")).alias("doc"))
+    members = labelled(members, "doc", member, "id").select("signature", "id").distinct()
+    members = keep(viable(keep(members, "members"), sizes, share), "members")
+    first = members.groupBy("signature").agg(F.min("id").alias("b"), F.count("*").alias("n"))
+    first = keep(first.filter("n > 1").drop("n"), "first-members")
+    tried = members.join(first, "signature").filter("id <> b").groupBy(F.col("id").alias("a"), "b")
+    tried = keep(alike(tried.agg(F.count("*").alias("support")), sizes, share), "candidates")
+    wanted = keep(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
     texts = documents.select("doc_id", "text").filter("text is not null")
-    texts = keep(texts.join(keep(wanted.distinct(), "wanted"), "doc_id", "left_semi"), "texts")
+    texts = keep(texts.join(wanted, "doc_id", "left_semi"), "texts")
 
     best = keep(tried.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
     links = keep(compared(texts, best, words_each, share), "links")
@@ -292,9 +341,8 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     rest = keep(apart(tried, labels).join(best, ["a", "b"], "left_anti"), "rest")
     links = keep(links.unionByName(compared(texts, rest, words_each, share)), "links")
     labels = components(links)
-    crossing = alike(across(members, labels), sizes, share).select("a", "b")
-    crossing = keep(crossing.join(tried, ["a", "b"], "left_anti"), "crossing")
-    links = links.unionByName(compared(texts, crossing, words_each, share))
+    crossing = across(members, labels, sizes, share).join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(compared(texts, keep(crossing, "crossing"), words_each, share))
     edges = links.unionByName(member.select(F.col("id").alias("a"), F.col("component").alias("b")))
     return labelled(sized, "doc_id", components(edges), "component_id").select(
         "doc_id", "n_shingles", "component_id"
