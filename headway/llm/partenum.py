@@ -289,16 +289,56 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.filter("of_a <> of_b").drop("of_a", "of_b")
 
 
-def across(members: DataFrame, labels: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+def unshared(texts: DataFrame, words_each: int) -> DataFrame:
+    """id and `alone`, the number of its features that no other of the texts has.
+
+    A feature that several texts of a block have is one row without an id, so one that
+    very many share is a row for each block.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch, "text"):
+                row, code = shingles(*utf8(part.column("text")), words_each)
+                if not len(row):
+                    continue
+                ids = part.column("doc_id").to_numpy()[row]
+                order = np.argsort(code)
+                ids, code = ids[order], code[order]
+                edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+                several = np.minimum.reduceat(ids, edge) != np.maximum.reduceat(ids, edge)
+                yield pa.record_batch(
+                    [pa.array(code[edge].view(np.int64)), pa.array(ids[edge], mask=several)], names=["code", "id"]
+                )
+
+    owners = texts.select("doc_id", "text").mapInArrow(run, "code long, id long").groupBy("code").agg(
+        F.min("id").alias("id"), F.max("id").alias("last"), F.count_if(F.col("id").isNull()).alias("shared")
+    )
+    return owners.filter("shared = 0 and id = last").groupBy("id").agg(F.count("*").alias("alone"))
+
+
+def across(
+    members: DataFrame, labels: DataFrame, sizes: DataFrame, texts: DataFrame, words_each: int, share: int
+) -> DataFrame:
     """Pairs that share signatures across components, as many as similar sets do: what
-    joining to one member of each signature has left open."""
+    joining to one member of each signature has left open.
+
+    A member goes if too many of its features are in no other open member: whatever a
+    similar set lacks is at most 100 - `share` percent of it.
+    """
     placed = keep(labelled(members, "id", labels, "component"), "placed")
-    for _ in range(2):
+    for turn in range(3):
         several = placed.groupBy("signature").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high")
         open_ = placed.join(keep(several.select("signature"), "open"), "signature", "left_semi")
         placed = keep(viable(keep(open_, "open-members"), sizes, share), "open-members")
+        if turn < 2:
+            ids = keep(placed.select(F.col("id").alias("doc_id")).distinct(), "open-ids")
+            alone = unshared(texts.join(ids, "doc_id", "left_semi"), words_each)
+            alone = alone.join(sizes.select(F.col("doc_id").alias("id"), "most"), "id")
+            gone = alone.filter(100 * (F.col("most") - F.col("alone")) < share * F.col("most"))
+            placed = placed.join(keep(gone.select("id"), "lonely"), "id", "left_anti")
     left = placed.select("signature", F.col("id").alias("a"), F.col("component").alias("of_a"))
     right = placed.select("signature", F.col("id").alias("b"), F.col("component").alias("of_b"))
     pairs = left.join(right, "signature").filter("of_a > of_b").groupBy("a", "b")
@@ -341,7 +381,7 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     rest = keep(apart(tried, labels).join(best, ["a", "b"], "left_anti"), "rest")
     links = keep(links.unionByName(compared(texts, rest, words_each, share)), "links")
     labels = components(links)
-    crossing = across(members, labels, sizes, share).join(tried, ["a", "b"], "left_anti")
+    crossing = across(members, labels, sizes, texts, words_each, share).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(compared(texts, keep(crossing, "crossing"), words_each, share))
     edges = links.unionByName(member.select(F.col("id").alias("a"), F.col("component").alias("b")))
     return labelled(sized, "doc_id", components(edges), "component_id").select(
