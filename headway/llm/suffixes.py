@@ -236,7 +236,7 @@ def cut_out(documents: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
                 )
 
     grouped = wanted.groupBy("doc").agg(
-        F.collect_list(F.struct("gram", "start", "n", "split")).alias("parts")
+        F.collect_set(F.struct("gram", "start", "n", "split")).alias("parts")
     )
     texts = documents.select(F.coalesce("doc_id", F.lit(int(LAST))).alias("doc"), "text")
     return texts.join(grouped, "doc").select("doc", "text", "parts").mapInArrow(
@@ -303,12 +303,12 @@ def repeated(documents: DataFrame, span: int = SPAN) -> DataFrame:
     placed = several.join(leads, ["gram", "content"])
     is_lead = F.struct("doc", "start") == F.col("lead")
     grams = keep(leads.groupBy("gram").agg(F.count("*").alias("contents")).filter("contents > 1"), "grams")
-    total = leads.join(grams, "gram", "left_semi").count()
+    total = grams.agg(F.sum("contents")).first()[0] or 0
     share = F.lit(max(LEAST_SHARE, total // (2 * slots)))
     wanted = placed.filter(is_lead).join(grams, "gram").select(
         "gram", "doc", "start", "n", (F.col("contents") > share).alias("split")
     )
-    wanted = keep(wanted.distinct(), "wanted")
+    wanted = keep(wanted, "wanted")
     strings_in_all = wanted.agg(F.sum("n")).first()[0] or 0
     buckets = max(slots, -(-strings_in_all // BUCKET))
     found = keep(matched(cut_out(documents, wanted, span), span, buckets), "matched")
