@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.session import shared_folder
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20  # numpy work takes about a hundred times as much memory
 # white space of the word pattern [^\x20\x09-\x0D]+
 SPACES = (32, 9, 10, 11, 12, 13)
 
