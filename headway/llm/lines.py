@@ -6,8 +6,8 @@ the next character does, too. So each character of a line is in a shingle, and t
 follows the words. The signature is the minimum of each of `BANDS` x `ROWS` hashes. Equal
 lines collapse in the same aggregation, known by two 64-bit hashes, so no text is shuffled
 for it. Lines that agree in a band are candidates: each is compared with the first line of
-the band, best supported candidates first, then with its neighbour in the band where that
-has left several components. A pair is linked if the exact Jaccard similarity of the two
+the band, best supported candidates first, then with every line of the band that is still in
+another component. A pair is linked if the exact Jaccard similarity of the two
 sets is at least `SIMILARITY`. One line of each component is kept, the first of the corpus.
 """
 
@@ -24,6 +24,7 @@ SHINGLE = 10
 BANDS = 8
 ROWS = 2
 SIMILARITY = 0.7
+CHUNK = 500  # lines of a band that meet in one group
 LAST = (1 << 63) - 1
 # scripts that are written without spaces, fixed ranges of Unicode blocks
 UNSPACED = "\\u3040-\\u30ff\\u3400-\\u9fff\\uac00-\\ud7af"
@@ -92,6 +93,31 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return found.filter("of_a <> of_b").select("a", "b")
 
 
+def crossing(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every pair (a, b) of a band whose ends are in different components.
+
+    A band of many lines is dealt into chunks, and each pair of chunks is a group of its own.
+    """
+    placed = keep(labelled(members, "id", labels, "component"), "placed")
+    open_ = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    ).filter("low <> high")
+    open_ = keep(open_.select("band", F.ceil(F.col("n") / CHUNK).alias("chunks")), "open")
+    dealt = placed.join(open_, "band").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
+    dealt = dealt.select("band", "id", "component", "chunk", other).select(
+        "band", "id", "component", "chunk",
+        F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
+    )
+    dealt = keep(dealt, "dealt")
+    group = ["band", "one", "two"]
+    left = dealt.select(*group, F.col("id").alias("a"), F.col("component").alias("of_a"), F.col("chunk").alias("in_a"))
+    right = dealt.select(*group, F.col("id").alias("b"), F.col("component").alias("of_b"), F.col("chunk").alias("in_b"))
+    # two lines of one chunk meet where the chunk meets itself
+    met = left.join(right, group).filter("of_a > of_b and (one = two or in_a <> in_b)")
+    return met.select("a", "b").distinct()
+
+
 def line_components(documents: DataFrame) -> DataFrame:
     """h1, h2, the first document, and `component` of every distinct line."""
     lines = keep(signed(documents).withColumn("id", F.monotonically_increasing_id()), "lines")
@@ -104,26 +130,25 @@ def line_components(documents: DataFrame) -> DataFrame:
     shared = bands.groupBy("band").agg(F.min("id").alias("b"), F.count("*").alias("n"))
     shared = keep(shared.filter("n > 1").drop("n"), "bands")
     # both sides of the join come from files, so Spark can split a band of many lines
-    members = keep(bands.join(shared, "band").filter("id <> b"), "band-members")
-    pairs = keep(members.groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("support")), "line-pairs")
+    members = keep(bands.join(shared, "band"), "band-members")
+    pairs = members.filter("id <> b").groupBy(F.col("id").alias("a"), "b")
+    pairs = keep(pairs.agg(F.count("*").alias("support")), "line-pairs")
     best = keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
     links = keep(linked(documents, best, lines), "line-links")
     labels = components(links)
     rest = keep(apart(pairs.join(best, ["a", "b"], "left_anti"), labels), "line-rest")
-    # neighbours in bands that still hold several components
-    every = members.select("band", "id").union(members.select("band", F.col("b").alias("id"))).distinct()
-    placed = keep(labelled(every, "id", labels, "component"), "placed")
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = keep(open_.filter("low <> high").select("band"), "open")
-    beside = Window.partitionBy("band").orderBy("component", "id")
-    near = placed.join(open_, "band", "left_semi").withColumns(
-        {"b": F.lag("id").over(beside), "of_b": F.lag("component").over(beside)}
-    )
-    near = near.filter("of_b <> component").select(F.col("id").alias("a"), "b").distinct()
-    rest = keep(rest.union(near.join(pairs, ["a", "b"], "left_anti")).distinct(), "line-rest")
     if not rest.isEmpty():
         links = keep(links.unionByName(linked(documents, rest, lines)), "line-links")
         labels = components(links)
+    # `b` is the smallest id of its bands, so a pair that was tried has it second
+    tried = keep(pairs.select(F.col("a").alias("high"), F.col("b").alias("low")), "line-tried")
+    cross = crossing(members.select("band", "id"), labels)
+    ordered = [F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")]
+    cross = cross.select("a", "b", *ordered).join(tried, ["high", "low"], "left_anti").select("a", "b")
+    cross = keep(cross, "line-crossing")
+    if not cross.isEmpty():
+        links = keep(links.unionByName(linked(documents, cross, lines)), "line-links")
+        labels = components(links)
     return labelled(lines.select("id", "h1", "h2", "doc"), "id", labels, "component")
 
 

@@ -94,6 +94,20 @@ def test_edited_lines(documents):
     assert plain <= got and len(got & fuzzy) >= 0.98 * len(fuzzy) and len(got - fuzzy) <= 2
 
 
+def test_crowded_bands(documents):
+    """Lines of one beginning fill the same bands, and a few are similar besides."""
+    rng = np.random.default_rng(11)
+    words = lambda n: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(n)]
+    head = words(30)
+    text = [" ".join(head + words(7)) for _ in range(300)]
+    for _ in range(40):
+        own = words(3)
+        text += [" ".join(head + own + words(3)) for _ in range(2)]
+    rows = [(i, line) for i, line in enumerate(text)]
+    got = dropped(lines.summaries(documents(rows)).collect())
+    assert got == {(i, 0) for i in range(301, 380, 2)}
+
+
 def test_edges(edges, documents):
     rows = [(i, t) for i, t in EDGES]
     got = lines.summaries(edges.withColumnRenamed("n_words", "doc")).collect()
