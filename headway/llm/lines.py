@@ -1,14 +1,15 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
-A line is the set of its character shingles: every word opens one of `SHINGLE` characters,
-which runs on into the words after it, or is one if it is longer; in scripts without spaces
-the next character does, too. So each character of a line is in a shingle, and their number
-follows the words. The signature is the minimum of each of `BANDS` x `ROWS` hashes. Equal
-lines collapse in the same aggregation, known by two 64-bit hashes, so no text is shuffled
-for it. Lines that agree in a band are candidates: each is compared with the first line of
-the band, best supported candidates first, then with every line of the band that is still in
-another component. A pair is linked if the exact Jaccard similarity of the two
-sets is at least `SIMILARITY`. One line of each component is kept, the first of the corpus.
+A line is the set of its shingles of `CHARACTERS` characters, one at every character. The
+signature is the minimum of each of `BANDS` x `ROWS` hashes of them. Equal lines collapse in
+the same aggregation, known by two 64-bit hashes, so no text is shuffled for it. Lines that
+agree in a band are candidates: each is compared with the first line of the band, best
+supported candidates first, then with every line of the band that is still in another
+component. A pair is linked if the Jaccard similarity of the two sets, with shingles known
+by 64-bit hashes, is at least `ALIKE`, or that of their shingles at words is at least
+`SIMILARITY`: every word opens one of `SHINGLE` characters, which runs on into the words
+after it, or is one if it is longer; in scripts without spaces the next character does, too.
+One line of each component is kept, the first of the corpus.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql.window import Window
 from headway.llm.common import free_name, keep
 from headway.llm.components import components, labelled
 
+CHARACTERS = 8
+ALIKE = 0.8
 SHINGLE = 10
 BANDS = 8
 ROWS = 2
@@ -48,14 +51,36 @@ def shingles(line: str) -> Column:
     return F.when(F.col(line).rlike(f"[{UNSPACED}]"), every[0]).otherwise(every[1])
 
 
+def windows(code: Column) -> Column:
+    """Where the shingles of a line of UTF-32 start; a shorter line is one."""
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.octet_length(code) / 4).cast("int") - CHARACTERS))
+
+
+def window(code: Column, at: Column) -> Column:
+    # bytes of a fixed width, so that a place is reached without a walk through the line
+    return F.substring(code, at * 4 + 1, F.lit(4 * CHARACTERS))
+
+
+def coded(line: str) -> Column:
+    """The hashes of all shingles of a line, as often as they are there."""
+    # held by a variable, as a row would copy all bytes each time it is asked for them
+    one = F.transform(
+        F.array(F.encode(line, "UTF-32")),
+        lambda code: F.transform(windows(code), lambda at: F.xxhash64(window(code, at))),
+    )
+    return F.flatten(one)
+
+
 def signed(documents: DataFrame) -> DataFrame:
     """One row per distinct line: hashes, a document that has it, minima `m0`, `m1`, ..."""
-    marked = occurrences(documents).select("doc", "h1", "h2", F.explode(shingles("line")).alias("shingle"))
-    code = F.hash("shingle")
+    own = occurrences(documents).select("doc", "h1", "h2", F.encode("line", "UTF-32").alias("code"))
+    marked = own.select("doc", "h1", "h2", "code", F.explode(windows(F.col("code"))).alias("at"))
+    code = F.hash(window(F.col("code"), F.col("at")))
+    marked = marked.select("doc", "h1", "h2", code.alias("shingle"))
     # the element nearest to a random number by exclusive or is a fair draw from the set;
     # multiples of the golden ratio spread those numbers over all 32 bits
     draws = [(i * 0x9E3779B1 + 0x7F4A7C15) % (1 << 32) - (1 << 31) for i in range(BANDS * ROWS)]
-    minima = [F.min(code.bitwiseXOR(F.lit(d))).alias(f"m{i}") for i, d in enumerate(draws)]
+    minima = [F.min(F.col("shingle").bitwiseXOR(F.lit(d))).alias(f"m{i}") for i, d in enumerate(draws)]
     # numbers only, so that rows are aggregated by hash and not by sorting
     return marked.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), *minima)
 
@@ -78,14 +103,20 @@ def similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    sets = F.struct(
-        F.array_distinct(shingles("line_a")).alias("a"), F.array_distinct(shingles("line_b")).alias("b")
-    )
-    # a generator in between, or every use of a set below would extract it again
-    both = both.select("a", "b", F.explode(F.array(sets)).alias("set"))
-    common = F.size(F.array_intersect("set.a", "set.b"))
-    sizes = F.size("set.a") + F.size("set.b")
-    return both.filter((1 + SIMILARITY) * common >= SIMILARITY * sizes).select("a", "b")
+    every = [coded(c) for c in ("line_a", "line_b")]
+    by_word = [shingles(c) for c in ("line_a", "line_b")]
+    return both.filter(reached(*every, ALIKE) | reached(*by_word, SIMILARITY)).select("a", "b")
+
+
+def reached(left: Column, right: Column, share: float) -> Column:
+    """Whether the Jaccard similarity of two arrays, as sets, is at least `share`."""
+    sets = F.struct(F.array_distinct(left).alias("a"), F.array_distinct(right).alias("b"))
+
+    def enough(both: Column) -> Column:
+        return (1 + share) * F.size(F.array_intersect(both.a, both.b)) >= share * (F.size(both.a) + F.size(both.b))
+
+    # the variable of a function holds the sets, or every use of one would extract it again
+    return F.exists(F.array(sets), enough)
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -94,6 +94,51 @@ def test_edited_lines(documents):
     assert plain <= got and len(got & fuzzy) >= 0.98 * len(fuzzy) and len(got - fuzzy) <= 2
 
 
+def every_shingle(line: str) -> set:
+    return {line[i : i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def close(rows: list) -> set:
+    """Pairs of lines, as (doc, place), with at least 0.8 of all 8-character shingles in common."""
+    sets = [((doc, place), every_shingle(line)) for doc, text in rows for place, line in enumerate(text.split("\n"))]
+    return {
+        (a, b)
+        for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if len(x & y) >= 0.8 * len(x | y)
+    }
+
+
+def test_every_shingle(documents):
+    """Short lines, edits in mid-line and scripts without spaces, against all character shingles."""
+    rng = np.random.default_rng(5)
+    word = lambda n=5: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    rows = [
+        (0, "漢字仮名交じり文の長い行がここに在りますので比較されます\n漢字仮名交じり文の長い行がここに在りますので比較されまし"),
+        (1, "😀 " + "ab cd " * 9 + "\n😀 " + "ab cd " * 9 + "x"),
+    ]
+    for i in range(2, 60):
+        text = [" ".join(word() for _ in range(5)), word(30), " ".join(word(6) for _ in range(12)), word(90)]
+        for base in list(text):
+            at = len(base) - 1 if len(base) < 80 else len(base) // 2
+            text.append(f"{base[:at]}z{base[at + 1 :]}")
+        rows.append((i, "\n".join(text)))
+    for i in range(60, 100):
+        base = [word() for _ in range(14)]
+        rows.append((i, " ".join(base) + "\n" + " ".join([*base[:7], base[7][:4] + "q", *base[8:]])))
+    wanted = close(rows)
+    assert len(wanted) > 200 and ((0, 0), (0, 1)) in wanted
+    found = {(r.doc, r.place): r.component for r in lines.verdicts(documents(rows)).collect()}
+    lost = [p for p in wanted if found[p[0]] != found[p[1]]]
+    assert len(lost) <= 0.01 * len(wanted) and ((0, 0), (0, 1)) not in lost
+
+
+def test_every_shingle_of_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    found = {(r.doc, r.place): r.component for r in lines.verdicts(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()}
+    wanted = {p for p in close([(i, t) for i, t in rows if t]) if p[0] in found and p[1] in found}
+    lost = [p for p in wanted if found[p[0]] != found[p[1]]]
+    assert wanted and len(lost) <= 0.01 * len(wanted)
+
+
 def test_crowded_bands(documents):
     """Lines of one beginning fill the same bands, and a few are similar besides."""
     rng = np.random.default_rng(11)
