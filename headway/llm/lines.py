@@ -184,9 +184,9 @@ def line_components(documents: DataFrame) -> DataFrame:
 
 
 def verdicts(documents: DataFrame) -> DataFrame:
-    """doc, place, component and kept of every line with a visible character.
+    """doc, place, component, keeper and kept of every line with a visible character.
 
-    `component` is the same for all lines that go together. Rows that repeat a doc_id share
+    `keeper` is the document that keeps a line of the component. `component` is the same for all lines that go together. Rows that repeat a doc_id share
     their verdicts where their lines are equal; rows without an id come last.
     """
     found = line_components(documents)
@@ -197,7 +197,7 @@ def verdicts(documents: DataFrame) -> DataFrame:
     # the first document that has the component keeps its first line of it
     first = F.min("place").over(Window.partitionBy("doc", "component"))
     return own.withColumn("first", first).select(
-        "doc", "place", "component",
+        "doc", "place", "component", "keeper",
         ((F.col("doc") == F.col("keeper")) & (F.col("place") == F.col("first"))).alias("kept"),
     )
 
@@ -205,6 +205,9 @@ def verdicts(documents: DataFrame) -> DataFrame:
 def summaries(documents: DataFrame) -> DataFrame:
     """Lines with a visible character, dropped ones and their places, per document with any.
 
+    `classes` has the component of each of these lines and the document that keeps one of it:
+    there the line kept is the first with that component.
+
     A null text has no lines, as has an empty one: those documents give no row, nor does an
     empty table. Other columns are not read.
     """
@@ -213,7 +216,11 @@ def summaries(documents: DataFrame) -> DataFrame:
         F.count("*").alias("n_lines"),
         F.count_if(~F.col("kept")).alias("n_dropped"),
         F.array_sort(F.collect_set(F.when(~F.col("kept"), F.col("place")))).alias("dropped"),
-    ).select(F.nullif("doc", F.lit(LAST)).alias("doc_id"), "n_lines", "n_dropped", "dropped")
+        # rows that repeat a doc_id have one class for each of their texts' lines
+        F.array_sort(F.collect_set(F.struct(
+            "place", "component", F.nullif("keeper", F.lit(LAST)).alias("keeper"), "kept"
+        ))).alias("classes"),
+    ).select(F.nullif("doc", F.lit(LAST)).alias("doc_id"), "n_lines", "n_dropped", "dropped", "classes")
 
 
 def without_repeated_lines(documents: DataFrame) -> DataFrame:

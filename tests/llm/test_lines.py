@@ -161,6 +161,17 @@ def test_edges(edges, documents):
     assert lines.summaries(documents([])).count() == 0
 
 
+def test_classes(documents):
+    rows = [(2, "one line of this text\nown"), (1, "first\none line of this text"), (None, "one line of this text")]
+    got = {r.doc_id: r for r in lines.summaries(documents(rows)).collect()}
+    kept = got[1].classes[1]
+    assert (kept.place, kept.keeper, kept.kept) == (1, 1, True)
+    for doc in (2, None):
+        line = got[doc].classes[0]
+        assert (line.place, line.component, line.keeper, line.kept) == (0, kept.component, 1, False)
+    assert (got[2].classes[1].keeper, got[2].classes[1].kept) == (2, True)
+
+
 def test_texts(documents):
     rows = [(2, "one line of this text\n\nanother line there"), (1, "one line of this text\nfirst has its own"), (3, "another line there"), (4, None), (5, "")]
     df = documents(rows, "1 as lost_lines")
