@@ -35,7 +35,7 @@ from headway.llm.components import components, labelled
 PARTITIONS = 2  # n2
 SUBSET_GAP = 1  # k2
 BAND = 1.35  # ratio of the lower ends of bands
-SETS = "doc_id long, n_shingles long, first long, second long, differ long"
+SETS = "doc_id long, n_shingles long, first long, second long, differ long, asks long"
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,6 +93,25 @@ def bands(size: np.ndarray, share: int) -> list[tuple[np.ndarray, ...]]:
     return out
 
 
+def asked(size: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set, how many features may differ in its own band, and how many signatures it
+    shares at least with any similar set.
+
+    A set as large or larger shares the set's own band, a smaller one its own, which may be
+    lower: the least over all of them holds for every partner.
+    """
+    own, asks = np.zeros(len(size), np.int64), np.full(len(size), np.iinfo(np.int64).max)
+    largest = size * 100 // share
+    for turn, (member, _, least, differ) in enumerate(bands(size, share)):
+        if not turn:
+            own[member] = differ
+        both = size[member] + largest[member]
+        asks[member] = np.minimum(asks[member], np.maximum(1, differ + 1 - both * (100 - share) // (100 + share)))
+        # what has a lower band as its own is smaller than all of this one
+        largest[member] = least - 1
+    return own, asks
+
+
 def groups_for(need: np.ndarray, least: np.ndarray, n2: int, k2: int) -> np.ndarray:
     """Enough groups above `need` for the weak ones that even the smallest sets of a band
     will likely have; more would only make partitions smaller."""
@@ -168,7 +187,7 @@ def signatures(
 
 def sets(documents: DataFrame, words_each: int, share: int) -> DataFrame:
     """Size of each document's set, two sums of its features' hashes, which name the set,
-    and the number of features that may differ in its band."""
+    and what asked() says of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,14 +195,12 @@ def sets(documents: DataFrame, words_each: int, share: int) -> DataFrame:
                 row, code = shingles(*utf8(part.column("text")), words_each)
                 edge = np.searchsorted(row, np.arange(part.num_rows + 1))
                 total = [np.concatenate([[0], np.cumsum(mixed(code ^ np.uint64(s)))]).astype(np.uint64) for s in (3, 5)]
-                differ = np.zeros(part.num_rows, np.int64)
-                for member, _, _, allowed in bands(np.diff(edge), share)[:1]:
-                    differ[member] = allowed
+                differ, asks = asked(np.diff(edge), share)
                 yield pa.record_batch(
                     [part.column("doc_id"), pa.array(np.diff(edge)),
                      *(pa.array((t[edge[1:]] - t[edge[:-1]]).view(np.int64)) for t in total),
-                     pa.array(differ)],
-                    names=["doc_id", "n_shingles", "first", "second", "differ"],
+                     pa.array(differ), pa.array(asks)],
+                    names=["doc_id", "n_shingles", "first", "second", "differ", "asks"],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(run, SETS)
@@ -274,12 +291,11 @@ def alike(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
     return pairs.filter(fits & (F.col("support") >= enough)).select("a", "b", "support")
 
 
-def viable(members: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+def viable(members: DataFrame, sizes: DataFrame) -> DataFrame:
     """Members that meet others in as many signatures as any similar set would ask for."""
     counts = members.groupBy("id").agg(F.count("*").alias("met"))
-    own = sizes.withColumnRenamed("doc_id", "id")
-    enough = least_shared(F.col("differ"), F.col("most") + F.floor(F.col("most") * 100 / share), share)
-    ids = keep(counts.join(own, "id").filter(F.col("met") >= enough).select("id"), "viable")
+    own = sizes.select(F.col("doc_id").alias("id"), "asks")
+    ids = keep(counts.join(own, "id").filter("met >= asks").select("id"), "viable")
     return members.join(ids, "id", "left_semi")
 
 
@@ -332,7 +348,7 @@ def across(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high")
         open_ = placed.join(keep(several.select("signature"), "open"), "signature", "left_semi")
-        placed = keep(viable(keep(open_, "open-members"), sizes, share), "open-members")
+        placed = keep(viable(keep(open_, "open-members"), sizes), "open-members")
         if turn < 2:
             ids = keep(placed.select(F.col("id").alias("doc_id")).distinct(), "open-ids")
             alone = unshared(texts.join(ids, "doc_id", "left_semi"), words_each)
@@ -360,13 +376,14 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     copies = some.join(leaders, same).select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
     member = components(copies)
     sizes = keep(some.groupBy("doc_id").agg(
-        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("differ").alias("differ")
+        F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("differ").alias("differ"),
+        F.min("asks").alias("asks"),
     ), "sizes")
 
     met = keep(shared(signed(documents, words_each, share)), "signatures")
     members = met.select("signature", F.explode(F.array("id", "least")).alias("doc"))
     members = labelled(members, "doc", member, "id").select("signature", "id").distinct()
-    members = keep(viable(keep(members, "members"), sizes, share), "members")
+    members = keep(viable(keep(members, "members"), sizes), "members")
     first = members.groupBy("signature").agg(F.min("id").alias("b"), F.count("*").alias("n"))
     first = keep(first.filter("n > 1").drop("n"), "first-members")
     tried = members.join(first, "signature").filter("id <> b").groupBy(F.col("id").alias("a"), "b")

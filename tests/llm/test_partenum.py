@@ -97,3 +97,16 @@ def test_components(spark):
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     wanted = roots(sorted({i for x in links for i in x}), links)
     assert found == {i: c for i, c in wanted.items() if i != c}
+
+
+def test_asked_of_smaller_partners():
+    """What a set is asked for is no more than any pair of it is sure to share."""
+    for share in (50, 80, 85, 95):
+        size = np.arange(1, 400)
+        own, asks = partenum.asked(size, share)
+        for s in size:
+            partner = np.arange(-(-s * share // 100), min(399, s * 100 // share) + 1)
+            differ = np.minimum(own[s - 1], own[partner - 1])
+            sure = np.maximum(1, differ + 1 - (s + partner) * (100 - share) // (100 + share))
+            assert asks[s - 1] <= sure.min()
+    assert partenum.asked(np.array([28, 30]), 85)[1][1] == 2
