@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc
+from headway.llm import html_text, infill, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc
 from headway.llm.common import table
 
 
@@ -65,12 +65,46 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.summaries(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_language_id, op3_embedding_dedup, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
-        op9_line_dedup,        op10_sentencepiece,
+        op9_line_dedup, op10_sentencepiece, op12_fill_in_middle,
     )
 }
 
-ORACLES: dict[str, str] = {}
+_FILL_IN_MIDDLE = """
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex
+    FROM documents
+), cut AS (
+    SELECT doc_id, text, units, len(units) AS n,
+           CAST('0x' || substr(hex, 1, 8) AS BIGINT) % (len(units) + 1) AS one,
+           CAST('0x' || substr(hex, 9, 8) AS BIGINT) % (len(units) + 1) AS two,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR CAST('0x' || substr(hex, 17, 8) AS BIGINT) % 100 >= 100 THEN 'plain'
+                WHEN CAST('0x' || substr(hex, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, array_to_string(units[:least(one, two)], '') AS prefix,
+           array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(units[greatest(one, two) + 1:], '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {"op12_fill_in_middle": _FILL_IN_MIDDLE}
