@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, infill, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc
+from headway.llm import html_text, infill, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc, windows
 from headway.llm.common import table
 
 
@@ -69,11 +69,16 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.summaries(table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.summaries(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_language_id, op3_embedding_dedup, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
         op9_line_dedup, op10_sentencepiece, op12_fill_in_middle,
+        op13_substring_dedup,
     )
 }
 
