@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import html_text, infill, language, lines, packing, partenum, pieces, quality, suffixes, vectors, warc, windows
+from headway.llm import html_text, infill, language, lines, packing, partenum, pieces, quality, ranking, suffixes, vectors, warc, windows
 from headway.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.summaries(table(spark, sf_dir, "documents"))
 
@@ -77,11 +81,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_language_id, op3_embedding_dedup, op4_suffix_dedup, op5_packing, op6_jaccard_join, op7_quality_rules, op8_warc,
-        op9_line_dedup, op10_sentencepiece, op12_fill_in_middle,
-        op13_substring_dedup,
+        op9_line_dedup, op10_sentencepiece, op11_lexical_search,
+        op12_fill_in_middle, op13_substring_dedup,
     )
 }
 
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERMS = (
+    f"regexp_extract_all(translate(text, '{_LETTERS}', '{_LETTERS.lower()}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+_LEXICAL_SEARCH = f"""
+WITH found AS (
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) AS every
+    GROUP BY doc_id, term
+), sized AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM found GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM sized
+), asked AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) AS every
+    GROUP BY item_id, term
+), weighted AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM found GROUP BY term) AS holders, totals
+), scored AS (
+    SELECT item_id, doc_id,
+           CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // length)))) AS BIGINT) AS score
+    FROM asked JOIN found USING (term) JOIN weighted USING (term) JOIN sized USING (doc_id), totals
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, doc_id, score,
+           CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
 _FILL_IN_MIDDLE = """
 WITH drawn AS (
     SELECT doc_id, coalesce(text, '') AS text,
@@ -112,4 +149,7 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
-ORACLES: dict[str, str] = {"op12_fill_in_middle": _FILL_IN_MIDDLE}
+ORACLES: dict[str, str] = {
+    "op11_lexical_search": _LEXICAL_SEARCH,
+    "op12_fill_in_middle": _FILL_IN_MIDDLE,
+}
