@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.landing import files_or_none, folder_value
+from headway.sources.store import Store
+
+
+def dates_of(names: Iterable[str]) -> list[date]:
+    """The dates among folder values, oldest first; undated rows lie in a folder that is none."""
+    found = []
+    for name in names:
+        try:
+            found.append(date.fromisoformat(name))
+        except ValueError:
+            continue
+    return sorted(found)
 
 
 def written_dates(spark: SparkSession, path: str, key: str = "date") -> list[date]:
-    """Dates that have files below `path`, from a file listing alone."""
-    files = files_or_none(spark, [path], "*.parquet")
-    if files is None:
-        return []
-    # try_cast: undated rows lie in a folder that is no date
-    rows = files.select(folder_value(key).try_cast("date").alias("d")).distinct()
-    return sorted(row.d for row in rows.collect() if row.d is not None)
+    """Dates that have a folder below `path`. A date without rows is given none."""
+    return dates_of(Store(spark, path).folders(path, key))
 
 
 def check_not_streamed(spark: SparkSession, path: str) -> None:
-    """A stream's file sink keeps a list of its files; Spark reads no others beside it."""
-    if files_or_none(spark, [f"{path}/_spark_metadata"]) is not None:
+    """A file sink's table has a list of its files; Spark reads no others beside it."""
+    if Store(spark, path).exists(f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is written by a stream; files added to it would not be read")
 
 

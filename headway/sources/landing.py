@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES, gtfs_member
+from headway.sources.store import Store
 
 # A line of another number of fields than the layout is kept as it is in MALFORMED. With
 # column pruning the parser would count only the fields that a query asks for.
@@ -86,15 +87,15 @@ def files_or_none(spark: SparkSession, paths: list[str], like: str = "*") -> Dat
 def discover_dates(
     spark: SparkSession, root: str, source: str, dates: list[date | str] | None = None
 ) -> DataFrame:
-    """Dates, all or out of the given ones, with landed files; oldest first."""
-    found = files_or_none(spark, [date_glob(root, source, dates)])
-    if found is None:
-        return spark.createDataFrame([], "extract_date date")
-    return (
-        found.select(folder_value("extract_date").cast("date").alias("extract_date"))
-        .distinct()
-        .orderBy("extract_date")
-    )
+    """Landed dates, all or out of the given ones, oldest first: the names of their folders.
+
+    Only the source's own folder is listed, so what lies in the dates costs nothing.
+    """
+    base = f"{root}/extract_source={source}"
+    found = {date.fromisoformat(day) for day in Store(spark, root).folders(base, "extract_date")}
+    if dates is not None:
+        found &= {date.fromisoformat(iso(day)) for day in dates}
+    return spark.createDataFrame([(day,) for day in sorted(found)], "extract_date date")
 
 
 # ---- vehicle positions ------------------------------------------------------
