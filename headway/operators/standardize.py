@@ -55,11 +55,12 @@ def well_formed(column: Column, mode: str) -> Column:
     return F.when(F.col(MALFORMED).isNotNull(), F.raise_error(line)).otherwise(column)
 
 
-def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
+def standardize_gps(raw: DataFrame, mode: str = STRICT, keep: tuple[str, ...] = ()) -> DataFrame:
     """Vehicle positions: degrees, unknown headings as null, the snapshot's instant.
 
     Strict fails on text that is no number and on a badly named file; lenient
-    turns both into nulls. Keeps `extract_date`, the date folder of the row.
+    turns both into nulls. Keeps `extract_date`, the date folder of the row, and the
+    columns in `keep`.
     """
 
     raw = with_malformed(raw)
@@ -81,6 +82,7 @@ def standardize_gps(raw: DataFrame, mode: str = STRICT) -> DataFrame:
         stamp_to_instant(F.col("_stamp"), mode).alias("extract_ts"),
         F.current_timestamp().alias("updated_ts"),
         F.col("extract_date").cast("date").alias("extract_date"),
+        *keep,
     )
 
 
@@ -92,7 +94,9 @@ def bad_gps_rows(raw: DataFrame) -> DataFrame:
     return with_stamp(with_malformed(raw)).withColumn("bad", reduce(or_, checks)).drop("_stamp")
 
 
-def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFrame:
+def standardize_gtfs(
+    raw: DataFrame, table: str, mode: str = STRICT, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """A schedule table with its columns cast and the extract's instant."""
     first, *columns = [
         typed(F.col(name), kind, mode) for name, kind in GTFS_TABLES[table].items()
@@ -104,6 +108,7 @@ def standardize_gtfs(raw: DataFrame, table: str, mode: str = STRICT) -> DataFram
         stamp_to_instant(F.col("extract_ts"), LENIENT).alias("extract_ts"),
         F.current_timestamp().alias("updated_ts"),
         F.col("extract_date").cast("date").alias("extract_date"),
+        *keep,
     )
 
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions.casting import STRICT
-from headway.operators.sinks import write_dates, written_dates
+from headway.functions.casting import LENIENT
+from headway.operators.layer import layer as layer_of
+from headway.operators.layer import layer_dates, place_folders
+from headway.operators.sinks import check_not_streamed, written_dates
 from headway.operators.standardize import (
     bad_gps_rows,
     bad_gtfs_rows,
@@ -24,31 +27,43 @@ from headway.schemas import GTFS_TABLES
 from headway.sources.landing import (
     discover_dates,
     list_extracts,
+    read_extracts,
     read_gps,
-    read_gtfs,
+    schedule_extracts,
 )
+from headway.sources.store import Store
 
 
 class Model(NamedTuple):
     """How one standardized table is made; the functions take and give DataFrames."""
 
     landed: Callable[..., DataFrame]  # those of the asked dates with input, as extract_date
-    read: Callable[..., DataFrame]
+    # rows of the given dates, and those of the dates whose files lack a column
+    read: Callable[..., tuple[DataFrame | None, set[date]]]
     flag: Callable[[DataFrame], DataFrame]
-    standardize: Callable[[DataFrame], DataFrame]
+    standardize: Callable[..., DataFrame]
     no_input: str  # status of a date without raw files
     key: str = "date"  # partition key of the output
 
 
+def _read_schedules(
+    spark: SparkSession, root: str, table: str, dates: list[date] | None
+) -> tuple[DataFrame | None, set[date]]:
+    found = schedule_extracts(spark, root, table, dates)
+    good = [e for e in found if not e.lacks(table)]
+    lacking = {date.fromisoformat(e.extract_date) for e in found if e.lacks(table)}
+    return (read_extracts(spark, root, table, good) if good else None), lacking
+
+
 def _gtfs_model(table: str) -> Model:
     return Model(
         # a date whose archive was not unpacked, or lacks the table, has no input
         lambda spark, root, dates: list_extracts(spark, root, table, dates).select(
             F.col("extract_date").cast("date").alias("extract_date")
         ),
-        lambda spark, root, dates: read_gtfs(spark, root, table, dates),
+        lambda spark, root, dates: _read_schedules(spark, root, table, dates),
         lambda raw: bad_gtfs_rows(raw, table),
-        lambda raw: standardize_gtfs(raw, table, STRICT),
+        lambda raw, *how: standardize_gtfs(raw, table, *how),
         "failed",
         # calendar_dates has a column "date" of its own
         "extract_date" if "date" in GTFS_TABLES[table] else "date",
@@ -58,27 +73,16 @@ def _gtfs_model(table: str) -> Model:
 MODELS = {
     "gps_positions": Model(
         lambda spark, root, dates: discover_dates(spark, root, "gps", dates),
-        read_gps,
+        lambda spark, root, dates: (read_gps(spark, root, dates), set()),
         bad_gps_rows,
-        lambda raw: standardize_gps(raw, STRICT),
+        standardize_gps,
         "empty",
     ),
     **{table: _gtfs_model(table) for table in GTFS_TABLES},
 }
 
-
-# Errors that a date's own files can bring about, among those Spark may raise: bad rows and
-# other columns. The CSV reader's complaint about a header has no condition of its own.
+# what a model that cannot be read or written may raise
 RAISED = (PySparkException, Py4JJavaError, ValueError)
-DATA_FAULTS = (
-    "CAST_INVALID_INPUT", "CAST_OVERFLOW", "CANNOT_PARSE", "USER_RAISED_EXCEPTION", "DATETIME",
-    "CSV header does not conform", "Number of column in CSV header",
-)
-
-
-def is_data_fault(error: Exception) -> bool:
-    """A fault of the files; anything else, such as lost executors, is not theirs."""
-    return isinstance(error, ValueError) or any(known in str(error) for known in DATA_FAULTS)
 
 
 def dates_between(first: date, last: date) -> list[date]:
@@ -124,54 +128,54 @@ def rejected_rows(
 ) -> DataFrame:
     """The raw rows that keep their dates from being standardized."""
     spec = _spec(model)
-    return spec.flag(spec.read(spark, root, dates)).filter("bad").drop("bad")
+    rows, lacking = spec.read(spark, root, dates)
+    if rows is None:
+        raise ValueError(f"{model}: the files of {sorted(map(str, lacking))} lack columns")
+    return spec.flag(rows).filter("bad").drop("bad")
 
 
 Counts = dict[date, tuple[int | None, int | None]]
 
 
-def _profile(spark: SparkSession, spec: Model, root: str, dates: list[date]) -> Counts:
-    """(rows, unreadable rows) of each date; one result row per asked date."""
+def _stage(spark: SparkSession, spec: Model, root: str, staged: str, dates: list[date]) -> Counts:
+    """Standardize the dates below `staged`, apart by `bad`; (rows, unreadable rows) of each.
+
+    One job reads the raw files once and never fails on a row: it is lenient, and flags what
+    strict casts would refuse. None for a date whose files lack a column.
+    """
+    rows, lacking = spec.read(spark, root, dates)
+    counts: Counts = {day: (None, None) for day in lacking}
+    if rows is None:
+        return counts
+    made = spec.standardize(spec.flag(rows), LENIENT, ("bad",))
+    (
+        made.withColumnRenamed("extract_date", spec.key)
+        .hint("rebalance", spec.key)
+        .sortWithinPartitions(spec.key, "bad", "extract_ts")
+        .write.partitionBy(spec.key, "bad")
+        .parquet(staged)
+    )
+    if not Store(spark, staged).folders(staged, spec.key):
+        return counts  # no date has a row
+    # from the footers of what was written
     per_date = (
-        spec.flag(spec.read(spark, root, dates))
-        .groupBy(F.col("extract_date").cast("date").alias("day"))
-        .agg(F.count("*").alias("rows"), F.count_if("bad").alias("bad_rows"))
+        spark.read.parquet(staged)
+        .groupBy(F.col(spec.key).cast("date").alias("day"))
+        .agg(F.count("*").alias("rows"), F.count_if(F.col("bad")).alias("bad_rows"))
     )
-    return {r.day: (r.rows, r.bad_rows) for r in per_date.collect()}
+    return counts | {r.day: (r.rows, r.bad_rows) for r in per_date.collect()}
 
 
-def _profile_apart(spark: SparkSession, spec: Model, root: str, dates: list[date]) -> Counts:
-    """The same for dates that cannot be read together; None for an unreadable date."""
-    counts: Counts = {}
-    for d in dates:
-        try:
-            counts |= _profile(spark, spec, root, [d])
-        except RAISED as error:
-            if not is_data_fault(error):
-                raise
-            counts[d] = (None, None)
-    return counts
-
-
-def _write(spark: SparkSession, spec: Model, root: str, path: str, dates: list[date]) -> None:
-    rows = spec.standardize(spec.read(spark, root, dates))
-    write_dates(rows.withColumnRenamed("extract_date", spec.key), path, spec.key, overwrite=True)
-
-
-def _written_rows(
-    spark: SparkSession, spec: Model, path: str, dates: list[date]
-) -> Counts:
-    """(rows, 0) of each date just written, from the file footers."""
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:  # nothing was written
-        return {}
-    counted = (
-        table.filter(F.col(spec.key).isin(dates))
-        .groupBy(F.col(spec.key).cast("date").alias("day"))
-        .agg(F.count("*").alias("rows"))
-    )
-    return {r.day: (r.rows, 0) for r in counted.collect()}
+def _promote(store: Store, spec: Model, staged: str, path: str, dates: list[date]) -> dict[str, str]:
+    """Move the staged folders of the dates to `path`; replaces what is there."""
+    store.make_folder(path)
+    placed = {}
+    for day in dates:
+        folder = f"{path}/{spec.key}={day}"
+        store.remove(folder)
+        store.move(f"{staged}/{spec.key}={day}/bad=false", folder)
+        placed[day.isoformat()] = folder
+    return placed
 
 
 def backfill(
@@ -181,42 +185,40 @@ def backfill(
     target: str,
     dates: list[date] | None = None,
     overwrite: bool = False,
+    layer: str | None = None,
 ) -> DataFrame:
     """Standardize dates of one model and report on each of them.
 
-    All dates go through one strict job that reads the raw files once and commits
-    as a whole. Only if it fails are rows profiled per date, and the dates
-    without unreadable rows written: a bad date fails alone.
+    All dates go through one job that reads the raw files once and stages them by date, good
+    rows apart from bad ones. The dates without bad rows are then moved into the table folder
+    by folder: a bad date fails alone, at no further reading. With `layer` they go to that
+    catalog table instead of `<target>/<model>`, and are staged below it.
 
     Statuses: written; skipped, as it exists already; empty; failed.
     """
     spec = _spec(model)
-    path = f"{target}/{model}"
+    path = layer_of(spark, layer).location if layer else f"{target}/{model}"
+    store = Store(spark, path)
     landed = {row.extract_date for row in spec.landed(spark, root, dates).distinct().collect()}
     asked = sorted(landed) if dates is None else dates
-    existing = set() if overwrite else set(written_dates(spark, path, spec.key))
+    existing = set()
+    if not overwrite:
+        existing = set(layer_dates(spark, layer) if layer else written_dates(spark, path, spec.key))
     todo = [d for d in asked if d in landed and d not in existing]
     counts: Counts = {}
     if todo:
+        check_not_streamed(spark, path)
+        staged = f"{path}/_staging/{uuid.uuid4().hex}"
         try:
-            _write(spark, spec, root, path, todo)
-            counts = _written_rows(spark, spec, path, todo)
-        except RAISED as error:
-            if not is_data_fault(error):
-                raise
-            apart = False
-            try:
-                counts = _profile(spark, spec, root, todo)
-            except RAISED as other:  # files of other columns: every date on its own
-                if not is_data_fault(other):
-                    raise
-                counts, apart = _profile_apart(spark, spec, root, todo), True
+            counts = _stage(spark, spec, root, staged, todo)
             clean = sorted(d for d, (_, bad) in counts.items() if bad == 0)
-            if not apart and len(clean) == len(counts):
-                raise  # the rows are fine, so something else went wrong
-            for batch in [[d] for d in clean] if apart else [clean]:
-                if batch:
-                    _write(spark, spec, root, path, batch)
+            if layer:
+                kept = f"{path}/_loads/{uuid.uuid4().hex}"
+                place_folders(spark, layer, _promote(store, spec, staged, kept, clean), overwrite)
+            else:
+                _promote(store, spec, staged, path, clean)
+        finally:
+            store.remove(staged)
     report = []
     for d in asked:
         if d in existing:

@@ -9,11 +9,13 @@ named `<key>=<file name>`.
 
 from __future__ import annotations
 
+import csv
 from datetime import date
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES, gtfs_member
@@ -179,22 +181,32 @@ def latest_extracts(extracts: DataFrame) -> DataFrame:
     )
 
 
-def read_gtfs(
+class Extract(NamedTuple):
+    """One landed schedule table: its folders' values, its path and the header of its file."""
+
+    extract_date: str
+    extract_ts: str
+    path: str
+    columns: tuple[str, ...]
+
+    def lacks(self, table: str) -> list[str]:
+        return [c for c in GTFS_TABLES[table] if c not in self.columns]
+
+
+def header_columns(line: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.removeprefix("\ufeff")]), ()))
+
+
+def schedule_extracts(
     spark: SparkSession,
     root: str,
     table: str,
     dates: list[date | str] | None = None,
     extracts: str = "latest",
-    multiline: bool | None = None,
-) -> DataFrame:
-    """A schedule table as text columns plus `extract_date`, `extract_ts` and `malformed`,
-    the line itself where its number of fields differs from the header's.
+) -> list[Extract]:
+    """The extracts to read with their headers, of which only the first line is read.
 
-    By default only the newest extract of each date is read; "all" reads every
-    one. Columns are found by header name: extra ones are dropped, a missing one
-    is an error. Files whose headers disagree are refused, not misread; read
-    those apart and join them with `union_snapshots`. Line breaks within quotes are
-    read in the tables with free text, or as `multiline` says.
+    Folder names, not data: a scan needs them as its paths.
     """
     if table not in GTFS_TABLES:
         raise ValueError(f"unknown table {table!r}")
@@ -203,40 +215,83 @@ def read_gtfs(
     chosen = list_extracts(spark, root, table, dates)
     if extracts == "latest":
         chosen = latest_extracts(chosen)
-    # folder names of the extracts to read, not data: the scan needs them as its paths
-    names = chosen.select("extract_date", "extract_ts", "parts").collect()
-    check_dates(dates, {row.extract_date for row in names}, gtfs_member(table))
+    names = sorted(chosen.select("extract_date", "extract_ts", "parts").collect())
+    store, member = Store(spark, root), gtfs_member(table)
+    # the names are the paths of the files of a scan, and no more than those
+    paths = [
+        f"{root}/extract_source=gtfs/extract_date={day}/extract_ts={stamp}/"
+        f"{'member=' if parts else ''}{member}"
+        for day, stamp, parts in names
+    ]
+    heads = store.first_lines([store.first_file(path) for path in paths])
+    return [
+        Extract(day, stamp, path, header_columns(line))
+        for (day, stamp, _), path, line in zip(names, paths, heads)
+    ]
+
+
+def read_gtfs(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    dates: list[date | str] | None = None,
+    extracts: str = "latest",
+    multiline: bool | None = None,
+    headers: str = "same",
+) -> DataFrame:
+    """A schedule table as text columns plus `extract_date`, `extract_ts` and `malformed`,
+    the line itself where its number of fields differs from the header's.
+
+    By default only the newest extract of each date is read; "all" reads every
+    one. Columns are found by header name: extra ones are dropped, a missing one
+    is an error. Files whose headers disagree are refused, not misread, unless `headers` is
+    "any": then all files of one header are one scan, however many dates there are. Line
+    breaks within quotes are read in the tables with free text, or as `multiline` says.
+    """
+    if headers not in ("same", "any"):
+        raise ValueError(f"headers must be 'same' or 'any', not {headers!r}")
+    found = schedule_extracts(spark, root, table, dates, extracts)
+    check_dates(dates, {e.extract_date for e in found}, gtfs_member(table))
+    return read_extracts(spark, root, table, found, multiline, headers)
+
+
+def read_extracts(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    found: list[Extract],
+    multiline: bool | None = None,
+    headers: str = "any",
+) -> DataFrame:
+    """The rows of the given extracts; one scan for each distinct header."""
 
-    def reader() -> DataFrameReader:
+    def scan(columns: tuple[str, ...], paths: list[str]) -> DataFrame:
+        # with the raw line as a column every field is parsed, so none goes uncounted
+        schema = ", ".join(f"`{c}` string" for c in [*columns, MALFORMED])
         return (
-            spark.read.option("header", True)
+            spark.read.schema(schema)
+            .option("header", True)
             .option("enforceSchema", False)
-            .option("inferSchema", False)
             .option("multiLine", table in FREE_TEXT if multiline is None else multiline)
             .options(**CSV_OPTIONS)
             .option("basePath", root)
+            .csv(paths)
         )
 
     frames = []
-    for folder in ("", "member="):
-        paths = [
-            f"{root}/extract_source=gtfs/extract_date={day}/extract_ts={stamp}/"
-            f"{folder}{gtfs_member(table)}"
-            for day, stamp, parts in sorted(names)
-            if parts == bool(folder)
-        ]
-        if paths:
-            header = [c for c in reader().csv(paths).columns if c not in FOLDER_KEYS]
-            # with the raw line as a column every field is parsed, so none goes uncounted
-            schema = ", ".join(f"`{c}` string" for c in [*header, MALFORMED])
-            frames.append(_schedule_columns(reader().schema(schema).csv(paths), table))
+    # plain files and folders of parts have other partition columns
+    for folder in (f"/{gtfs_member(table)}", f"/member={gtfs_member(table)}"):
+        alike = [e for e in found if e.path.endswith(folder)]
+        for head in {e.columns: e for e in reversed(alike)}.values() if headers == "any" else alike[:1]:
+            if missing := head.lacks(table):
+                raise ValueError(f"{gtfs_member(table)} of {head.extract_date} lacks {', '.join(missing)}")
+            # with "same" files of another header are read along, and refused by the reader
+            paths = [e.path for e in alike if headers == "same" or e.columns == head.columns]
+            frames.append(_schedule_columns(scan(head.columns, paths), table))
     return reduce(DataFrame.unionByName, frames)
 
 
 def _schedule_columns(rows: DataFrame, table: str) -> DataFrame:
-    missing = [c for c in GTFS_TABLES[table] if c not in rows.columns]
-    if missing:
-        raise ValueError(f"{gtfs_member(table)} lacks {', '.join(missing)}")
     return rows.select(
         *GTFS_TABLES[table],
         MALFORMED,

@@ -94,6 +94,15 @@ class Store:
         finally:
             stream.close()
 
+    def first_file(self, path: str) -> str:
+        """The path itself, or of a folder of parts the first part that is not empty."""
+        if not self._files.getFileStatus(self._path(path)).isDirectory():
+            return path
+        parts = [e for e in self.entries(path) if not e.is_folder and e.name[:1] not in "_."]
+        for part in sorted(parts, key=lambda e: (not e.size, e.name)):
+            return f"{path}/{part.name}"
+        raise FileNotFoundError(f"no part in {path}")
+
     def first_lines(self, paths: list[str]) -> list[str]:
         """The first line of each file, without its line break."""
 
