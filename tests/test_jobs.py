@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 from datetime import date, datetime
 
 import pytest
@@ -13,11 +15,14 @@ from headway.operators.control import (
     upsert_control,
     write_control,
 )
+from headway.operators.layer import create_layer, read_layer
 from headway.operators.sinks import create_schemas, replace_table, write_dates, written_dates
 from headway.plans.backfill import asked_dates, backfill, backfill_all, dates_between, rejected_rows
 from headway.plans.validate import schema_faults, validate_layer
 from headway.session import shared_folder
-from headway.streaming.gps import start_gps_stream
+from headway.sources.landing import discover_dates, read_extracts, read_gtfs, schedule_extracts
+from headway.sources.store import Store
+from headway.streaming.gps import start_gps_stream, stream_gps
 
 LINE = "2,8,24658890,59426210,5,90,v1,Z,0089,Kopli\n"
 
@@ -133,6 +138,89 @@ def test_dates_with_other_columns_are_read_apart(spark, tmp_path):
     ]
 
 
+def stages_since(spark, first):
+    """The stages run from number `first` on."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    every = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    found = []
+    it = every.iterator()
+    while it.hasNext():
+        stage = it.next()
+        if stage.stageId() >= first:
+            found.append((stage.stageId(), stage.status().toString(), stage.inputRecords(), stage.numFailedTasks()))
+    return sorted(found)
+
+
+def test_backfill_reads_raw_files_once_and_fails_no_task(spark, tmp_path):
+    root, out = tmp_path / "raw", str(tmp_path / "std")
+    for day in range(10, 20):
+        bad = LINE.replace("59426210", "north") if day % 3 == 0 else LINE
+        land_gps(root, f"2026-08-{day}", f"202608{day}_070000", LINE * 99 + bad)
+    marker = spark.range(1).count() and max(s[0] for s in stages_since(spark, 0))
+    report = statuses(backfill(spark, "gps_positions", str(root), out))
+    run = stages_since(spark, marker + 1)
+    assert sum(s == "failed" for s, _, _ in report.values()) == 3
+    assert all(status in ("COMPLETE", "SKIPPED") and not failed for _, status, _, failed in run)
+    # the raw rows once, the footers of what was staged once
+    assert sum(records for _, _, records, _ in run) == 2 * 10 * 100
+    assert spark.read.parquet(f"{out}/gps_positions").count() == 700
+
+
+def test_files_of_one_header_are_one_scan(spark, tmp_path):
+    root = tmp_path / "raw"
+    heads = ["service_id,date,exception_type\ns,{},1\n", "exception_type,extra,date,service_id\n2,x,{},t\n", "date\n{}\n"]
+    days = dates_between(date(2026, 1, 1), date(2026, 4, 10))
+    for i, day in enumerate(days):
+        put(root / f"extract_source=gtfs/extract_date={day}/extract_ts={day:%Y%m%d}_041500/calendar_dates.txt",
+            "\ufeff" * (i % 2) + heads[2 if i == 50 else i % 2].format(f"{day:%Y%m%d}"))
+    found = schedule_extracts(spark, str(root), "gtfs_calendar_dates")
+    assert sum(bool(e.lacks("gtfs_calendar_dates")) for e in found) == 1
+    rows = read_extracts(spark, str(root), "gtfs_calendar_dates", [e for e in found if not e.lacks("gtfs_calendar_dates")])
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        rows.explain()
+    assert out.getvalue().count("FileScan csv") == 2
+    report = statuses(backfill(spark, "gtfs_calendar_dates", str(root), str(tmp_path / "std")))
+    assert [d for d, (s, _, _) in report.items() if s == "failed"] == [str(days[50])]
+    stored = spark.read.parquet(str(tmp_path / "std/gtfs_calendar_dates"))
+    assert stored.filter("date = extract_date").count() == len(days) - 1
+    assert {r.service_id: r.n for r in stored.groupBy("service_id").agg(F.count("*").alias("n")).collect()} == {"s": 49, "t": 50}
+    with pytest.raises(ValueError, match="lacks service_id"):
+        read_gtfs(spark, str(root), "gtfs_calendar_dates", headers="any")
+
+
+def test_dates_are_found_by_listing_one_folder(spark, tmp_path, monkeypatch):
+    for day in range(10, 20):
+        for hour in range(3):
+            land_gps(tmp_path, f"2026-08-{day}", f"202608{day}_{hour:02d}0000")
+    listed, entries = [], Store.entries
+    monkeypatch.setattr(Store, "entries", lambda self, folder: listed.append(folder) or entries(self, folder))
+    assert discover_dates(spark, str(tmp_path), "gps").count() == 10
+    assert listed == [f"{tmp_path}/extract_source=gps"]
+    rows = spark.createDataFrame([(1, date(2026, 8, 17))], "n int, date date")
+    write_dates(rows, str(tmp_path / "t"), sort_by=None)
+    listed.clear()
+    assert write_dates(rows, str(tmp_path / "t"), sort_by=None) == [date(2026, 8, 17)]
+    assert listed == [str(tmp_path / "t")]
+
+
+def test_backfill_into_a_catalog_table(spark, tmp_path):
+    root = tmp_path / "raw"
+    for day in (17, 18, 19):
+        land_gps(root, f"2026-08-{day}", f"202608{day}_070000", LINE * day)
+    land_gps(root, "2026-08-18", "latest")
+    create_schemas(spark, ["headway_fill"], str(tmp_path / "db"))
+    name = "headway_fill.gps"
+    create_layer(spark, name, str(tmp_path / "t"), stream_gps(spark, str(root)).schema)
+    report = statuses(backfill(spark, "gps_positions", str(root), "", layer=name))
+    assert [s for s, _, _ in report.values()] == ["written", "failed", "written"]
+    report = statuses(backfill(spark, "gps_positions", str(root), "", layer=name))
+    assert [s for s, _, _ in report.values()] == ["skipped", "failed", "skipped"]
+    land_gps(root, "2026-08-17", "20260817_080000")
+    backfill(spark, "gps_positions", str(root), "", [date(2026, 8, 17)], overwrite=True, layer=name)
+    assert sorted(r["count"] for r in read_layer(spark, name).groupBy("date").count().collect()) == [18, 19]
+
+
 # ---- sinks ------------------------------------------------------------------
 
 
