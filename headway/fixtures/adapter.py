@@ -40,8 +40,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "vehicle_id": "CAST(user_id AS string)",
             "floor_type": "CASE WHEN event_id % 2 = 0 THEN 'Z' ELSE 'K' END",
             "fleet_number": "lpad(CAST(user_id % 100 AS string), 4, '0')",
-            "destination": "CASE event_type WHEN 'click' THEN 'Äigrumäe' "
-            "WHEN 'view' THEN 'ÄIGRUMÄE' ELSE event_type END",
+            "destination": "CASE event_type WHEN 'click' THEN 'Männiku' "
+            "WHEN 'view' THEN 'MÄNNIKU' ELSE event_type END",
             "snapshot_ts": "date_trunc('hour', ts)",
         },
     ),
@@ -69,8 +69,8 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "trip_id": "CAST(o_orderkey AS string)",
             "route_id": "CAST(o_custkey % 25 AS string)",
             "service_id": "o_orderpriority",
-            "trip_headsign": "CASE o_orderstatus WHEN 'O' THEN 'Äigrumäe' "
-            "WHEN 'F' THEN 'ÄIGRUMÄE' ELSE 'Toompark' END",
+            "trip_headsign": "CASE o_orderstatus WHEN 'O' THEN 'Männiku' "
+            "WHEN 'F' THEN 'MÄNNIKU' ELSE 'Toompark' END",
         },
     ),
     "gtfs_stop_times": (

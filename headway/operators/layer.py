@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections import Counter
 from datetime import date
 from typing import NamedTuple
 
@@ -36,6 +37,7 @@ class Layer(NamedTuple):
     name: str
     location: str
     key: str
+    columns: list[str]
 
 
 def create_layer(
@@ -51,23 +53,26 @@ def create_layer(
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def _described(spark: SparkSession, name: str, partition: str = "") -> dict[str, str]:
-    """The details that the catalog has of a table, or of one of its partitions."""
-    rows = spark.sql(f"DESCRIBE EXTENDED {name} {partition}").collect()
-    marks = ("# Detailed Table Information", "# Detailed Partition Information")
-    begin = next(i for i, row in enumerate(rows) if row.col_name in marks)
-    details: dict[str, str] = {}
-    for row in rows[begin:]:
-        details.setdefault(row.col_name, row.data_type)
-    return details
+def _described(spark: SparkSession, name: str, partition: str = "") -> list[tuple[str, str]]:
+    """What the catalog has of a table, or of one of its partitions: columns, then details."""
+    return [(r.col_name, r.data_type) for r in spark.sql(f"DESCRIBE EXTENDED {name} {partition}").collect()]
+
+
+def _detail(rows: list[tuple[str, str]], heading: str, name: str) -> str:
+    """The first detail of that name below a heading."""
+    begin = next(i for i, (label, _) in enumerate(rows) if label == f"# {heading}")
+    return next(value for label, value in rows[begin:] if label == name)
 
 
 def layer(spark: SparkSession, name: str) -> Layer:
     """Fails if the table is not partitioned by one column."""
-    keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    rows = _described(spark, name)
+    names = [label for label, _ in rows]
+    columns = names[: next(i for i, label in enumerate(names) if not label or label[0] == "#")]
+    keys = names[names.index("# col_name") + 1 : names.index("")] if "# col_name" in names else []
     if len(keys) != 1:
         raise ValueError(f"{name} is partitioned by {keys}, not by a date")
-    return Layer(name, _described(spark, name)["Location"].rstrip("/"), keys[0])
+    return Layer(name, _detail(rows, "Detailed Table Information", "Location").rstrip("/"), keys[0], columns)
 
 
 def _values(spark: SparkSession, name: str) -> list[str]:
@@ -93,7 +98,8 @@ def _partition(key: str, value: str) -> str:
 
 def _folder(spark: SparkSession, table: Layer, value: str) -> str:
     """Where a date lies."""
-    return _described(spark, table.name, _partition(table.key, value))["Location"].rstrip("/")
+    rows = _described(spark, table.name, _partition(table.key, value))
+    return _detail(rows, "Detailed Partition Information", "Location").rstrip("/")
 
 
 def _placed(spark: SparkSession, table: Layer, folders: dict[str, str]) -> None:
@@ -110,8 +116,7 @@ def _placed(spark: SparkSession, table: Layer, folders: dict[str, str]) -> None:
 
 def _written(df: DataFrame, table: Layer, folder: str, sort_by: str | None) -> None:
     """The rows as date folders below `folder`: many small files gathered, a hot date split."""
-    columns = [c.name for c in df.sparkSession.catalog.listColumns(table.name)]
-    out = df.select(*columns).hint("rebalance", table.key)
+    out = df.select(*table.columns).hint("rebalance", table.key)
     if sort_by:
         out = out.sortWithinPartitions(table.key, sort_by)
     out.write.mode("overwrite").partitionBy(table.key).parquet(folder)
@@ -130,18 +135,19 @@ def append_batch(df: DataFrame, name: str, batch: str, sort_by: str | None = "ex
     staged = f"{table.location}/{STAGING}/{batch}"
     if not store.exists(f"{staged}/_SUCCESS"):
         _written(df, table, staged, sort_by)
+    folders = store.folders(staged, table.key)
+    files = {v: [e.name for e in store.entries(f) if e.name.endswith(".parquet")] for v, f in folders.items()}
     known = set(_values(spark, name))
-    for value, folder in store.folders(staged, table.key).items():
-        files = [e.name for e in store.entries(folder) if e.name.endswith(".parquet")]
-        if not files:
-            continue
-        if value not in known:
-            target = f"{table.location}/{table.key}={value}"
-            store.make_folder(target)
-            _placed(spark, table, {value: target})
-        target = _folder(spark, table, value)
-        for file in files:
-            store.move(f"{folder}/{file}", f"{target}/{batch}-{file}")
+    new = {v: f"{table.location}/{table.key}={v}" for v in files if v not in known}
+    for folder in new.values():
+        store.make_folder(folder)
+    if new:
+        _placed(spark, table, new)
+    for value, names in files.items():
+        # those of a batch that was done before are gone
+        target = new.get(value) or (_folder(spark, table, value) if names else "")
+        for file in names:
+            store.move(f"{folders[value]}/{file}", f"{target}/{batch}-{file}")
     spark.catalog.refreshTable(name)
 
 
@@ -185,14 +191,13 @@ def write_layer(
 
 
 def files_per_date(spark: SparkSession, name: str, days: list[date] | None = None) -> dict[date, int]:
-    """Number of files of each date, of all or of the given ones, by listing where they lie."""
-    table = layer(spark, name)
-    store = Store(spark, table.location)
-    chosen = layer_dates(spark, name) if days is None else days
-    return {
-        day: sum(e.name.endswith(".parquet") for e in store.entries(_folder(spark, table, day.isoformat())))
-        for day in chosen
-    }
+    """Number of files of each date, of all or of the given ones, from the listing of a scan."""
+    table, rows = layer(spark, name), read_layer(spark, name)
+    if days is not None:
+        rows = rows.filter(F.col(table.key).isin(days))
+    # wherever a date lies, its folder is named after it
+    folders = Counter(path.rsplit("/", 2)[1].partition("=")[2] for path in rows.inputFiles())
+    return {day: folders[day.isoformat()] for day in dates_of(folders)}
 
 
 def compact(

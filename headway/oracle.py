@@ -116,18 +116,19 @@ _TWO_WRITES = _with(
 )
 
 _BACKFILL = """
-    WITH calendar AS (
-        SELECT CAST(d AS DATE) AS day
-        FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY) AS s (d)
-    ), counted AS (
+    WITH counted AS (
         SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1
+    ), ends AS (
+        SELECT min(day) AS first, max(day) AS last FROM counted
+    ), calendar AS (
+        SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS day FROM ends
     )
     SELECT CAST(c.day AS VARCHAR) AS date,
            CASE WHEN n IS NULL THEN 'empty'
-                WHEN c.day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' THEN 'skipped'
+                WHEN c.day BETWEEN first + 9 AND first + 11 THEN 'skipped'
                 ELSE 'written' END AS status,
            coalesce(n, 0) AS stored
-    FROM calendar AS c LEFT JOIN counted AS k ON c.day = k.day
+    FROM calendar AS c LEFT JOIN counted AS k ON c.day = k.day, ends
 """
 
 _ISOLATION = _with(
@@ -163,9 +164,9 @@ _LOCAL = "CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Tallinn' AS TIME)"
 
 _WINDOW = f"""
     SELECT event_id,
-           CAST({_LOCAL} >= TIME '07:00:00' AND {_LOCAL} <= TIME '10:00:00' AS INTEGER)
+           CAST({_LOCAL} >= TIME '06:30:00' AND {_LOCAL} <= TIME '09:15:00' AS INTEGER)
                AS in_morning,
-           CAST({_LOCAL} >= TIME '23:00:00' OR {_LOCAL} <= TIME '02:00:00' AS INTEGER)
+           CAST({_LOCAL} >= TIME '22:15:00' OR {_LOCAL} <= TIME '01:45:00' AS INTEGER)
                AS in_night
     FROM events
 """
@@ -283,7 +284,7 @@ def _trips(body: str) -> str:
             JOIN gtfs_trips AS t ON t.route_id = r.route_id
             JOIN gtfs_stop_times AS st ON st.trip_id = t.trip_id
             JOIN gtfs_calendar AS c ON c.service_id = t.service_id
-            WHERE route_short_name = '8' AND lower(trip_headsign) = 'äigrumäe'
+            WHERE route_short_name = '5' AND lower(trip_headsign) = 'männiku'
               AND stop_id IN ('3', '7')
               AND least(monday, tuesday, wednesday, thursday, friday) = 1
               AND greatest(monday, tuesday, wednesday, thursday, friday) = 1
@@ -357,8 +358,8 @@ _GRID = _with(
 _PAIRS = """pairs AS (
     SELECT p.*, s.stop_id, s.stop_lat, s.stop_lon
     FROM positions AS p CROSS JOIN gtfs_stops AS s
-    WHERE s.stop_id = '3' AND p.line_number = '8' AND p.fleet_number = '0008'
-      AND lower(p.destination) = 'äigrumäe'
+    WHERE s.stop_id = '3' AND p.line_number = '5' AND p.fleet_number = '0015'
+      AND lower(p.destination) = 'männiku'
 )"""
 
 # every position against the stop with the number of its line
@@ -514,7 +515,7 @@ ORACLES: dict[str, str] = {
     "stop_distance_spheroid": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m"),
     "stop_distance_numeric_id": _distance("planar_m", _PLANAR)
     .replace("s.stop_id = '3'", "TRY_CAST(s.stop_id AS BIGINT) = 3")
-    .replace("p.fleet_number = '0008'", "TRY_CAST(p.fleet_number AS BIGINT) = 8"),
+    .replace("p.fleet_number = '0015'", "TRY_CAST(p.fleet_number AS BIGINT) = 15"),
     "stop_distance_far": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m").replace(
         "s.stop_lat, s.stop_lon", "-s.stop_lat / 2 AS stop_lat, s.stop_lon + 120 AS stop_lon"
     ),
@@ -541,4 +542,12 @@ ORACLES: dict[str, str] = {
         f"SELECT {_STD}, {_TS.format('snapshot_ts')} AS extract_ts, "
         "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw",
     ),
+    "stream_and_backfill": _with(
+        ["gps_raw"],
+        f"SELECT {_STD}, {_TS.format('snapshot_ts')} AS extract_ts, "
+        "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw",
+    ),
+    "compact_dates": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS stored, "
+    "CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) AS closed, "
+    "true AS within_bound FROM events GROUP BY CAST(ts AS DATE)",
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from headway.operators.control import (
     upsert_control,
     write_control,
 )
+from headway.operators.layer import compact, create_layer, files_per_date, read_layer
 from headway.operators.sinks import create_schemas, replace_table, write_dates
 from headway.operators.standardize import standardize_gps, standardize_gtfs
 from headway.operators.union import union_snapshots
@@ -44,19 +45,19 @@ from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES
 from headway.session import shared_folder, use_utc
 from headway.sources.archives import archive_status, read_archive_table, unpack_archives
 from headway.sources.landing import discover_dates, read_gps, read_gtfs
-from headway.streaming.gps import start_gps_stream
+from headway.sources.store import Store
+from headway.streaming.gps import start_gps_stream, start_layer_stream, stream_gps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LINE, HEADSIGN, FLEET = "8", "äigrumäe", "0008"
+LINE, HEADSIGN, FLEET = "5", "männiku", "0015"
 FIRST_STOP, SECOND_STOP = "3", "7"
 
 # the middle of the days the events cover
 HALFTIME = "2024-01-16"
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 31)
 
-MORNING = ("07:00", "10:00", "Europe/Tallinn")
-NIGHT = ("23:00", "02:00", "Europe/Tallinn")
+MORNING = ("06:30", "09:15", "Europe/Tallinn")
+NIGHT = ("22:15", "01:45", "Europe/Tallinn")
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -262,9 +263,13 @@ def table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth to the twelfth day first, then the whole range that has landed."""
     root, out = landing.gps_landing(spark, sf_dir), shared_folder(spark, "backfill")
-    backfill(spark, "gps_positions", root, out, dates_between(date(2024, 1, 10), date(2024, 1, 12)))
-    report = backfill(spark, "gps_positions", root, out, dates_between(FIRST_DAY, LAST_DAY))
+    landed = [row.extract_date for row in discover_dates(spark, root, "gps").collect()]
+    first, last = landed[0], landed[-1]
+    early = dates_between(first + timedelta(days=9), first + timedelta(days=11))
+    backfill(spark, "gps_positions", root, out, early)
+    report = backfill(spark, "gps_positions", root, out, dates_between(first, last))
     stored = (
         spark.read.parquet(f"{out}/gps_positions")
         .groupBy(F.col("date").cast("date").alias("date"))
@@ -421,6 +426,51 @@ def stream_gps_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.parquet(target)).withColumnRenamed("date", "extract_date")
 
 
+def _layered(spark: SparkSession, sf_dir: str) -> tuple[str, list[date]]:
+    """A catalog table whose later half of days was streamed and whose earlier half backfilled.
+
+    The stream takes some files at a time, and its last batch runs twice, as after a crash
+    between the write and the stream's own record of it.
+    """
+    root = landing.gps_landing(spark, sf_dir)
+    days = [row.extract_date for row in discover_dates(spark, root, "gps").collect()]
+    database, path = f"headway_check_{uuid.uuid4().hex}", shared_folder(spark, "layer")
+    create_schemas(spark, [database], f"{path}/database")
+    name, state = f"{database}.gps_positions", f"{path}/state"
+    create_layer(spark, name, f"{path}/table", stream_gps(spark, root).schema)
+    streamed = days[len(days) // 2 :]
+    files = len(Store(spark, root).entries(f"{root}/extract_source=gps/extract_date={streamed[0]}"))
+    for _ in range(2):
+        query = start_layer_stream(
+            spark, root, name, state, max_files=files * len(streamed), dates=streamed
+        )
+        query.awaitTermination()
+        commits = Store(spark, state)
+        last = max((e.name for e in commits.entries(f"{state}/commits") if e.name.isdigit()), key=int)
+        commits.remove(f"{state}/commits/{last}")
+    backfill(spark, "gps_positions", root, "", layer=name)
+    return name, days
+
+
+def stream_and_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of a table that a stream and a backfill share, once."""
+    name, _ = _layered(spark, sf_dir)
+    return shown(read_layer(spark, name)).withColumnRenamed("date", "extract_date")
+
+
+def compact_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files of each date after all but the last were compacted."""
+    name, days = _layered(spark, sf_dir)
+    compact(spark, name, days[-1])
+    files = files_per_date(spark, name)
+    counted = read_layer(spark, name).groupBy("date").agg(F.count("*").alias("stored"))
+    one = [day for day, n in files.items() if n == 1]
+    closed = (F.col("date") < F.lit(days[-1])).alias("closed")
+    return shown(
+        counted.select("date", "stored", closed, (F.col("date").isin(one) | ~closed).alias("within_bound"))
+    )
+
+
 # ---- analytical queries -----------------------------------------------------
 
 
@@ -531,7 +581,7 @@ QUERIES: dict[str, Query] = {
     "stop_distance_projected": _stop_distance("projected"),
     "stop_distance_sphere": _stop_distance("sphere"),
     "stop_distance_spheroid": _stop_distance("spheroid"),
-    "stop_distance_numeric_id": _stop_distance("planar", fleet="8", stop="003", numeric=True),
+    "stop_distance_numeric_id": _stop_distance("planar", fleet="15", stop="003", numeric=True),
     "stop_distance_far": _stop_distance("spheroid", far=True),
     "stop_distance_targets": stop_distance_targets,
     "project_lest97": project_lest97_grid,
@@ -542,6 +592,8 @@ QUERIES: dict[str, Query] = {
     "rename_plan": rename_key_plan,
     "validate_layer": validate_tables,
     "stream_gps_positions": stream_gps_positions,
+    "stream_and_backfill": stream_and_backfill,
+    "compact_dates": compact_dates,
 }
 
 

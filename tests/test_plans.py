@@ -57,7 +57,7 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
         tables.append(spark.read.parquet(str(tmp_path / name)))
     plan = plan_of(
         scheduled_trips(
-            *tables, line="8", headsign="äigrumäe", first_stop="3", second_stop="7"
+            *tables, line="8", headsign="männiku", first_stop="3", second_stop="7"
         )
     )
     assert "In(stop_id, [3,7])" in plan

@@ -15,7 +15,7 @@ from headway.sources.landing import discover_dates, read_gps, read_gtfs
 DAY = "extract_source=gps/extract_date=2026-08-17"
 
 SNAPSHOT = (
-    "2,8A,24658890,59426210,,999,v1,Z,0089,ÄIGRUMÄE\n"
+    "2,8A,24658890,59426210,,999,v1,Z,0089,MÄNNIKU\n"
     '3,8,24650000,59420000,17,45,v2,K,89,"Balti jaam, peatus"\n'
 )
 
@@ -34,7 +34,7 @@ def test_snapshot_is_standardized(spark, tmp_path):
     assert (first.lat, first.lon) == (59.42621, 24.65889)
     assert first.extract_ts == datetime(2026, 8, 17, 7, 0, 15)
     assert str(first.extract_date) == "2026-08-17"
-    assert first.destination == "ÄIGRUMÄE"
+    assert first.destination == "MÄNNIKU"
     assert (second.heading_deg, second.speed_kmh) == (45, 17)
     assert second.destination == "Balti jaam, peatus"
 
