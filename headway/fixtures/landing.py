@@ -34,8 +34,9 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _WRITTEN[key]
 
 
-def _write_snapshots(rows: DataFrame, root: str, file_name: Column) -> None:
+def _write_snapshots(rows: DataFrame, root: str, file_name: Column, day: Column | None = None) -> None:
     """Headerless snapshot files; rows carry `snapshot_ts` and a `row_id`."""
+    day = F.to_date("snapshot_ts") if day is None else day
     spark = rows.sparkSession
     # a fixed count: otherwise small inputs are gathered into one slow writer
     tasks = max(
@@ -44,7 +45,7 @@ def _write_snapshots(rows: DataFrame, root: str, file_name: Column) -> None:
     (
         rows.select(
             F.lit("gps").alias("extract_source"),
-            F.to_date("snapshot_ts").alias("extract_date"),
+            day.alias("extract_date"),
             file_name.alias("file"),
             "row_id",
             *GPS_RAW_COLUMNS,
@@ -91,6 +92,21 @@ def gps_landing_misnamed(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "gps-landing-misnamed", write)
 
 
+def refiled_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Snapshots under their UTC and again under their local date, some without an instant.
+
+    A new one each time, as what is done with it moves its files.
+    """
+    named = F.date_format("snapshot_ts", SNAPSHOT_NAME)
+    nameless = (F.hour("snapshot_ts") == 0) & (F.day("snapshot_ts") % 2 == 1)
+    local = F.expr("snapshot_ts + INTERVAL 3 HOURS")
+    days = F.array_distinct(F.array(F.to_date("snapshot_ts"), F.to_date(local)))
+    root = shared_folder(spark, "gps-landing-refiled")
+    rows = _gps_rows(spark, sf_dir).withColumn("filed", F.explode(days))
+    _write_snapshots(rows, root, F.when(nameless, "gps_latest.csv").otherwise(named), F.col("filed"))
+    return root
+
+
 def as_member(df: DataFrame, name: str) -> DataFrame:
     """A view as the text columns of its schedule file; columns it lacks are empty."""
     texts = []

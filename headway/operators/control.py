@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.sources.landing import files_or_none, folder_value
+from headway.sources.store import Store
+
+COMMITS = "_commits"
 
 
 def create_control_table(spark: SparkSession, name: str) -> None:
     """An empty catalog table with the column defaults.
 
-    Parquet tables take defaults but enforce neither keys nor NOT NULL; the
-    upsert checks both.
+    Parquet tables take defaults but enforce neither keys nor NOT NULL; `control_table` and
+    `upsert_control_table` check both.
     """
     spark.sql(
         f"""
@@ -69,25 +72,79 @@ def upsert_control(current: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def _versions(spark: SparkSession, path: str) -> int:
-    files = files_or_none(spark, [path], "*.parquet")
-    if files is None:
-        return 0
-    return files.select(F.max(folder_value("version").cast("int"))).first()[0] or 0
+class LostUpdate(RuntimeError):
+    """Another writer committed the version after the one that was read."""
+
+
+def control_version(spark: SparkSession, path: str) -> int:
+    """The newest committed version; 0 if there is none."""
+    names = [e.name for e in Store(spark, path).entries(f"{path}/{COMMITS}")]
+    return max((int(name) for name in names if name.isdigit()), default=0)
+
 
+def _version_folder(spark: SparkSession, path: str, version: int) -> str:
+    return f"{path}/{Store(spark, path).read(f'{path}/{COMMITS}/{version:08d}')}"
 
-def write_control(df: DataFrame, path: str) -> int:
-    """Write the table as its next version, as a table cannot overwrite its own input."""
-    version = _versions(df.sparkSession, path) + 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+def write_control(df: DataFrame, path: str, after: int | None = None) -> int:
+    """Write the table as the version after `after`, by default after the newest one.
+
+    The rows are written to a folder of this attempt, which then becomes the version by a
+    marker that only one writer can create; the others get `LostUpdate` and leave nothing.
+    Readers go by markers, so a version that was never finished is none.
+    """
+    spark = df.sparkSession
+    store = Store(spark, path)
+    version = (control_version(spark, path) if after is None else after) + 1
+    folder = f"version={version}/attempt={uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    if not store.create_once(f"{path}/{COMMITS}/{version:08d}", folder):
+        store.remove(f"{path}/{folder}")
+        raise LostUpdate(f"version {version} of {path} was written by another")
     return version
 
 
-def read_control(spark: SparkSession, path: str) -> DataFrame:
-    version = _versions(spark, path)
+def read_control(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest committed version, or the one given."""
+    version = control_version(spark, path) if version is None else version
     if not version:
         raise FileNotFoundError(f"no control table at {path}")
-    return spark.read.parquet(f"{path}/version={version}")
+    return spark.read.parquet(_version_folder(spark, path, version))
+
+
+def _table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+    return next(r.data_type for r in rows if r.col_name == "Location").rstrip("/")
+
+
+def control_table(spark: SparkSession, name: str) -> DataFrame:
+    """The catalog table at its newest committed version; null and repeated keys fail.
+
+    The catalog is brought up to date if a writer died between its commit and that.
+    """
+    location = _table_location(spark, name)
+    root = location.partition("/version=")[0]
+    version = control_version(spark, root)
+    if version:
+        folder = _version_folder(spark, root, version)
+        if folder != location:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+    return _checked(spark.table(name), name).select(*spark.table(name).columns)
+
+
+def upsert_control_table(spark: SparkSession, name: str, incoming: DataFrame) -> int:
+    """Upsert into the catalog table itself; returns its new version.
+
+    Keys and dates of both sides are checked. Rows that INSERT put into the table before are
+    part of it. Of two upserts from the same version one gets `LostUpdate`.
+    """
+    root = _table_location(spark, name).partition("/version=")[0]
+    version = control_version(spark, root)
+    updated = upsert_control(control_table(spark, name), incoming)
+    version = write_control(updated.select(*spark.table(name).columns), root, version)
+    control_table(spark, name)  # moves the catalog to the new version
+    return version
 
 
 def resolve_dates(

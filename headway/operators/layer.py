@@ -41,16 +41,20 @@ class Layer(NamedTuple):
 
 
 def create_layer(
-    spark: SparkSession, name: str, location: str, schema: StructType, key: str = "date"
+    spark: SparkSession, name: str, location: str, schema: StructType, key: str = "date", recover: bool = True
 ) -> None:
-    """The table over `location`, where absent; date folders that are there are its partitions."""
+    """The table over `location`, where absent.
+
+    With `recover` the date folders that are there are its partitions.
+    """
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != key]
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}, `{key}` DATE) "
         f"USING parquet PARTITIONED BY (`{key}`) LOCATION '{location}'"
     )
     Store(spark, location).make_folder(location)
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if recover:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def _described(spark: SparkSession, name: str, partition: str = "") -> list[tuple[str, str]]:

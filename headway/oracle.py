@@ -191,6 +191,18 @@ _SHIFTED = f"""
                AS filed) AS numbered
 """
 
+_SHIFTED_FILES = f"""
+    SELECT n.new_date AS extract_date, n.new_name AS file_name, count(*) AS rows,
+           CAST(sum(CAST(vehicle_id AS BIGINT)) AS BIGINT) AS vehicles
+    FROM ({_SHIFTED}) AS n JOIN gps_raw
+      ON n.file_name = {_NAME.format('snapshot_ts')} || '.csv'
+    WHERE NOT {_NAMELESS}
+    GROUP BY 1, 2
+    UNION ALL
+    SELECT {_DAY.format('snapshot_ts')}, 'gps_latest.csv', count(*), CAST(sum(CAST(vehicle_id AS BIGINT)) AS BIGINT)
+    FROM gps_raw WHERE {_NAMELESS} GROUP BY 1
+"""
+
 _SHIFT_APPLY = _with(
     ["gps_raw"],
     f"""
@@ -201,6 +213,13 @@ _SHIFT_APPLY = _with(
     _POSITIONS,
 )
 
+_RENAMED = _with(
+    ["gps_raw"],
+    f"SELECT vehicle_id, {_TS.format('extract_ts')} AS extract_ts, lat, lon, "
+    "CAST(day AS VARCHAR) AS extract_date FROM positions",
+    _POSITIONS,
+)
+
 # keys of the schedule tables without coordinates
 _VALIDATED = {
     "gtfs_routes": ["route_id"],
@@ -494,6 +513,7 @@ ORACLES: dict[str, str] = {
         f"FROM gps_raw WHERE {_NAMELESS}",
     ),
     "upsert_control": _UPSERT,
+    "upsert_control_table": _UPSERT,
     "control_defaults": "SELECT 'vehicle-' || CAST(user_id AS VARCHAR) AS source, "
     "CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS extract_date, true AS active, "
     "CAST(NULL AS VARCHAR) AS comment, 1 AS stamped FROM events GROUP BY user_id",
@@ -528,12 +548,9 @@ ORACLES: dict[str, str] = {
         f"FROM ({_SHIFTED}) AS plan",
     ),
     "shift_apply": _SHIFT_APPLY,
-    "rename_partition_key": _with(
-        ["gps_raw"],
-        f"SELECT vehicle_id, {_TS.format('extract_ts')} AS extract_ts, lat, lon, "
-        "CAST(day AS VARCHAR) AS extract_date FROM positions",
-        _POSITIONS,
-    ),
+    "shift_files": _with(["gps_raw"], _SHIFTED_FILES),
+    "rename_partition_key": _RENAMED,
+    "rename_folders": _RENAMED,
     "rename_plan": "SELECT DISTINCT 'date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS old_folder, "
     "'extract_date=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS new_folder FROM events",
     "validate_layer": _VALIDATE,

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.functions.clock import zone_or_utc
+from headway.operators.layer import create_layer, place_folders, read_layer
 from headway.operators.sinks import write_dates
 from headway.schemas import STAMP_FORMAT
+from headway.session import shared_folder
 from headway.sources.landing import folder_value, list_files
+from headway.sources.store import Store
 
 RECORD = ["source", "extract_date", "file_name"]
 
@@ -147,6 +155,107 @@ def shift_counts(plan: DataFrame) -> DataFrame:
     )
 
 
+# ---- carrying out a shift ----------------------------------------------------
+
+
+MOVES_PER_TASK = 2_000
+MOVING, AWAY = "_moving", "_away"
+
+
+def plan_moves(spark: SparkSession, root: str, plan: DataFrame, manifest: str | None = None) -> str:
+    """Write the manifest of a plan's moves, and nothing else; return its folder.
+
+    One row per entry of a date folder, a file or a folder of parts, with its place, its new
+    place and one between, all below `root`. Kept and skipped files are not in it.
+    """
+    base = r"extract_date=[^/]+/([^/=]+=)?([^/]+)"
+    entries = list_files(spark, [f"{root}/extract_source=*/extract_date=*"]).select(
+        folder_value("extract_source").alias("source"),
+        folder_value("extract_date").alias("extract_date"),
+        F.regexp_extract("path", base, 2).alias("file_name"),
+        F.regexp_extract("path", base, 1).alias("prefix"),
+    ).distinct()
+    run = uuid.uuid4().hex
+
+    def place(day: str, name: str) -> Column:
+        return F.concat(
+            F.lit("extract_source="), "source", F.lit("/extract_date="), day, F.lit("/"), "prefix", name
+        )
+
+    moves = plan.filter(F.col("action") == "move").join(entries, RECORD).select(
+        *RECORD, "new_date", "new_name",
+        place("extract_date", "file_name").alias("old_place"),
+        F.concat(F.lit(f"{MOVING}/{run}/"), place("new_date", "new_name")).alias("between"),
+        place("new_date", "new_name").alias("new_place"),
+    )
+    manifest = manifest or shared_folder(spark, "moves")
+    moves.write.parquet(manifest)
+    return manifest
+
+
+def carry_out(spark: SparkSession, root: str, manifest: str) -> DataFrame:
+    """Move the files of a manifest and return it. A run that died is ended by another call.
+
+    Executors move in two passes, all files out of the way first, as one may go where another
+    still is. A file is renamed in its store, never written over another, and a move that is
+    done is left alone, so tasks may be run again. A mark beside the manifest says that the
+    first pass is over: from then on an old place may hold a file that has arrived there.
+    """
+    store = Store(spark, root)
+    moves = spark.read.parquet(manifest)
+    if not store.exists(f"{manifest}/{AWAY}"):
+        _moved(spark, store.full(root), moves.select("old_place", "between"))
+        store.create_once(f"{manifest}/{AWAY}", "")
+    _moved(spark, store.full(root), moves.select("between", "new_place"))
+    store.remove(f"{root}/{MOVING}")
+    return moves.select(*RECORD, "new_date", "new_name")
+
+
+def _moved(spark: SparkSession, root: str, places: DataFrame) -> int:
+    """Move each file from its first place to its second, both below `root`; returns how many."""
+    uri = root.replace("s3a://", "s3://")  # Arrow knows Spark's s3a scheme as s3
+    tasks = max(spark.sparkContext.defaultParallelism, places.count() // MOVES_PER_TASK)
+
+    def move(files: pafs.FileSystem, source: str, target: str) -> int:
+        here, there = (i.type != pafs.FileType.NotFound for i in files.get_file_info([source, target]))
+        if here and there:
+            raise FileExistsError(f"{target} is taken, {source} stays")
+        if not here and not there:
+            raise FileNotFoundError(f"{source} is gone")
+        if here:
+            files.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            files.move(source, target)
+        return int(here)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            rows = zip(*(column.to_pylist() for column in batch.columns))
+            done = [move(files, *(f"{base}/{place}" for place in row)) for row in rows]
+            yield pa.record_batch([pa.array(done, pa.int64())], names=["moved"])
+
+    dealt = places.repartition(tasks, places.columns[0]).mapInArrow(run, "moved long")
+    return dealt.agg(F.sum("moved")).first()[0] or 0
+
+
+def shift_files(
+    spark: SparkSession, root: str, hours: int = 3, zone: str | None = None, source: str = "*", dry_run: bool = False
+) -> DataFrame:
+    """Plan a shift of the landed files and carry it out; returns the plan.
+
+    With `dry_run` nothing is moved.
+    """
+    plan = plan_shift(file_records(spark, root, source), hours, zone)
+    if dry_run:
+        return plan
+    # the plan is of the files as they are now, so it is written before they move
+    kept = shared_folder(spark, "shift-plan")
+    plan.write.parquet(kept)
+    plan = spark.read.parquet(kept)
+    carry_out(spark, root, plan_moves(spark, root, plan))
+    return plan
+
+
 def shift_positions(
     positions: DataFrame, hours: int = 3, zone: str | None = None, key: str = "date"
 ) -> DataFrame:
@@ -180,10 +289,39 @@ def renamed_partitions(spark: SparkSession, path: str, old: str, new: str) -> Da
 def rename_partition_key(
     spark: SparkSession, path: str, out: str, old: str = "date", new: str = "extract_date"
 ) -> None:
-    """Rewrite a table under another partition key."""
+    """Copy a table to `out` under another partition key.
+
+    Rows stay in the order and the grouping of their files, so nothing is shuffled.
+    """
     rows = renamed_partitions(spark, path, old, new)
-    sort_by = "extract_ts" if "extract_ts" in rows.columns else None
-    write_dates(rows, out, new, overwrite=True, sort_by=sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(new).parquet(out)
+
+
+def relabel_partitions(
+    spark: SparkSession, path: str, name: str, old: str = "date", new: str = "extract_date"
+) -> DataFrame:
+    """A catalog table over the same files under another partition key.
+
+    Each partition of the table is an existing folder, so no file is read, moved or written.
+    """
+    schema = renamed_partitions(spark, path, old, new).schema
+    create_layer(spark, name, path, schema, new, recover=False)
+    place_folders(spark, name, Store(spark, path).folders(path, old))
+    return read_layer(spark, name)
+
+
+def rename_folders(spark: SparkSession, path: str, old: str = "date", new: str = "extract_date") -> int:
+    """Rename the partition folders in place, one by one; returns how many.
+
+    For stores that rename folders at once. A run that died half way is ended by another.
+    """
+    store = Store(spark, path)
+    folders = store.folders(path, old)
+    if not folders and not store.folders(path, new):
+        raise ValueError(f"{path} has no partition key {old!r}")
+    for value, folder in folders.items():
+        store.move(folder, f"{path}/{new}={value}")
+    return len(folders)
 
 
 def plan_rename(

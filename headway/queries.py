@@ -19,11 +19,13 @@ from headway.fixtures.adapter import table, view
 from headway.functions.casting import LENIENT, typed
 from headway.functions.clock import in_local_window
 from headway.operators.control import (
+    control_table,
     create_control_table,
     read_control,
     resolve_date,
     resolve_dates,
     upsert_control,
+    upsert_control_table,
     write_control,
 )
 from headway.operators.layer import compact, create_layer, files_per_date, read_layer
@@ -36,8 +38,10 @@ from headway.plans.migrate import (
     apply_shift,
     plan_rename,
     plan_shift,
-    rename_partition_key,
+    relabel_partitions,
+    rename_folders,
     shift_counts,
+    shift_files,
 )
 from headway.plans.schedule import scheduled_trips
 from headway.plans.validate import validate_layer
@@ -335,6 +339,28 @@ def upsert_control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(read_control(spark, path))
 
 
+def upsert_control_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert into the catalog table, whose first rows come from an INSERT.
+
+    A version that was never committed lies beside it.
+    """
+    rows, path = _vehicle_dates(spark, sf_dir), shared_folder(spark, "control-catalog")
+    database = f"headway_check_{uuid.uuid4().hex}"
+    create_schemas(spark, [database], path)
+    name = f"{database}.source_params"
+    create_control_table(spark, name)
+    seed = _params(rows.filter(F.col("day") < HALFTIME)).select(*spark.table(name).columns)
+    spark.sql(f"INSERT INTO {name} SELECT * FROM {{seed}}", seed=seed)
+    incoming = (
+        rows.filter(F.col("day") >= HALFTIME)
+        .groupBy("source")
+        .agg(F.max("day").alias("extract_date"))
+    )
+    upsert_control_table(spark, name, incoming)
+    seed.limit(1).write.parquet(f"{path}/{database}/source_params/version=2/attempt=died")
+    return shown(control_table(spark, name))
+
+
 def control_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows inserted with key and date only take the table's defaults."""
     database = f"headway_check_{uuid.uuid4().hex}"
@@ -390,18 +416,40 @@ def shift_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.parquet(out).select("vehicle_id", "extract_ts", "lat", "lon", "date"))
 
 
+def shifted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every landed file after snapshots filed twice were moved three hours back."""
+    root = landing.refiled_landing(spark, sf_dir)
+    shift_files(spark, root)
+    name = F.regexp_extract("snapshot_file", r"extract_date=[^/]+/(?:[^/=]+=)?([^/]+)", 1)
+    return (
+        read_gps(spark, root)
+        .groupBy("extract_date", name.alias("file_name"))
+        .agg(F.count("*").alias("rows"), F.sum(F.col("vehicle_id").cast("bigint")).alias("vehicles"))
+    )
+
+
 def _by_date(spark: SparkSession, sf_dir: str) -> str:
     out = shared_folder(spark, "by-date")
     write_dates(_positions(spark, sf_dir).select(*_VERSIONED), out)
     return out
 
 
+_RENAMED = ["vehicle_id", "extract_ts", "lat", "lon", "extract_date"]
+
+
 def rename_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, out = _by_date(spark, sf_dir), shared_folder(spark, "by-extract-date")
-    rename_partition_key(spark, source, out)
-    return shown(
-        spark.read.parquet(out).select("vehicle_id", "extract_ts", "lat", "lon", "extract_date")
-    )
+    """A catalog table over the folders of the old key."""
+    database = f"headway_check_{uuid.uuid4().hex}"
+    create_schemas(spark, [database], shared_folder(spark, "renamed-database"))
+    table = relabel_partitions(spark, _by_date(spark, sf_dir), f"{database}.gps_positions")
+    return shown(table.select(*_RENAMED))
+
+
+def rename_key_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folders themselves renamed."""
+    path = _by_date(spark, sf_dir)
+    rename_folders(spark, path)
+    return shown(spark.read.parquet(path).select(*_RENAMED))
 
 
 def rename_key_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -571,6 +619,7 @@ QUERIES: dict[str, Query] = {
     "backfill_isolation": backfill_isolation,
     "rejected_rows": rejected_snapshot_rows,
     "upsert_control": upsert_control_rows,
+    "upsert_control_table": upsert_control_catalog,
     "control_defaults": control_defaults,
     "resolve_extract_date": resolve_extract_date,
     "scan_resolved_date": scan_resolved_date,
@@ -588,7 +637,9 @@ QUERIES: dict[str, Query] = {
     "shift_partitions": shift_partitions,
     "shift_counts": shift_partitions_counts,
     "shift_apply": shift_apply,
+    "shift_files": shifted_files,
     "rename_partition_key": rename_key,
+    "rename_folders": rename_key_folders,
     "rename_plan": rename_key_plan,
     "validate_layer": validate_tables,
     "stream_gps_positions": stream_gps_positions,

@@ -6,6 +6,7 @@ file, markers of commits. Any store that Spark reads will do. Rows are left to D
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
@@ -73,17 +74,22 @@ class Store:
         self._files.delete(self._path(path), True)
 
     def create_once(self, path: str, text: str) -> bool:
-        """Write a small file unless it is there; of several writers one gets True."""
-        try:
-            out = self._files.create(self._path(path), False)
-        except Py4JJavaError as error:
-            if _is_a(error, "FileAlreadyExistsException") or self.exists(path):
-                return False
-            raise
+        """Write a small file unless it is there; of several writers one gets True.
+
+        It appears under its name with all its text, by a rename that does not replace, so
+        the store must have such a rename.
+        """
+        draft = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+        out = self._files.create(self._path(draft), False)
         try:
             out.write(bytearray(text.encode()))
         finally:
             out.close()
+        try:
+            self.move(draft, path)
+        except FileExistsError:
+            self.remove(draft)
+            return False
         return True
 
     def read(self, path: str, limit: int = LINE_BYTES) -> str:

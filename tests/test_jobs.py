@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from conftest import put
 from headway.operators.control import (
+    LostUpdate,
+    control_table,
+    control_version,
     create_control_table,
     read_control,
     resolve_date,
     upsert_control,
+    upsert_control_table,
     write_control,
 )
 from headway.operators.layer import create_layer, read_layer
@@ -369,3 +373,70 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         ("2026-08-18", "2026-08-18 07:00:00", 1),
         ("2026-08-18", "None", 1),
     ]
+
+
+# ---- control table: versions and the catalog ---------------------------------
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    path = str(tmp_path / "control")
+    seed = control(spark, ("gps", date(2024, 1, 1), True, None, OLD))
+    write_control(seed, path)
+    version = control_version(spark, path)
+    first = upsert_control(read_control(spark, path, version), incoming(spark, ("gps", date(2024, 2, 2))))
+    second = upsert_control(read_control(spark, path, version), incoming(spark, ("tram", date(2024, 3, 3))))
+    assert write_control(first, path, version) == 2
+    with pytest.raises(LostUpdate):
+        write_control(second, path, version)
+    assert {r.source: str(r.extract_date) for r in read_control(spark, path).collect()} == {"gps": "2024-02-02"}
+    assert len(list((tmp_path / "control/version=2").iterdir())) == 1
+
+
+def test_a_version_half_written_is_none(spark, tmp_path):
+    path = str(tmp_path / "control")
+    seed = control(spark, ("gps", date(2024, 1, 1), True, None, OLD))
+    write_control(seed, path)
+    seed.write.parquet(f"{path}/version=2/attempt=died")
+    assert control_version(spark, path) == 1
+    assert write_control(seed, path) == 2
+    assert read_control(spark, path).count() == 1
+
+
+def test_upsert_into_the_catalog_table(spark, tmp_path):
+    create_schemas(spark, ["headway_upsert"], str(tmp_path / "db"))
+    name = "headway_upsert.source_params"
+    create_control_table(spark, name)
+    assert control_table(spark, name).count() == 0
+    spark.sql(f"INSERT INTO {name} (source, extract_date) VALUES ('gps', DATE '2026-08-17')")
+    new = incoming(spark, ("gps", date(2026, 9, 1)), ("gtfs", date(2026, 9, 2)))
+    assert upsert_control_table(spark, name, new) == 1
+    rows = {r.source: r for r in spark.table(name).collect()}
+    assert {s: str(r.extract_date) for s, r in rows.items()} == {"gps": "2026-09-01", "gtfs": "2026-09-02"}
+    assert all(r.active and r.updated_ts for r in rows.values())
+    # defaults still hold, and what was inserted meanwhile is part of the next version
+    spark.sql(f"INSERT INTO {name} (source, extract_date) VALUES ('tram', DATE '2026-09-03')")
+    assert upsert_control_table(spark, name, incoming(spark, ("ferry", date(2026, 9, 4)))) == 2
+    assert {r.source: r.active for r in spark.table(name).collect()} == dict.fromkeys(("gps", "gtfs", "tram", "ferry"), True)
+    # a writer died after its commit: the next reader moves the catalog on
+    root = str(tmp_path / "db/headway_upsert/source_params")
+    write_control(control(spark, ("bus", date(2026, 9, 5), True, None, OLD)), root, 2)
+    assert [r.source for r in control_table(spark, name).collect()] == ["bus"]
+
+
+@pytest.mark.parametrize("row", ["('gps', DATE '2024-01-01')", "(NULL, DATE '2024-01-01')", "('tram', NULL)"])
+def test_faults_in_the_catalog_table_are_found(spark, tmp_path, row):
+    database = f"headway_faults_{abs(hash(row))}"
+    create_schemas(spark, [database], str(tmp_path / "db"))
+    name = f"{database}.source_params"
+    create_control_table(spark, name)
+    spark.sql(f"INSERT INTO {name} (source, extract_date) VALUES ('gps', DATE '2024-01-01')")
+    spark.conf.set("spark.sql.storeAssignmentPolicy", "ANSI")
+    try:
+        spark.sql(f"INSERT INTO {name} (source, extract_date) VALUES {row}")
+    except Exception as error:  # Spark itself may refuse a null
+        assert "NULL" in str(error).upper()
+        return
+    with pytest.raises(Exception, match="twice|is null"):
+        control_table(spark, name).collect()
+    with pytest.raises(Exception, match="twice|is null"):
+        upsert_control_table(spark, name, incoming(spark, ("bus", date(2024, 1, 1))))

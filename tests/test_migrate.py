@@ -1,19 +1,28 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import put
-from headway.operators.sinks import write_dates
+from headway.operators.sinks import create_schemas, write_dates
 from headway.plans.migrate import (
+    carry_out,
     file_records,
+    plan_moves,
     plan_rename,
     plan_shift,
+    relabel_partitions,
+    rename_folders,
     rename_partition_key,
     shift_counts,
+    shift_files,
 )
+from headway.sources.store import Store
 
 
 def planned(spark, records, **how):
@@ -132,3 +141,126 @@ def test_rename_partition_key(spark, tmp_path):
     ]
     with pytest.raises(ValueError, match="no partition key"):
         rename_partition_key(spark, new, old)
+
+
+# ---- carrying out ------------------------------------------------------------
+
+
+def landed_files(root):
+    return {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+
+
+FILES = {
+    "extract_source=gps/extract_date=2024-03-02/gps_20240302_013000.csv": "over midnight",
+    "extract_source=gps/extract_date=2024-03-01/gps_20240301_223000.csv": "in its way",
+    "extract_source=gps/extract_date=2024-03-01/gps_20240302_013000.csv": "filed twice",
+    "extract_source=gps/extract_date=2024-03-01/notes.txt": "no instant",
+    "extract_source=gps/extract_date=2024-03-01/file=gps_20240301_120000.csv/part-0.csv": "a part",
+    "extract_source=gps/extract_date=2024-03-01/file=gps_20240301_120000.csv/part-1.csv": "and another",
+    "extract_source=gtfs/extract_date=2024-03-01/gtfs_20240301_040000.zip": "archive",
+}
+SHIFTED = {
+    "extract_source=gps/extract_date=2024-03-01/gps_20240301_223000.csv": "filed twice",
+    "extract_source=gps/extract_date=2024-03-01/gps_20240301_223000-1.csv": "over midnight",
+    "extract_source=gps/extract_date=2024-03-01/gps_20240301_193000.csv": "in its way",
+    "extract_source=gps/extract_date=2024-03-01/notes.txt": "no instant",
+    "extract_source=gps/extract_date=2024-03-01/file=gps_20240301_090000.csv/part-0.csv": "a part",
+    "extract_source=gps/extract_date=2024-03-01/file=gps_20240301_090000.csv/part-1.csv": "and another",
+    "extract_source=gtfs/extract_date=2024-03-01/gtfs_20240301_010000.zip": "archive",
+}
+
+
+@pytest.fixture
+def landing_root(tmp_path):
+    root = tmp_path / "raw"
+    for name, text in FILES.items():
+        put(root / name, text)
+    return root
+
+
+def test_files_are_moved_by_the_plan(spark, landing_root):
+    plan = shift_files(spark, str(landing_root), dry_run=True)
+    assert landed_files(landing_root) == FILES and plan.count() == 6
+    plan = shift_files(spark, str(landing_root))
+    assert landed_files(landing_root) == SHIFTED
+    assert {r.action for r in plan.collect()} == {"move", "skip"}
+    assert sorted(p.name for p in landing_root.iterdir()) == ["extract_source=gps", "extract_source=gtfs"]
+
+
+@pytest.mark.parametrize("died_in", [1, 2])
+def test_a_shift_that_died_is_ended(spark, landing_root, died_in):
+    root = str(landing_root)
+    kept = root + "-plan"
+    plan_shift(file_records(spark, root)).write.parquet(kept)
+    manifest = plan_moves(spark, root, spark.read.parquet(kept))
+    rows = sorted(spark.read.parquet(manifest).collect(), key=lambda r: r.old_place)
+
+    def move(source, target):
+        (landing_root / target).parent.mkdir(parents=True, exist_ok=True)
+        (landing_root / source).rename(landing_root / target)
+
+    if died_in == 1:
+        move(rows[0].old_place, rows[0].between)
+    else:
+        for row in rows:
+            move(row.old_place, row.between)
+        Store(spark, root).create_once(f"{manifest}/_away", "")
+        for row in rows[::2]:
+            move(row.between, row.new_place)
+    carry_out(spark, root, manifest)
+    assert landed_files(landing_root) == SHIFTED
+    carry_out(spark, root, manifest)
+    assert landed_files(landing_root) == SHIFTED
+
+
+def test_a_file_is_never_written_over(spark, landing_root):
+    root = str(landing_root)
+    plan_shift(file_records(spark, root)).write.parquet(root + "-plan")
+    manifest = plan_moves(spark, root, spark.read.parquet(root + "-plan"))
+    # landed after the plan was made
+    late = landing_root / "extract_source=gtfs/extract_date=2024-03-01/gtfs_20240301_010000.zip"
+    put(late, "late")
+    with pytest.raises(Exception, match="is taken"):
+        carry_out(spark, root, manifest)
+    assert sorted(landed_files(landing_root).values()) == sorted([*FILES.values(), "late"])
+    assert late.read_text() == "late"
+    late.unlink()
+    carry_out(spark, root, manifest)
+    assert landed_files(landing_root) == SHIFTED
+
+
+def test_relabelled_partitions_read_and_move_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None)], "n int, date string")
+    write_dates(rows.withColumn("date", F.col("date").cast("date")), path, sort_by=None)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    create_schemas(spark, ["headway_relabel"], str(tmp_path / "db"))
+    tracker, group = spark.sparkContext.statusTracker(), "relabel"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        table = relabel_partitions(spark, path, "headway_relabel.t")
+        # the schema is taken from a footer; no job reads rows
+        assert len(tracker.getJobIdsForGroup(group)) <= 2
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        table.filter("extract_date = DATE '2024-01-02'").explain()
+    assert "Exchange" not in out.getvalue() and "PartitionFilters: [isnotnull(extract_date" in out.getvalue()
+    assert sorted((r.n, str(r.extract_date)) for r in table.collect()) == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "None")]
+    assert {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")} == before
+    with pytest.raises(ValueError, match="no partition key"):
+        relabel_partitions(spark, path, "headway_relabel.u", old="day")
+
+
+def test_folders_are_renamed_in_place(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(d, f"2024-01-{d:02d}") for d in range(1, 8)], "n int, date string")
+    write_dates(rows, path, sort_by=None)
+    (tmp_path / "t/date=2024-01-03").rename(tmp_path / "t/extract_date=2024-01-03")  # from a run that died
+    assert rename_folders(spark, path) == 6
+    assert rename_folders(spark, path) == 0
+    found = spark.read.parquet(path).collect()
+    assert sorted((r.n, str(r.extract_date)) for r in found) == [(d, f"2024-01-{d:02d}") for d in range(1, 8)]
+    with pytest.raises(ValueError, match="no partition key"):
+        rename_folders(spark, path, old="day", new="week")
