@@ -184,3 +184,16 @@ def resolve_date(
     """The extract date of one source, to be put into a scan's path."""
     asked = params.sparkSession.createDataFrame([(source,)], "source string")
     return resolve_dates(params, asked, fallback).first().extract_date
+
+
+def at_resolved_date(
+    rows: DataFrame, params: DataFrame, source: str, fallback: date | Column | None = None, key: str = "date"
+) -> DataFrame:
+    """The rows of the date that the control table names for the source.
+
+    The date is found as the query runs and prunes the partitions of `rows` then; nothing
+    is fetched to plan it.
+    """
+    asked = params.sparkSession.createDataFrame([(source,)], "source string")
+    resolved = resolve_dates(params.filter(F.col("source") == source), asked, fallback)
+    return rows.filter(F.col(key) == resolved.select(F.col("extract_date").cast("date")).scalar())

@@ -38,7 +38,8 @@ def write_dates(
     path: str,
     key: str = "date",
     overwrite: bool = False,
-    sort_by: str | None = "extract_ts",
+    sort_by: str | list[str] | None = "extract_ts",
+    find_by: tuple[str, ...] = (),
 ) -> list[date]:
     """Write one folder per date; return the dates left alone because they exist.
 
@@ -46,6 +47,10 @@ def write_dates(
     prunes their input partitions. With it only the dates in `df` are replaced.
     Dates without rows get no folder. The rebalance gathers the many small
     snapshot files of a date, and splits a date that is too large for one task.
+
+    Rows are sorted by `sort_by` within each file, so a filter on its first column, or a
+    range of it, passes over row groups by their bounds. The columns of `find_by` get bloom
+    filters, by which a filter for one value passes over row groups that lack it.
     """
     check_not_streamed(df.sparkSession, path)
     skipped: list[date] = []
@@ -55,9 +60,11 @@ def write_dates(
             df = df.filter(F.col(key).isNull() | ~F.col(key).isin(skipped))
     out = df.hint("rebalance", key)
     if sort_by:
-        out = out.sortWithinPartitions(key, sort_by)
+        out = out.sortWithinPartitions(key, *([sort_by] if isinstance(sort_by, str) else sort_by))
+    blooms = {f"parquet.bloom.filter.enabled#{name}": "true" for name in find_by}
     (
         out.write.mode("overwrite")
+        .options(**blooms)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .parquet(path)

@@ -524,8 +524,22 @@ ORACLES: dict[str, str] = {
         "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw "
         "WHERE CAST(snapshot_ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)",
     ),
+    "scan_resolved_partition": _with(
+        ["gps_raw"],
+        f"SELECT CAST(vehicle_id AS VARCHAR) AS vehicle_id, {_TS.format('extract_ts')} AS extract_ts, lat, lon, "
+        "transport_type, CAST(day AS VARCHAR) AS extract_date FROM positions "
+        "WHERE day = (SELECT max(CAST(ts AS DATE)) FROM events)",
+        _POSITIONS,
+    ),
+    "find_vehicle": _with(
+        ["gps_raw"],
+        f"SELECT {_STD}, {_TS.format('snapshot_ts')} AS extract_ts, "
+        "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw "
+        "WHERE fleet_number = '0015'",
+    ),
     "local_time_window": _WINDOW,
     "scheduled_trips": _SCHEDULED,
+    "scheduled_trips_bucketed": _SCHEDULED,
     "travel_duration": _TRAVEL,
     "stop_distance_planar": _distance("planar_m", _PLANAR),
     "stop_distance_projected": _distance(

@@ -43,24 +43,37 @@ def stop_calls(stop_times: DataFrame, first_stop: str, second_stop: str) -> Data
     )
 
 
-def line_trips(
-    routes: DataFrame, trips: DataFrame, calendar: DataFrame, line: str, headsign: str
-) -> DataFrame:
-    """Distinct trips of a line towards a headsign whose service runs Monday to Friday."""
+def weekday_lines(
+    routes: DataFrame, calendar: DataFrame, line: str
+) -> tuple[DataFrame, DataFrame]:
+    """The distinct routes of a line, and services that run Monday to Friday."""
     lines = routes.filter(F.col("route_short_name") == line).select(*ROUTE_COLUMNS).distinct()
     weekly = calendar
     for day in WORKDAYS:
         weekly = weekly.filter(F.col(day) == 1)
-    weekly = weekly.select(*SERVICE_COLUMNS).distinct()
-    wanted = trips.filter(F.lower("trip_headsign") == headsign.lower()).select(*TRIP_COLUMNS)
-    # routes and calendar are left to the planner: broadcast below its threshold
-    # by measured size, otherwise shuffled with skewed keys split
-    return (
-        wanted.join(lines, "route_id")
-        .join(weekly, "service_id")
-        .select(*ROUTE_COLUMNS, *TRIP_COLUMNS[1:], *SERVICE_COLUMNS[1:])
-        .distinct()
-    )
+    return lines, weekly.select(*SERVICE_COLUMNS).distinct()
+
+
+def bucket_schedule(
+    trips: DataFrame, stop_times: DataFrame, names: tuple[str, str], buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """Catalog tables of trips and calls that are bucketed by trip.
+
+    Their join, and what is grouped by trip before and after it, needs no exchange. Choose
+    `buckets` so that one of calls fits in a task, some 100 MB.
+    """
+    spark = trips.sparkSession
+    for rows, name in zip((trips, stop_times), names):
+        # dealt as the buckets are, so each bucket is one file
+        (
+            rows.repartition(buckets, "trip_id")
+            .write.mode("overwrite")
+            .format("parquet")
+            .bucketBy(buckets, "trip_id")
+            .sortBy("trip_id")
+            .saveAsTable(name)
+        )
+    return spark.table(names[0]), spark.table(names[1])
 
 
 def scheduled_trips(
@@ -78,12 +91,21 @@ def scheduled_trips(
 
     A trip that calls at only one of the stops is kept, with nulls for the other.
     Times stay comparable after midnight, as they are seconds underneath.
+
+    Trips meet their calls first and repeated trips are dropped there, where rows are dealt
+    by trip already; with `bucket_schedule` they are from the start. Routes and calendar are
+    left to the planner: broadcast below its threshold by measured size, otherwise shuffled
+    with skewed keys split. Each side is distinct, so the result is.
     """
     calls = stop_calls(stop_times, first_stop, second_stop)
+    lines, weekly = weekday_lines(routes, calendar, line)
+    wanted = trips.filter(F.lower("trip_headsign") == headsign.lower()).select(*TRIP_COLUMNS)
     travel = F.col("second_arrival_s") - F.col("first_departure_s")
     return (
-        line_trips(routes, trips, calendar, line, headsign)
-        .join(calls, "trip_id")
+        wanted.join(calls, "trip_id")
+        .distinct()
+        .join(lines, "route_id")
+        .join(weekly, "service_id")
         .select(
             *ROUTE_COLUMNS,
             *TRIP_COLUMNS[1:],

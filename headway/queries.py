@@ -19,6 +19,7 @@ from headway.fixtures.adapter import table, view
 from headway.functions.casting import LENIENT, typed
 from headway.functions.clock import in_local_window
 from headway.operators.control import (
+    at_resolved_date,
     control_table,
     create_control_table,
     read_control,
@@ -43,7 +44,7 @@ from headway.plans.migrate import (
     shift_counts,
     shift_files,
 )
-from headway.plans.schedule import scheduled_trips
+from headway.plans.schedule import bucket_schedule, scheduled_trips
 from headway.plans.validate import validate_layer
 from headway.schemas import GPS_RAW_COLUMNS, GTFS_TABLES
 from headway.session import shared_folder, use_utc
@@ -308,6 +309,27 @@ def scan_resolved_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(standardize_gps(read_gps(spark, root, [resolve_date(params, "gps")])))
 
 
+def scan_resolved_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from the standardized table: the date prunes its partitions at run time."""
+    params = (
+        table(spark, sf_dir, "events")
+        .agg(F.max(F.to_date("ts")).alias("extract_date"))
+        .select(F.lit("gps").alias("source"), "extract_date", F.lit(True).alias("active"))
+    )
+    rows = spark.read.parquet(_by_date(spark, sf_dir))
+    return shown(at_resolved_date(rows, params, "gps").withColumnRenamed("date", "extract_date"))
+
+
+def find_vehicle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All positions of one vehicle from a table clustered by line, with bloom filters."""
+    out = shared_folder(spark, "clustered")
+    write_dates(
+        _positions(spark, sf_dir), out, sort_by=["line_number", "extract_ts"], find_by=("fleet_number", "vehicle_id")
+    )
+    found = spark.read.parquet(out).filter(F.col("fleet_number") == FLEET)
+    return shown(found.withColumnRenamed("date", "extract_date"))
+
+
 def _vehicle_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "user_id",
@@ -536,6 +558,24 @@ def trips_scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_trips(spark, sf_dir).drop("travel_duration"))
 
 
+def trips_scheduled_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables that are bucketed by trip."""
+    database = f"headway_check_{uuid.uuid4().hex}"
+    create_schemas(spark, [database], shared_folder(spark, "bucketed"))
+    routes, trips, stop_times, calendar = (
+        view(spark, sf_dir, name)
+        for name in ("gtfs_routes", "gtfs_trips", "gtfs_stop_times", "gtfs_calendar")
+    )
+    names = (f"{database}.gtfs_trips", f"{database}.gtfs_stop_times")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    trips, stop_times = bucket_schedule(trips, stop_times, names, buckets)
+    found = scheduled_trips(
+        routes, trips, stop_times, calendar,
+        line=LINE, headsign=HEADSIGN, first_stop=FIRST_STOP, second_stop=SECOND_STOP,
+    )
+    return shown(found.drop("travel_duration"))
+
+
 def travel_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     took = F.col("travel_duration")
     minutes = (F.extract(F.lit("DAY"), took) * 24 + F.extract(F.lit("HOUR"), took)) * 60
@@ -623,8 +663,11 @@ QUERIES: dict[str, Query] = {
     "control_defaults": control_defaults,
     "resolve_extract_date": resolve_extract_date,
     "scan_resolved_date": scan_resolved_date,
+    "scan_resolved_partition": scan_resolved_partition,
+    "find_vehicle": find_vehicle,
     "local_time_window": local_time_window,
     "scheduled_trips": trips_scheduled,
+    "scheduled_trips_bucketed": trips_scheduled_bucketed,
     "travel_duration": travel_duration,
     "stop_distance_planar": _stop_distance("planar"),
     "stop_distance_projected": _stop_distance("projected"),
