@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# by application, in local mode without a shared folder
+_TEMPORARY: dict[str, str] = {}
+
 # Every instant in the tables is UTC, so time-zone dependent functions must be too.
 SESSION_TIME_ZONE = "UTC"
 
@@ -42,8 +46,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # "local-cluster" has executors of their own
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="headway-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        # the setting cannot be changed while the session runs, so the folder is remembered
+        if app not in _TEMPORARY:
+            _TEMPORARY[app] = tempfile.mkdtemp(prefix="headway-")
+        base = _TEMPORARY[app]
     return f"{base.rstrip('/')}/headway/{name}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Schedule archives: members read or unpacked by the tasks, one archive at a time."""
+"""Schedule archives: members read or unpacked by the tasks, by random access to the archive."""
 
 from __future__ import annotations
 
@@ -7,10 +7,13 @@ import itertools
 import posixpath
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,8 @@ from headway.sources.landing import (
 
 LINES_PER_BATCH = 20_000
 BLOCK_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+ARCHIVES_AT_ONCE = 16  # tasks for each core, if there are that many archives
 
 # Fixed value: archive file names.
 ARCHIVE_PATTERN = r"gtfs_(\d{8}_\d{6})\.zip$"
@@ -41,15 +46,71 @@ def list_archives(
     )
 
 
-def _contents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # the scan packs small archives together and gives a large one its own task
-    return spark.read.format("binaryFile").load(paths).select("path", "content")
+def open_archive(path: str) -> pa.NativeFile:
+    """An archive for reading at any place; nothing is fetched before it is asked for."""
+    # Arrow knows Spark's s3a scheme as s3, and wants all slashes of a local one
+    uri = quote(re.sub("^file:/+", "file:///", path.replace("s3a://", "s3://")), safe="/:@")
+    store, place = pafs.FileSystem.from_uri(uri if ":" in uri else f"file://{uri}")
+    return store.open_input_file(place)
 
 
-def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+def _spread(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The paths, an archive to a task as far as that pays."""
+    tasks = min(len(paths), ARCHIVES_AT_ONCE * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, tasks))
+
+
+def _directory(path: str) -> list[zipfile.ZipInfo]:
+    """The members that an archive lists at its end; of its other bytes none is read."""
+    with open_archive(path) as file, zipfile.ZipFile(file) as archive:
+        return [info for info in archive.infolist() if not info.is_dir()]
+
+
+MEMBERS = "path string, number int, name string, packed_bytes long, unpacked_bytes long, readable boolean"
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
+    for batch in batches:
+        yield from batch["path"].to_pylist()
+
+
+def _pieces(path: str, number: int) -> Iterator[bytes]:
+    """The unpacked bytes of a member, checked against its checksum at the end."""
+    with open_archive(path) as file, zipfile.ZipFile(file) as archive:
+        info = [i for i in archive.infolist() if not i.is_dir()][number]
+        with archive.open(info) as stream:
+            while piece := stream.read(PIECE_BYTES):
+                yield piece
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            yield path.as_py(), content.as_py()
+        for path in batch["path"].to_pylist():
+            try:
+                infos, readable = _directory(path), True
+            except zipfile.BadZipFile:
+                infos, readable = [], False
+            rows = [(path, i, x.filename, x.compress_size, x.file_size, True) for i, x in enumerate(infos)]
+            # an archive without members has a row, too
+            columns = zip(*(rows or [(path, None, None, None, None, readable)]))
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            names = ["path", "number", "name", "packed_bytes", "unpacked_bytes", "readable"]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def list_members(spark: SparkSession, root: str, dates: list | None = None) -> DataFrame:
+    """One row per member of each archive, from the archives' directories alone.
+
+    An archive without members has one row of nulls; its `readable` tells whether it opens.
+    """
+    return _spread(spark, list(_paths(list_archives(spark, root, dates)))).mapInArrow(_members, MEMBERS)
+
+
+def _dealt(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Members as rows of their own, dealt over tasks: those of one archive to several."""
+    members = _spread(spark, paths).mapInArrow(_members, MEMBERS)
+    tasks = max(len(paths), spark.sparkContext.defaultParallelism)
+    return members.repartition(tasks, "path", "number")
 
 
 def newest_archives(archives: DataFrame) -> DataFrame:
@@ -75,11 +136,10 @@ def read_archive_table(
 ) -> DataFrame:
     """A schedule table straight from its archives, all columns text.
 
-    Decompression and parsing stream through Arrow batches, so an archive's
-    unpacked size does not have to fit in memory; packed it may take up to 2 GB,
-    the largest value of a column. Tasks share out archives: a compressed member
-    cannot be entered in the middle. `absent` says what to do about
-    an archive without the member: "error" or "skip".
+    Tasks share out the archives. Of each its directory and the member's own bytes are
+    fetched, and decompression and parsing stream through Arrow batches, so neither has to
+    fit in memory. A compressed member cannot be entered in the middle. `absent` says what
+    to do about an archive without the member: "error" or "skip".
     """
     if extracts not in ("latest", "all"):
         raise ValueError(f"extracts must be 'latest' or 'all', not {extracts!r}")
@@ -95,8 +155,8 @@ def read_archive_table(
     schema = ", ".join(["path string", *(f"`{c}` string" for c in columns)])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _archives(batches):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        for path in _listed(batches):
+            with open_archive(path) as file, zipfile.ZipFile(file) as archive:
                 if member not in archive.namelist():
                     if absent == "skip":
                         continue
@@ -120,7 +180,7 @@ def read_archive_table(
                             [where, *part.columns], ["path", *columns]
                         )
 
-    rows = _contents(spark, list(paths)).mapInArrow(members, schema)
+    rows = _spread(spark, list(paths)).mapInArrow(members, schema)
     return rows.select(
         *columns,
         F.regexp_extract("path", r"extract_date=([^/]+)", 1).alias("extract_date"),
@@ -131,34 +191,35 @@ def read_archive_table(
 def archive_status(spark: SparkSession, root: str, dates: list | None = None) -> DataFrame:
     """One row per archive: member count, unpacked bytes and whether it opens.
 
-    Every member is checked against its stored checksum.
+    Every member is read and checked against its stored checksum, each by itself, so the
+    members of one archive are checked by several tasks.
     """
     paths = _paths(list_archives(spark, root, dates))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _archives(batches):
-            members, size, status = 0, 0, "ok"
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    infos = archive.infolist()
-                    members, size = len(infos), sum(i.file_size for i in infos)
-                    if archive.testzip() is not None:
-                        status = "corrupt"
-            # a damaged deflate stream raises zlib.error, a cut one EOFError
-            except Exception:
-                status = "corrupt"
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([path]),
-                    pa.array([members], pa.int64()),
-                    pa.array([size], pa.int64()),
-                    pa.array([status]),
-                ],
-                ["path", "members", "unpacked_bytes", "status"],
+        for batch in batches:
+            sound = []
+            for path, number, readable in zip(*(batch[c].to_pylist() for c in ("path", "number", "readable"))):
+                try:
+                    if number is not None:
+                        for _ in _pieces(path, number):
+                            pass
+                    sound.append(readable)
+                # a damaged deflate stream raises zlib.error, a cut one EOFError
+                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+                    sound.append(False)
+            yield pa.record_batch(
+                [batch["path"], batch["number"], batch["unpacked_bytes"], pa.array(sound)],
+                names=["path", "number", "unpacked_bytes", "sound"],
             )
 
-    return _contents(spark, list(paths)).mapInArrow(
-        check, "path string, members long, unpacked_bytes long, status string"
+    checked = _dealt(spark, list(paths)).mapInArrow(
+        check, "path string, number int, unpacked_bytes long, sound boolean"
+    )
+    return checked.groupBy("path").agg(
+        F.count("number").alias("members"),
+        F.coalesce(F.sum("unpacked_bytes"), F.lit(0)).alias("unpacked_bytes"),
+        F.when(F.min("sound"), "ok").otherwise("corrupt").alias("status"),
     )
 
 
@@ -184,19 +245,21 @@ def unpack_archives(
         return 0
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, content in _archives(batches):
-            day = re.search(r"extract_date=([^/]+)", path)
-            stamp = re.search(ARCHIVE_PATTERN, path)
-            if day is None or stamp is None:
-                raise ValueError(f"{path} is not named gtfs_YYYYMMDD_HHMMSS.zip in a date folder")
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = [posixpath.basename(i.filename) for i in archive.infolist() if not i.is_dir()]
-                if len(set(names)) < len(names):
-                    raise ValueError(f"{path} has several members of one name")
-                for info in archive.infolist():
-                    if info.is_dir():
+        for batch in batches:
+            for path, number, name in zip(*(batch[c].to_pylist() for c in ("path", "number", "name"))):
+                day = re.search(r"extract_date=([^/]+)", path)
+                stamp = re.search(ARCHIVE_PATTERN, path)
+                if day is None or stamp is None:
+                    raise ValueError(f"{path} is not named gtfs_YYYYMMDD_HHMMSS.zip in a date folder")
+                with open_archive(path) as file, zipfile.ZipFile(file) as archive:
+                    # the task of any member sees to the names of all
+                    infos = [i for i in archive.infolist() if not i.is_dir()]
+                    names = {posixpath.basename(i.filename) for i in infos}
+                    if len(names) < len(infos):
+                        raise ValueError(f"{path} has several members of one name")
+                    if number is None:
                         continue
-                    with archive.open(info) as stream:
+                    with archive.open(infos[number]) as stream:
                         text = io.TextIOWrapper(stream, encoding="utf-8", newline=None)
                         for start in itertools.count(0, LINES_PER_BATCH):
                             chunk = list(itertools.islice(text, LINES_PER_BATCH))
@@ -207,7 +270,7 @@ def unpack_archives(
                                 [
                                     pa.array([day[1]] * size),
                                     pa.array([stamp[1]] * size),
-                                    pa.array([posixpath.basename(info.filename)] * size),
+                                    pa.array([posixpath.basename(name)] * size),
                                     pa.array(range(start, start + size), pa.int64()),
                                     pa.array([line.rstrip("\n") for line in chunk]),
                                 ],
@@ -216,7 +279,7 @@ def unpack_archives(
 
     keys = ["extract_source", "extract_date", "extract_ts", "member"]
     (
-        _contents(spark, list(paths))
+        _dealt(spark, list(paths))
         .mapInArrow(
             lines,
             "extract_date string, extract_ts string, member string, "

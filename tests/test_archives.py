@@ -1,14 +1,18 @@
 from __future__ import annotations
 
 import io
+import os
+import random
 import zipfile
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import put
 from headway.plans.backfill import backfill
 from headway.session import shared_folder
+from headway.sources import archives
 from headway.sources.archives import archive_status, read_archive_table, unpack_archives
 from headway.sources.landing import discover_dates, read_gtfs
 
@@ -112,3 +116,58 @@ def test_unpack_beside_the_archives(spark, root):
     report = backfill(spark, "gtfs_calendar_dates", where, shared_folder(spark, "beside"),
                       [date(2026, 8, 18), date(2026, 8, 21), date(2026, 8, 22)])
     assert [r.status for r in report.collect()] == ["written", "written", "failed"]
+
+
+class Counting:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, file):
+        self.file, self.count = file, 0
+
+    def read(self, *size):
+        data = self.file.read(*size)
+        self.count += len(data)
+        return data
+
+    def __getattr__(self, name):
+        return getattr(self.file, name)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.file.close()
+
+
+def test_only_the_directory_and_the_member_are_read(root, monkeypatch):
+    noise = {f"big{i}": random.Random(i).randbytes(200_000).hex() for i in range(4)}
+    land(root, "2026-08-25", "20260825_041500", archive(calendar_dates=HEAD + "1,s,20260101,\n", **noise))
+    path = str(root / "extract_source=gtfs/extract_date=2026-08-25/gtfs_20260825_041500.zip")
+    opened, plain = [], archives.open_archive
+    monkeypatch.setattr(archives, "open_archive", lambda p: opened.append(Counting(plain(p))) or opened[-1])
+    infos = archives._directory(path)
+    number = [i.filename for i in infos].index("calendar_dates.txt")
+    assert b"".join(archives._pieces(path, number)).decode() == HEAD + "1,s,20260101,\n"
+    assert sum(f.count for f in opened) < 10_000 < os.path.getsize(path) / 50
+    whole = b"".join(archives._pieces(path, 1 - bool(number == 1)))
+    assert len(whole) > 300_000
+
+
+def test_members_of_one_archive_go_to_several_tasks(spark, root):
+    land(root, "2026-08-25", "20260825_041500", archive(**{f"m{i}": f"text {i}\n" * 50 for i in range(40)}))
+    listed = archives.list_members(spark, str(root), ["2026-08-25"])
+    assert sorted(r.name for r in listed.collect()) == sorted(f"m{i}.txt" for i in range(40))
+    paths = [r.path for r in listed.limit(1).collect()]
+    dealt = archives._dealt(spark, paths).select(F.spark_partition_id().alias("task")).distinct()
+    assert dealt.count() == spark.sparkContext.defaultParallelism
+    out = shared_folder(spark, "unpack-many")
+    assert unpack_archives(spark, str(root), out, ["2026-08-25"]) == 1
+    lines = spark.read.text(f"{out}/extract_source=gtfs/extract_date=2026-08-25")
+    assert lines.count() == 40 * 50
+
+
+def test_names_with_special_characters(tmp_path):
+    place = tmp_path / "a b%20c#d"
+    put(place / "x.zip", archive(stops="stop_id\n1\n"))
+    for path in (f"file:{place}/x.zip", f"file://{place}/x.zip", f"{place}/x.zip"):
+        assert [i.filename for i in archives._directory(path)] == ["stops.txt"]
