@@ -232,8 +232,9 @@ def identify(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
     """Train on the labelled documents and predict the language of every whole text.
 
     A null text, or one without a letter, is `und` with score 0; so is every text if no
-    document is labelled. Repeated rows get equal results, an empty table gives none.
+    document is labelled. Repeated rows get equal results, an empty table gives none. A
+    document without an id has no fold: it is neither learned from nor held out.
     """
     model = train(sample(documents, per_language))
     found = predict(documents, model)
-    return found.withColumn("held_out", fold_of() == 2)
+    return found.withColumn("held_out", F.coalesce(fold_of() == 2, F.lit(False)))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from headway.llm.common import SpanHash, blocks, free_name, keep, mixed, utf8
+from headway.llm.ordering import with_order
 
 SPAN = 100
 GRAM = 16
@@ -291,7 +292,7 @@ def matched(pieces: DataFrame, span: int, buckets: int) -> DataFrame:
 def repeated(documents: DataFrame, span: int = SPAN) -> DataFrame:
     """doc, start, n: every string of `span` bytes that starts earlier, as runs of starts.
 
-    Runs may overlap in one document. `doc` is the doc_id, or the largest long for none.
+    `doc_id` is not null here and tells the texts apart. Runs may overlap in one document.
     """
     spark = documents.sparkSession
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -333,11 +334,11 @@ def united(start: np.ndarray, n: np.ndarray, span: int, size: int) -> tuple[np.n
 def with_runs(documents: DataFrame, span: int, name: str) -> DataFrame:
     """The documents with `name`, the packed starts of their repeats or null."""
     key = free_name(documents, f"{name}_doc")
-    runs = repeated(documents.select("doc_id", "text"), span).groupBy(F.col("doc").alias(key)).agg(
+    numbered = with_order(documents, key)
+    runs = repeated(numbered.select(F.col(key).alias("doc_id"), "text"), span).groupBy(F.col("doc").alias(key)).agg(
         F.collect_set(F.shiftleft("start", 20).bitwiseOR(F.col("n"))).alias(name)
     )
-    texts = documents.withColumn(key, F.coalesce("doc_id", F.lit(int(LAST))))
-    return texts.join(runs, key, "left").select(*documents.columns, name)
+    return numbered.join(runs, key, "left").select(*documents.columns, name)
 
 
 def spans_of(data: bytes, packed: np.ndarray | None, span: int) -> list[tuple[int, int]]:
@@ -350,9 +351,10 @@ def spans_of(data: bytes, packed: np.ndarray | None, span: int) -> list[tuple[in
 def summaries(documents: DataFrame, span: int = SPAN) -> DataFrame:
     """What is removed of each document, and the digest of its remaining bytes.
 
-    A null text is empty. Rows of one doc_id are one document: they do not count as earlier
-    than each other at the same start, and share what is removed. Rows without an id come
-    last. An empty table gives no rows; other columns are not read.
+    A null text is empty. Rows that repeat a doc_id and its text are one document: they do
+    not count as earlier than each other at the same start, and share what is removed. Other
+    texts of a repeated id, and rows without an id, which come last, are documents of their
+    own. An empty table gives no rows; other columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

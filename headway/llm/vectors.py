@@ -41,12 +41,18 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def of_length_one(vectors: np.ndarray) -> np.ndarray:
+    """The rows divided by their norms; scaled first, so that no square overflows or vanishes."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def buckets(vectors: np.ndarray, tables: int = TABLES, hashes: int = HASHES, visits: int = VISITS) -> np.ndarray:
     """Buckets by vector, table and rank: its own first, then the nearest others."""
     n, d = vectors.shape
     width = 1 << max(1, (d - 1).bit_length())
     x = np.zeros((n, width), np.float32)
-    x[:, :d] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    x[:, :d] = of_length_one(vectors)
     here = np.arange(n)
     out = np.zeros((n, tables, 1 + visits), np.int64)
     for table in range(tables):
@@ -116,8 +122,7 @@ def compared(dealt: DataFrame, cosine: float) -> DataFrame:
         owner = rows.column("owner").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, weight, chunk, owner = ids[order], weight[order], chunk[order], owner[order]
-        x = matrix(rows.column("vector").combine_chunks())[order]
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = of_length_one(matrix(rows.column("vector").combine_chunks())[order])
         codes = matrix(rows.column("codes").combine_chunks())[order].astype(np.int64)
         codes = codes.reshape(len(ids), TABLES, -1)
         near = np.triu(x @ x.T >= cosine, 1)

@@ -24,6 +24,7 @@ from headway.session import shared_folder
 
 ARCHIVE_BYTES = 32 << 20
 READ_BYTES = 256 << 10
+NAMED = "<urn:page:"
 DATE = "1970-01-01T00:00:00Z"  # records are dated alike, so equal input gives equal bytes
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = (
@@ -36,9 +37,10 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str | None, kind: str, size: int, digest: str, refers: int | None, block: bytes) -> bytes:
+def record(page_id: int | None, url: str | None, kind: str, size: int, digest: str, refers: int | None, block: bytes) -> bytes:
     """One record as a gzip member of its own. A revisit carries no payload, but its size and digest."""
-    name = lambda i: f"<urn:page:{i}>"
+    # a page without an id has a name of its own, which says nothing of its page
+    name = lambda i: f"<urn:uuid:{uuid.uuid4()}>" if i is None else f"{NAMED}{i}>"
     target = "".join(c for c in url or "" if c > " ")
     head = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {name(page_id)}", f"WARC-Date: {DATE}",
@@ -113,7 +115,9 @@ def with_roles(pages: DataFrame, html: str = "html", least: int = 0) -> DataFram
     # of two shuffled sides, whose large partitions Spark splits
     equal = keep(equal.filter("n > 1").drop("n"), "equal-payloads")
     joined = sized.join(equal, "sha1", "left")
-    refers = F.when(F.col("response") != F.col("page_id"), F.col("response"))
+    # a page without an id is no response while one with an id is
+    other = F.col("page_id").isNull() | (F.col("response") != F.col("page_id"))
+    refers = F.when(other, F.col("response"))
     return joined.withColumn("refers_to", refers).drop("response", "sha1")
 
 
@@ -161,7 +165,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
             ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
             ("payload", pa.binary()), ("archive", pa.string()),
         ])
-        number = lambda text: text and int(text.rsplit(":", 1)[1].rstrip(">"))
+        number = lambda text: int(text[len(NAMED) : -1]) if text and text.startswith(NAMED) else None
         for batch in batches:
             for row in batch.to_pylist():
                 reader, records = RecordReader(), 0
@@ -191,8 +195,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
 def archived(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record for every page and read all of them back.
 
-    A null html is an empty payload, equal to every other empty one. A null page id cannot
-    name a record and raises. Repeated rows give one record each; an empty table gives none.
+    A null html is an empty payload, equal to every other empty one. A page without an id is
+    a revisit of the largest id with its payload, or a response if no page with an id has it.
+    Repeated rows give one record each; an empty table gives none.
     """
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from headway.llm import suffixes
+from headway.llm.ordering import with_order
 from headway.llm.queries import op4_suffix_dedup
 from tests.llm.conftest import EDGES, LONG
 
@@ -98,3 +99,25 @@ def test_family(batches):
         sizes = [len(level) for level in family.levels]
         assert all(a > b for a, b in zip(sizes, sizes[1:]))
         assert sorted(s for level in family.levels for s in level.tolist()) == sorted(seen)
+
+
+def test_repeated_ids_of_other_texts_and_several_without_one(documents):
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    a, b = word(400), word(900)
+    sets = [
+        [(1, a), (2, "x" + a), (2, "short")],
+        [(1, a), (None, a[:300]), (None, "tiny")],
+        [(1, a), (None, "x" + a[:200]), (None, b)],
+        [(3, a), (3, a), (3, b + a), (None, b), (None, None), (None, ""), (4, a + b)],
+    ]
+    for rows in sets:
+        df = documents(rows)
+        # each distinct pair of id and text is a document, in the order of its number
+        numbered = {(r.doc_id, r.text): r.place for r in with_order(df, "place").collect()}
+        keys = {place: (i, n) for n, ((i, _), place) in enumerate(sorted(numbered.items(), key=lambda x: x[1]))}
+        expected = brute([(numbered[r], r[1]) for r in rows])
+        expected = sorted([(keys[e[0]][0], *e[1:]) for e in expected], key=str)
+        assert found(suffixes.summaries(df)) == expected
+        kept = suffixes.without_repeats(df).collect()
+        assert b in {r.text for r in kept} or b not in {r[1] for r in rows}

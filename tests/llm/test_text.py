@@ -101,6 +101,7 @@ def test_language_query(spark):
 
 def test_language_edges(spark, edges, documents):
     rows = language.identify(edges).collect()
+    assert {r.held_out for r in rows if r.doc_id is None} == {False}
     assert len(rows) == len(EDGES) and {r.lang_pred for r in rows} == {"und"}
     two = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de") for i in range(80)]
     found = {(r.doc_id, r.lang_pred) for r in language.identify(documents([*two, (90, "12 34"), (91, "漢字")])).collect()}

@@ -76,3 +76,11 @@ def test_recall_of_buckets():
     met = ((x[:, :, :1] == y).any(axis=2) | (y[:, :, :1] == x).any(axis=2)).any(axis=1)
     assert met.mean() >= 0.99
     assert np.allclose(vectors.hadamard(np.eye(4)), [[1, 1, 1, 1], [1, -1, 1, -1], [1, 1, -1, -1], [1, -1, -1, 1]])
+
+
+def test_magnitudes(spark):
+    """Finite vectors whose squares overflow or vanish are judged like any other."""
+    rows = [(1, [1e200, 0.0], 1), (2, [1e200, 1e190], 1), (3, [1e-200, 0.0], 1), (4, [1.0, 0.0], 1), (5, [0.0, 1e-200], 1),
+            (6, [1e-200, 1e-200], 1), (7, [1e300, 1e300], 1), (8, [5e-324, 0.0], 1), (9, [-1e308, 0.0], 1)]
+    got = {r[0]: r[1:3] for r in found(vectors.link_vectors(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))))}
+    assert got == {**{i: (4, 1) for i in (1, 2, 3, 4, 8)}, 5: (0, 5), 6: (1, 6), 7: (1, 6), 9: (0, 9)}

@@ -40,6 +40,16 @@ def test_edges(spark):
     assert warc.archived(df.limit(0)).count() == 0
 
 
+def test_pages_without_an_id(spark):
+    pages = [(None, "a"), (3, "a"), (1, "a"), (None, "b"), (None, "b"), (7, "c"), (None, None)]
+    df = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string")
+    rows = [(r.page_id, bytes(r.payload).decode(), r.record_type, r.refers_to) for r in warc.archived(df).collect()]
+    assert sorted(rows, key=str) == sorted([
+        (3, "a", "response", None), (1, "", "revisit", 3), (None, "", "revisit", 3), (None, "b", "response", None),
+        (None, "b", "response", None), (7, "c", "response", None), (None, "", "response", None),
+    ], key=str)
+
+
 def test_reader_finds_damage():
     good = warc.record(1, "u", "response", 3, warc.payload_digest(b"abc"), None, b"abc")
     assert [b for _, b in warc.RecordReader().feed(good + good)] == [b"abc", b"abc"]
