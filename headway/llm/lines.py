@@ -1,9 +1,11 @@
 """Fuzzy line deduplication by MinHash, with DataFrame functions only.
 
 A line is the set of its shingles of `CHARACTERS` characters, one at every character. The
-signature is the minimum of each of `BANDS` x `ROWS` hashes of them. Equal lines collapse in
-the same aggregation, known by two 64-bit hashes, so no text is shuffled for it. Lines that
-agree in a band are candidates: each is compared with the first line of the band, best
+signature is the minimum of each of `MINIMA` hashes of them. Equal lines collapse in the same
+aggregation, known by two 64-bit hashes, so no text is shuffled for it. A band is three of
+the minima: every three in a row, and some that lie a third of them apart, so that two bands
+share at most one. Three keep unlike lines apart, of which two would let pairs meet by the
+square of their number. Lines that agree in a band are candidates: each is compared with the first line of the band, best
 supported candidates first, then with every line of the band that is still in another
 component. A pair is linked if the Jaccard similarity of the two sets, with shingles known
 by 64-bit hashes, is at least `ALIKE`, or that of their shingles at words is at least
@@ -20,12 +22,15 @@ from pyspark.sql.window import Window
 
 from headway.llm.common import free_name, keep
 from headway.llm.components import components, labelled
+from headway.llm.ordering import with_order
+from headway.llm.sieve import sifted
 
 CHARACTERS = 8
 ALIKE = 0.8
 SHINGLE = 10
-BANDS = 8
-ROWS = 2
+MINIMA = 24
+ROWS = 3
+BANDS = 12
 SIMILARITY = 0.7
 CHUNK = 500  # lines of a band that meet in one group
 LAST = (1 << 63) - 1
@@ -79,24 +84,28 @@ def signed(documents: DataFrame) -> DataFrame:
     marked = marked.select("doc", "h1", "h2", code.alias("shingle"))
     # the element nearest to a random number by exclusive or is a fair draw from the set;
     # multiples of the golden ratio spread those numbers over all 32 bits
-    draws = [(i * 0x9E3779B1 + 0x7F4A7C15) % (1 << 32) - (1 << 31) for i in range(BANDS * ROWS)]
+    draws = [(i * 0x9E3779B1 + 0x7F4A7C15) % (1 << 32) - (1 << 31) for i in range(MINIMA)]
     minima = [F.min(F.col("shingle").bitwiseXOR(F.lit(d))).alias(f"m{i}") for i, d in enumerate(draws)]
     # numbers only, so that rows are aggregated by hash and not by sorting
     return marked.groupBy("h1", "h2").agg(F.min("doc").alias("doc"), *minima)
 
 
-def linked(documents: DataFrame, pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose lines are similar enough; only their texts are shuffled."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    asked = keep(lines.select("id", "h1", "h2", "doc").join(ids, "id"), "line-ids")
-    wanted = asked.groupBy("doc").agg(F.collect_set("h1").alias("wanted"))
-    texts = documents.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text").join(wanted, "doc")
-    texts = texts.select("wanted", F.explode(F.split("text", "\n", -1)).alias("line"))
-    texts = texts.select("wanted", "line", F.xxhash64("line").alias("h1")).filter(F.array_contains("wanted", F.col("h1")))
-    texts = texts.select("h1", F.xxhash64(F.lit(1), "line").alias("h2"), "line")
-    # rows that repeat a line give it once
-    texts = asked.select("id", "h1", "h2").join(texts, ["h1", "h2"]).dropDuplicates(["id"])
-    return similar(keep(texts.select("id", "line"), "line-texts"), pairs)
+def banded(signed: DataFrame) -> DataFrame:
+    """The lines with `bands`, a hash of each band, in place of the minima."""
+    step = MINIMA // ROWS
+    near = [range(at, at + ROWS) for at in range(0, MINIMA, ROWS)]
+    far = [range(at, MINIMA, step) for at in range(step)]
+    chosen = [*near, *far][:BANDS]
+    bands = [F.xxhash64(F.lit(b), *(f"m{i}" for i in band)) for b, band in enumerate(chosen)]
+    return signed.select("h1", "h2", "doc", F.array(*bands).alias("bands"))
+
+
+def texts_of(documents: DataFrame, asked: DataFrame) -> DataFrame:
+    """id and line of the asked lines (id, h1, h2); other lines are not shuffled, or few."""
+    own = sifted(occurrences(documents).select("h1", "h2", "line"), asked, ["h1", "h2"])
+    # a line that very many documents have is one row of each task
+    own = own.groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    return asked.join(own, ["h1", "h2"]).select("id", "line")
 
 
 def similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -151,25 +160,22 @@ def crossing(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def line_components(documents: DataFrame) -> DataFrame:
     """h1, h2, the first document, and `component` of every distinct line."""
-    lines = keep(signed(documents).withColumn("id", F.monotonically_increasing_id()), "lines")
-    bands = lines.select(
-        "id",
-        F.explode(F.array(*(
-            F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)
-        ))).alias("band"),
-    )
+    lines = keep(banded(signed(documents)).withColumn("id", F.monotonically_increasing_id()), "lines")
+    bands = lines.select("id", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("id").alias("b"), F.count("*").alias("n"))
     shared = keep(shared.filter("n > 1").drop("n"), "bands")
     # both sides of the join come from files, so Spark can split a band of many lines
-    members = keep(bands.join(shared, "band"), "band-members")
+    members = keep(sifted(bands, shared, ["band"]).join(shared, "band"), "band-members")
     pairs = members.filter("id <> b").groupBy(F.col("id").alias("a"), "b")
     pairs = keep(pairs.agg(F.count("*").alias("support")), "line-pairs")
+    met = keep(members.select("id").distinct(), "line-met")
+    texts = keep(texts_of(documents, keep(lines.select("id", "h1", "h2").join(met, "id"), "line-ids")), "line-texts")
     best = keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
-    links = keep(linked(documents, best, lines), "line-links")
+    links = keep(similar(texts, best), "line-links")
     labels = components(links)
     rest = keep(apart(pairs.join(best, ["a", "b"], "left_anti"), labels), "line-rest")
     if not rest.isEmpty():
-        links = keep(links.unionByName(linked(documents, rest, lines)), "line-links")
+        links = keep(links.unionByName(similar(texts, rest)), "line-links")
         labels = components(links)
     # `b` is the smallest id of its bands, so a pair that was tried has it second
     tried = keep(pairs.select(F.col("a").alias("high"), F.col("b").alias("low")), "line-tried")
@@ -178,7 +184,7 @@ def line_components(documents: DataFrame) -> DataFrame:
     cross = cross.select("a", "b", *ordered).join(tried, ["high", "low"], "left_anti").select("a", "b")
     cross = keep(cross, "line-crossing")
     if not cross.isEmpty():
-        links = keep(links.unionByName(linked(documents, cross, lines)), "line-links")
+        links = keep(links.unionByName(similar(texts, cross)), "line-links")
         labels = components(links)
     return labelled(lines.select("id", "h1", "h2", "doc"), "id", labels, "component")
 
@@ -186,18 +192,19 @@ def line_components(documents: DataFrame) -> DataFrame:
 def verdicts(documents: DataFrame) -> DataFrame:
     """doc, place, component, keeper and kept of every line with a visible character.
 
-    `keeper` is the document that keeps a line of the component. `component` is the same for all lines that go together. Rows that repeat a doc_id share
-    their verdicts where their lines are equal; rows without an id come last.
+    `keeper` is the document that keeps a line of the component. `component` is the same for
+    all lines that go together, and for the same lines in every run. Rows that repeat a
+    doc_id share their verdicts where their lines are equal; rows without an id come last.
     """
     found = line_components(documents)
-    first = found.groupBy("component").agg(F.min("doc").alias("keeper"))
-    by_line = keep(found.join(first, "component").select("h1", "h2", "component", "keeper"), "line-verdicts")
+    first = found.groupBy("component").agg(F.min("doc").alias("keeper"), F.min("h1").alias("name"))
+    by_line = keep(found.join(first, "component").select("h1", "h2", "component", "name", "keeper"), "line-verdicts")
     own = occurrences(documents).select("doc", "place", "h1", "h2")
-    own = own.join(by_line, ["h1", "h2"]).select("doc", "place", "component", "keeper").repartition("doc")
+    own = own.join(by_line, ["h1", "h2"]).select("doc", "place", "component", "name", "keeper").repartition("doc")
     # the first document that has the component keeps its first line of it
     first = F.min("place").over(Window.partitionBy("doc", "component"))
     return own.withColumn("first", first).select(
-        "doc", "place", "component", "keeper",
+        "doc", "place", F.col("name").alias("component"), "keeper",
         ((F.col("doc") == F.col("keeper")) & (F.col("place") == F.col("first"))).alias("kept"),
     )
 
@@ -227,13 +234,16 @@ def without_repeated_lines(documents: DataFrame) -> DataFrame:
     """The documents without the lines dropped, and `n_chars` set to what is left.
 
     Blank lines stay. A document that loses all its lines with a visible character goes.
+    Rows that repeat a doc_id and its text are one document; other texts of a repeated id,
+    and rows without an id, which come last, are documents of their own.
     """
     names = documents.columns
     key, lost = free_name(documents, "line_doc"), free_name(documents, "lost_lines")
-    drops = verdicts(documents.select("doc_id", "text")).filter("not kept").groupBy(F.col("doc").alias(key)).agg(
-        F.collect_set("place").alias(lost)
-    )
-    found = documents.withColumn(key, F.coalesce("doc_id", F.lit(LAST))).join(drops, key, "left")
+    numbered = with_order(documents, key)
+    drops = verdicts(numbered.select(F.col(key).alias("doc_id"), "text")).filter("not kept").groupBy(
+        F.col("doc").alias(key)
+    ).agg(F.collect_set("place").alias(lost))
+    found = numbered.join(drops, key, "left")
     left = F.array_join(
         F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(lost, i)), "\n"
     )

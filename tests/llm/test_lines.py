@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 from headway.llm import lines
+from headway.llm.sieve import sifted
 from headway.llm.queries import op9_line_dedup
 from tests.llm.conftest import EDGES
 from tests.llm.test_partenum import roots
@@ -185,3 +186,41 @@ def test_plan_is_native(spark, documents):
     df = lines.signed(documents([(1, "a b")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rows_without_an_id_lose_only_their_own_lines(documents):
+    own = "a line that no other document has at all"
+    rows = [(1, "shared by all of them\nfirst"), (None, f"shared by all of them\n{own}"), (None, "quite another thing\nshared by all of them"),
+            (2, "shared by all of them"), (2, f"other text of the id\n{own[::-1]}")]
+    kept = sorted(r.text for r in lines.without_repeated_lines(documents(rows)).collect())
+    assert kept == sorted([rows[0][1], own, "quite another thing", rows[4][1]])
+
+
+def test_components_are_named_alike_in_every_run(documents):
+    rows = [(i, f"line number {i % 7} of a text that others have, too\nown {i} line {i * 7919}") for i in range(40)]
+    first, second = (
+        sorted(map(tuple, lines.verdicts(documents(rows).repartition(n)).collect())) for n in (1, 5)
+    )
+    assert first == second
+
+
+def test_whole_query_is_native(spark, documents, monkeypatch):
+    plans, kept = [], lines.keep
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(lines, "keep", seen)
+    df = lines.summaries(documents([(1, "some line of words\nother"), (2, "some line of word\nother")]))
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 8 and not any(re.search("Python|Pandas|InArrow|ExistingRDD(?!\\[)", p) for p in plans)
+
+
+def test_sieve_passes_all_that_is_kept(spark):
+    rows = spark.range(50_000).selectExpr("id * 7919 AS id", "id AS other")
+    kept = spark.range(0, 50_000, 25).selectExpr("id * 7919 AS id", "id AS other")
+    found = sifted(rows, kept, ["id", "other"])
+    assert found.columns == rows.columns
+    assert found.join(kept, ["id", "other"]).count() == 2_000 <= found.count() < 2_200
+    assert sifted(rows, kept.limit(0), ["id"]).count() == 0
