@@ -1,0 +1,112 @@
+"""Pages of many layouts, each with the exact text that is its content."""
+
+from __future__ import annotations
+
+import pytest
+
+from headway.llm import html_text
+
+ONE = "The first paragraph of the story has a fair number of words in it, as most of them have."
+TWO = "The second one goes on with the story, and is about as long as the one that came before it."
+THREE = "In the end there is a third, which says how it all came out and what is to be done about it."
+SHORT = "It rained."
+COMMENT = "I have read this story with much interest and would like to add a few words of my own to it. " * 6
+MENU = "<nav><ul><li><a href=/a>Start</a></li><li><a href=/b>News</a></li></ul></nav>"
+FOOT = "<footer><p>Copyright of the paper, all rights reserved, with an address and a number to call.</p></footer>"
+
+LAYOUTS = {
+    "article": (f"{MENU}<article><h1>Title</h1><p>{ONE}</p><p>{SHORT}</p><p>{TWO}</p></article>{FOOT}", f"Title {ONE} {SHORT} {TWO}"),
+    "divs only": (
+        f"<div id=top>{MENU}</div><div class=story><h1>Title</h1><p>{ONE}</p><p>{SHORT}</p><p>{TWO}</p></div>{FOOT}",
+        f"Title {ONE} {SHORT} {TWO}",
+    ),
+    "no markup": (f"{MENU}<h1>Title</h1><p>{ONE}<p>{TWO}", f"Title {ONE} {TWO}"),
+    "two articles": (f"{MENU}<article><p>{ONE}</p></article><article><p>{TWO}</p></article>{FOOT}", f"{ONE} {TWO}"),
+    "articles never closed": (f"{MENU}<article><p>{ONE}<article><p>{TWO}", f"{ONE} {TWO}"),
+    "lead in main": (
+        f"{MENU}<main><p>{ONE}</p><article><h2>Title</h2><p>{TWO}</p><p>{THREE}</p></article></main>{FOOT}",
+        f"{ONE} Title {TWO} {THREE}",
+    ),
+    "comments longer than the story": (
+        f"{MENU}<article><p>{ONE}</p><p>{TWO}</p></article><div id='comments'><article><p>{COMMENT}</p></article></div>",
+        f"{ONE} {TWO}",
+    ),
+    "comment within the article": (
+        f"<article><p>{ONE}</p><p>{TWO}</p><article><p>{COMMENT}</p></article></article>{FOOT}", f"{ONE} {TWO}",
+    ),
+    "comment list": (
+        f"<div class=post><p>{ONE}</p><p>{TWO}</p></div><ol class='comment-list'><li><p>{COMMENT}</p></li></ol>", f"{ONE} {TWO}",
+    ),
+    "linked headline and paragraph": (
+        f"{MENU}<article><h1><a href=/s>A headline that is a link</a></h1><p>{ONE}</p><p><a href=/t>{TWO}</a></p></article>",
+        f"A headline that is a link {ONE} {TWO}",
+    ),
+    "list of links in the article": (
+        f"<article><p>{ONE}</p><p>{TWO}</p><ul><li><a href=/1>Another story</a></li><li><a href=/2>One more</a></li></ul></article>",
+        f"{ONE} {TWO}",
+    ),
+    "list in the article": (
+        f"<article><p>{ONE}</p><ul><li>Apples</li><li>Pears and <a href=/p>plums</a></li></ul><p>{TWO}</p></article>",
+        f"{ONE} Apples Pears and plums {TWO}",
+    ),
+    "names that end otherwise": (
+        f"<div class='layout no-sidebar has-banner'>{MENU}<p class='share-intro'>{ONE}</p><p>{TWO}</p></div>{FOOT}", f"{ONE} {TWO}",
+    ),
+    "page named after its sidebar": (f"<div class=sidebar><p>{ONE}</p><p>{TWO}</p></div>", f"{ONE} {TWO}"),
+    "menu never closed": (f"<nav><ul><li><a href=/a>Start</a><li>Other<article><p>{ONE}</p><p>{TWO}</p></article>", f"{ONE} {TWO}"),
+    "header never closed": (f"<header><div><b>Paper</b><main><h1>Title</h1><p>{ONE}</p><p>{TWO}</p></main>{FOOT}", f"Title {ONE} {TWO}"),
+    "teaser in an aside": (
+        f"<article><p>{ONE}</p><p>{TWO}</p></article><aside><article><p>{THREE}</p></article></aside>", f"{ONE} {TWO}",
+    ),
+    "advert between paragraphs": (
+        f"<article><p>{ONE}</p><div class='ad-slot'>{THREE}</div><p>{TWO}</p></article>", f"{ONE} {TWO}",
+    ),
+    "sections": (
+        f"<main><section><h2>Part one</h2><p>{ONE}</p></section><section><h2>Part two</h2><p>{TWO}</p></section></main>",
+        f"Part one {ONE} Part two {TWO}",
+    ),
+    "hidden and role": (
+        f"<div role=banner>{THREE}</div><div style='display: none'>{THREE}</div><p>{ONE}</p><p hidden>{THREE}</p><p>{TWO}</p>",
+        f"{ONE} {TWO}",
+    ),
+    "form and script inside": (
+        f"<article><p>{ONE}</p><form><label>Name</label><p>{THREE}</p></form><script>var a = '<p>{THREE}</p>';</script><p>{TWO}</p></article>",
+        f"{ONE} {TWO}",
+    ),
+    "references and breaks": (
+        f"<article><p>Fish &amp; chips &eacute; &#8364;\n  and   <b>bold</b><br>words. {ONE}</p></article>",
+        f"Fish & chips é € and bold words. {ONE}",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", list(LAYOUTS))
+def test_layout(name):
+    page, text = LAYOUTS[name]
+    assert html_text.main_text(f"<!DOCTYPE html><html><head><title>T</title></head><body>{page}</body></html>") == text
+
+
+# a short block of its own between long ones, and a widget beyond a form
+MIXED = (
+    f"<nav><ul>{''.join(f'<li><a href=/{i}>Entry {i}</a></li>' for i in range(12))}</ul></nav>"
+    f"<article><div><p>{ONE}</p></div><div>{SHORT}</div><div><p>{TWO}</p></div>"
+    "<form><p>Get our letter</p><p>Your address</p></form>"
+    "<div><span>12</span> <span>likes</span> <i></i><i></i><i></i><b></b><b></b></div></article>"
+    "<footer><p>Address</p><p>Number</p><p>Terms</p><p>Rights</p></footer>"
+)
+
+
+def test_clusters_decide(monkeypatch):
+    """Smoothing brings in the short block between long ones; the widget's ratio keeps it out."""
+    assert html_text.main_text(MIXED) == f"{ONE} {SHORT} {TWO}"
+    monkeypatch.setattr(html_text, "smoothed", lambda ratios: ratios)
+    assert html_text.main_text(MIXED) == f"{ONE} {TWO}"
+    monkeypatch.setattr(html_text, "clustered", lambda blocks: [b.usable and not b.linked for b in blocks])
+    assert html_text.main_text(MIXED) == f"{ONE} {SHORT} {TWO} 12 likes"
+
+
+def test_clusters_choose_among_articles(monkeypatch):
+    """A strip of short teasers has as much text as the story, and no cluster in it."""
+    strip = "".join(f"<article><i></i><b></b><a href=/{i}></a><span>Tea {i}</span><i></i><b></b></article>" for i in range(12))
+    page = f"<body>{strip}<article><p>{ONE}</p><p>{TWO}</p></article></body>"
+    assert html_text.main_text(page) == f"{ONE} {TWO}"
