@@ -170,8 +170,11 @@ def certify(trials: list[tuple[int, int]], error: float, risk: float) -> int | N
 
 
 def measures(documents: DataFrame, stratum: str) -> DataFrame:
-    """doc_id, stratum and measures `m` of every document, kept: rows without their texts."""
-    rows = documents.select("doc_id", F.coalesce(stratum, F.lit("und")).alias("stratum"), "text")
+    """doc_id, stratum, hash `same` of the text and measures `m` of every document, kept:
+    rows without their texts."""
+    rows = documents.select(
+        "doc_id", F.coalesce(stratum, F.lit("und")).alias("stratum"), F.xxhash64("text").alias("same"), "text"
+    )
     return keep(measure(rows, "m", carry=False), "measures")
 
 
@@ -184,18 +187,19 @@ def thresholds(
 ) -> dict[str, dict[str, float]]:
     """Cutoff of each rule by stratum, from `measures`; a score above it rejects.
 
-    A document is bad if a label of it says quality 0, else clean. All labelled rows count; only
-    quantiles and counts per stratum reach the driver.
+    A text is bad if a label of a document with it says quality 0, else clean. All labelled
+    texts count, each once: the bounds are of independent trials, and copies of one text are
+    none. For the same reason the text, not the document, decides which part of the labels it
+    is in. Only quantiles and counts per stratum reach the driver.
     """
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = measured.filter(~base_failed("m")).join(marks.filter("quality is not null"), "doc_id").select(
-        "stratum",
-        (F.col("quality") == 1).alias("clean"),
-        (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 0).alias("fit"),
-        *(score.alias(name) for name, score in scores("m").items()),
+        "stratum", "same", (F.col("quality") == 1).alias("clean"), *(score.alias(name) for name, score in scores("m").items())
     )
-    known = keep(known, "scores")
     rules = list(scores("m"))
+    # equal texts of a stratum have equal scores
+    once = known.groupBy("stratum", "same").agg(F.min("clean").alias("clean"), *(F.min(r).alias(r) for r in rules))
+    known = keep(once.withColumn("fit", F.pmod("same", F.lit(4)) == 0), "scores")
     levels = F.array(F.lit(0.5), *(F.lit(1 - share) for share, _ in severities))
 
     def spread(found: list[float]) -> list[float]:

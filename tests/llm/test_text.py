@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -79,6 +81,83 @@ def test_rules_reject_junk_and_keep_clean(spark, documents):
     assert len(kept) >= (1 - quality.RISK) * len(clean)
 
 
+def plain_cutoffs(rows, risk, error):
+    """Cutoffs by stratum from one row per text: its fold, whether it is clean, and its scores."""
+    def quantile(values, p):
+        return sorted(values)[max(math.ceil(p * len(values)), 1) - 1]
+
+    def bound(failures, n):
+        low, high = failures / n, 1.0
+        for _ in range(60):
+            p = (low + high) / 2
+            tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(failures + 1))
+            low, high = (p, high) if tail > error / len(strata) else (low, p)
+        return high
+
+    strata = {s for s, fit, clean, _ in rows if fit and clean}
+    found = {}
+    for stratum in strata:
+        fit = [x for s, f, c, x in rows if s == stratum and f and c]
+        apart = [x for s, f, c, x in rows if s == stratum and c and not f]
+        bad = [x for s, f, c, x in rows if s == stratum and not c]
+        steps = []
+        for share, margin in quality.SEVERITIES:
+            cut = {}
+            for rule in fit[0]:
+                middle, high = (quantile([x[rule] for x in fit], p) for p in (0.5, 1 - share))
+                cut[rule] = high + margin * (high - middle)
+            hit = lambda x: any(x[rule] > cut[rule] for rule in cut)  # noqa: B023, E731
+            failures = sum(map(hit, apart))
+            if not apart or failures > risk * len(apart) or bound(failures, len(apart)) > risk:
+                break
+            steps.append((sum(map(hit, bad)), cut))
+        if steps:
+            found[stratum] = next(cut for caught, cut in steps if caught >= quality.NEARLY * steps[-1][0])
+    return found
+
+
+@pytest.mark.parametrize("copies", [0, 400])
+def test_verdicts_are_those_of_a_plain_recomputation(spark, documents, copies):
+    """Also with many copies of one clean text, each text being one trial."""
+    rng = np.random.default_rng(3)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(300)]
+    rows, marks = [], []
+    for i in range(1600):
+        words = [str(w) for w in rng.choice(vocabulary, 70)]
+        junk = i % 9 == 0
+        marked = rng.random(70) < (0.3 if junk else 0.02)
+        text = " ".join(w + "#" if m else w for w, m in zip(words, marked))
+        rows.append((i, text, "en" if i % 3 else "de"))
+        marks.append((i, 0 if junk else 1, 0))
+    rows += [(5000 + k, rows[1][1], "en") for k in range(copies)]
+    marks += [(5000 + k, 1, 0) for k in range(copies)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    df = documents(rows)
+    fold = {r.doc_id: r.fold for r in df.selectExpr("doc_id", "pmod(xxhash64(text), 4) AS fold").collect()}
+    judged = quality.judged(df, labels).collect()
+    quality_of, score = dict((i, q) for i, q, _ in marks), {}
+    for r in judged:
+        m = r.m.asDict()
+        n, chars = max(m["n_words"], 1), max(m["word_chars"], 1)
+        score[r.doc_id] = {
+            "symbols": m["n_symbols"] / n, "marks": m["n_marks"] / n, "capitals": m["n_upper"] / chars,
+            "repeated_lines": m["n_dup_lines"] / max(m["n_lines"], 1), "repeated_words": m["n_repeat_words"] / n,
+            "long_words": m["word_chars"] / n, "short_words": -m["word_chars"] / n,
+        }
+    once = {}
+    for i, text, lang in rows:
+        was = once.get((text, lang), (lang, fold[i] == 0, True, score[i]))
+        once[text, lang] = (*was[:2], was[2] and quality_of[i] == 1, was[3])
+    good = {r.doc_id for r in judged if not r.base_failed}
+    known = [once[text, lang] for text, lang in {(t, x): 0 for i, t, x in rows if i in good}]
+    cuts = plain_cutoffs(known, quality.RISK, quality.ERROR)
+    assert set(cuts) == {"en", "de"}
+    for r in judged:
+        high = any(score[r.doc_id][rule] > cut for rule, cut in cuts[r.stratum].items())
+        assert r.kept == (not r.base_failed and not high)
+    assert 0 < sum(not r.kept for r in judged if not r.base_failed) < len(judged) / 4
+
+
 def test_exact_bound():
     assert abs(quality.upper_bound(0, 100, 0.05) - (1 - 0.05**0.01)) < 1e-9
     assert abs(quality.upper_bound(2, 50, 0.05) - 0.12061) < 1e-4
