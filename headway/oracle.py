@@ -303,7 +303,7 @@ def _trips(body: str) -> str:
             JOIN gtfs_trips AS t ON t.route_id = r.route_id
             JOIN gtfs_stop_times AS st ON st.trip_id = t.trip_id
             JOIN gtfs_calendar AS c ON c.service_id = t.service_id
-            WHERE route_short_name = '5' AND lower(trip_headsign) = 'männiku'
+            WHERE route_short_name = '7' AND lower(trip_headsign) = 'männiku'
               AND stop_id IN ('3', '7')
               AND least(monday, tuesday, wednesday, thursday, friday) = 1
               AND greatest(monday, tuesday, wednesday, thursday, friday) = 1
@@ -377,7 +377,7 @@ _GRID = _with(
 _PAIRS = """pairs AS (
     SELECT p.*, s.stop_id, s.stop_lat, s.stop_lon
     FROM positions AS p CROSS JOIN gtfs_stops AS s
-    WHERE s.stop_id = '3' AND p.line_number = '5' AND p.fleet_number = '0015'
+    WHERE s.stop_id = '3' AND p.line_number = '7' AND p.fleet_number = '0007'
       AND lower(p.destination) = 'männiku'
 )"""
 
@@ -535,7 +535,7 @@ ORACLES: dict[str, str] = {
         ["gps_raw"],
         f"SELECT {_STD}, {_TS.format('snapshot_ts')} AS extract_ts, "
         "CAST(CAST(snapshot_ts AS DATE) AS VARCHAR) AS extract_date FROM gps_raw "
-        "WHERE fleet_number = '0015'",
+        "WHERE fleet_number = '0007'",
     ),
     "local_time_window": _WINDOW,
     "scheduled_trips": _SCHEDULED,
@@ -549,7 +549,7 @@ ORACLES: dict[str, str] = {
     "stop_distance_spheroid": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m"),
     "stop_distance_numeric_id": _distance("planar_m", _PLANAR)
     .replace("s.stop_id = '3'", "TRY_CAST(s.stop_id AS BIGINT) = 3")
-    .replace("p.fleet_number = '0015'", "TRY_CAST(p.fleet_number AS BIGINT) = 15"),
+    .replace("p.fleet_number = '0007'", "TRY_CAST(p.fleet_number AS BIGINT) = 7"),
     "stop_distance_far": _distance("spheroid_m", "metres", f"({_geodesic('pairs')}) AS m").replace(
         "s.stop_lat, s.stop_lon", "-s.stop_lat / 2 AS stop_lat, s.stop_lon + 120 AS stop_lon"
     ),

@@ -55,7 +55,7 @@ from headway.streaming.gps import start_gps_stream, start_layer_stream, stream_g
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LINE, HEADSIGN, FLEET = "5", "männiku", "0015"
+LINE, HEADSIGN, FLEET = "7", "männiku", "0007"
 FIRST_STOP, SECOND_STOP = "3", "7"
 
 # the middle of the days the events cover
@@ -673,7 +673,7 @@ QUERIES: dict[str, Query] = {
     "stop_distance_projected": _stop_distance("projected"),
     "stop_distance_sphere": _stop_distance("sphere"),
     "stop_distance_spheroid": _stop_distance("spheroid"),
-    "stop_distance_numeric_id": _stop_distance("planar", fleet="15", stop="003", numeric=True),
+    "stop_distance_numeric_id": _stop_distance("planar", fleet="7", stop="003", numeric=True),
     "stop_distance_far": _stop_distance("spheroid", far=True),
     "stop_distance_targets": stop_distance_targets,
     "project_lest97": project_lest97_grid,
