@@ -15,7 +15,9 @@ goes on, so a signature that many documents share is a few rows of the shuffle.
 pairs are verified on the texts: first every document with the candidate it shares most
 signatures with, then pairs whose ends are still apart, then whatever else shares enough
 signatures across components. Sizes and the number of shared signatures rule out most pairs
-before. What is left apart shares no link.
+before. So does an odd sketch of each set: the bit of every feature is flipped, so two sketches
+differ in no more bits than the sets in features, and a pair whose sketches differ in more than
+the similarity allows is none. What is left apart shares no link.
 """
 
 from __future__ import annotations
@@ -35,7 +37,10 @@ from headway.llm.components import components, labelled
 PARTITIONS = 2  # n2
 SUBSET_GAP = 1  # k2
 BAND = 1.35  # ratio of the lower ends of bands
-SETS = "doc_id long, n_shingles long, first long, second long, differ long, asks long"
+SKETCH = [f"sketch{i}" for i in range(8)]  # words of 64 bits
+SETS = "doc_id long, n_shingles long, first long, second long, differ long, asks long, " + ", ".join(
+    f"{c} long" for c in SKETCH
+)
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +190,22 @@ def signatures(
     return np.concatenate(rows), np.concatenate(found)
 
 
+def sketches(code: np.ndarray, edge: np.ndarray) -> list[np.ndarray]:
+    """By word, the bits that an odd number of each set's features fall on."""
+    place = mixed(code ^ np.uint64(0x0DD))
+    bit = np.uint64(1) << (place & np.uint64(63))
+    word = (place >> np.uint64(6)) % np.uint64(len(SKETCH))
+    found = []
+    for i in range(len(SKETCH)):
+        odd = np.zeros(len(code) + 1, np.uint64)
+        np.bitwise_xor.accumulate(np.where(word == np.uint64(i), bit, np.uint64(0)), out=odd[1:])
+        found.append((odd[edge[1:]] ^ odd[edge[:-1]]).view(np.int64))
+    return found
+
+
 def sets(documents: DataFrame, words_each: int, share: int) -> DataFrame:
     """Size of each document's set, two sums of its features' hashes, which name the set,
-    and what asked() says of it."""
+    what asked() says of it and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,21 +217,26 @@ def sets(documents: DataFrame, words_each: int, share: int) -> DataFrame:
                 yield pa.record_batch(
                     [part.column("doc_id"), pa.array(np.diff(edge)),
                      *(pa.array((t[edge[1:]] - t[edge[:-1]]).view(np.int64)) for t in total),
-                     pa.array(differ), pa.array(asks)],
-                    names=["doc_id", "n_shingles", "first", "second", "differ", "asks"],
+                     pa.array(differ), pa.array(asks), *map(pa.array, sketches(code, edge))],
+                    names=["doc_id", "n_shingles", "first", "second", "differ", "asks", *SKETCH],
                 )
 
     return documents.select("doc_id", "text").mapInArrow(run, SETS)
 
 
 def signed(documents: DataFrame, words_each: int, share: int) -> DataFrame:
-    """(signature, id, rep): within a block, equal signatures point to their smallest id."""
+    """(signature, id, rep): within a block, equal signatures point to their smallest id.
+
+    That id itself has no rep. Signatures have 48 bits: a few more may meet by chance, which
+    costs a comparison, and rows of the shuffle pack better.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, "text"):
                 row, code = shingles(*utf8(part.column("text")), words_each)
                 owner, signature = signatures(row, code, part.num_rows, share)
+                signature = signature >> np.uint64(16)
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)[owner].astype(np.int64)
                 order = np.argsort(signature)
                 ranked = signature[order]
@@ -222,7 +245,7 @@ def signed(documents: DataFrame, words_each: int, share: int) -> DataFrame:
                 if len(ids):
                     rep[order] = np.repeat(np.minimum.reduceat(ids[order], edge), np.diff(np.append(edge, len(ids))))
                 yield pa.record_batch(
-                    [pa.array(signature.view(np.int64)), pa.array(ids), pa.array(rep)],
+                    [pa.array(signature.view(np.int64)), pa.array(ids), pa.array(rep, mask=rep == ids)],
                     names=["signature", "id", "rep"],
                 )
 
@@ -236,11 +259,11 @@ def shared(signed: DataFrame) -> DataFrame:
     Rows that a task has joined already stay in a group of their own, so one row for each
     block meets the others of a signature.
     """
-    alone = F.when(F.col("id") == F.col("rep"), F.lit(0)).otherwise(F.xxhash64("id"))
-    group = Window.partitionBy("signature", "alone")
-    met = signed.withColumn("alone", alone)
-    met = met.withColumns({"least": F.min("rep").over(group), "most": F.max("id").over(group)})
-    met = met.filter("id <> rep or least <> most")
+    group = Window.partitionBy("signature", "joined")
+    met = signed.withColumn("joined", F.when(F.col("rep").isNotNull(), F.col("id")))
+    least = F.coalesce(F.min("rep").over(group), F.min("id").over(group))
+    met = met.withColumns({"least": least, "most": F.max("id").over(group)})
+    met = met.filter("rep is not null or least <> most")
     return met.select("signature", "id", "least")
 
 
@@ -279,16 +302,31 @@ def least_shared(differ: Column, sizes: Column, share: int) -> Column:
     return F.greatest(F.lit(1), differ + 1 - F.floor(sizes * (100 - share) / (100 + share)))
 
 
+def known(sizes: DataFrame, end: str) -> DataFrame:
+    """What is known of the sets at one end of pairs."""
+    names = ["least", "most", "differ", *SKETCH]
+    return sizes.select(F.col("doc_id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in names))
+
+
+def close(share: int) -> Column:
+    """Whether sizes and sketches of a pair with what is known of both ends allow the similarity.
+
+    An id with several texts has no sketch and passes.
+    """
+    fits = 100 * F.least("a_most", "b_most") >= share * F.greatest("a_least", "b_least")
+    bits = [F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH]
+    differ = sum(bits[1:], bits[0])
+    # with d features apart and n in both sets together, similarity is (n - d) / (n + d)
+    near = differ * (100 + share) <= (F.col("a_most") + F.col("b_most")) * (100 - share)
+    return fits & F.coalesce(near, F.lit(True))
+
+
 def alike(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
-    """Pairs whose sizes and number of shared signatures, `support`, allow the similarity."""
+    """Pairs whose sizes, sketches and number of shared signatures, `support`, allow the similarity."""
     for end in ("a", "b"):
-        pairs = pairs.join(sizes.select(
-            F.col("doc_id").alias(end), F.col("least").alias(f"{end}_least"),
-            F.col("most").alias(f"{end}_most"), F.col("differ").alias(f"{end}_differ"),
-        ), end)
-    fits = 100 * F.least("a_most", "b_most") >= share * F.greatest("a_least", "b_least")
+        pairs = pairs.join(known(sizes, end), end)
     enough = least_shared(F.least("a_differ", "b_differ"), F.col("a_most") + F.col("b_most"), share)
-    return pairs.filter(fits & (F.col("support") >= enough)).select("a", "b", "support")
+    return pairs.filter(close(share) & (F.col("support") >= enough)).select("a", "b", "support")
 
 
 def viable(members: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -333,6 +371,32 @@ def unshared(texts: DataFrame, words_each: int) -> DataFrame:
     return owners.filter("shared = 0 and id = last").groupBy("id").agg(F.count("*").alias("alone"))
 
 
+def rarest(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members without the signatures that most others have, too, as many as still leave one
+    shared with any similar set: with `asks` shared ones, the rarest of those has `asks` - 1
+    behind it in the order of both sets."""
+    counts = keep(members.groupBy("signature").agg(F.count("*").alias("n")), "crowds")
+    every = members.join(counts, "signature").join(sizes.select(F.col("doc_id").alias("id"), "asks"), "id")
+    own = Window.partitionBy("id")
+    place = F.row_number().over(own.orderBy("n", "signature"))
+    ranked = every.withColumns({"place": place, "met": F.count("*").over(own)})
+    return ranked.filter("place <= met - asks + 1").select(*members.columns)
+
+
+def meeting(members: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b), once or more, of members of different components that may be similar.
+
+    Pairs that cannot be are no rows: in a large group members are told apart by their bits.
+    """
+    chosen, ends = rarest(members, sizes), []
+    for end in ("a", "b"):
+        side = chosen.select("signature", F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        ends.append(keep(side.join(known(sizes, end), end), "open-ends"))
+        chosen = ends[0].select("signature", F.col("a").alias("id"), F.col("of_a").alias("component"))
+    met = ends[0].join(ends[1], "signature").filter((F.col("of_a") > F.col("of_b")) & close(share))
+    return met.select("a", "b")
+
+
 def across(
     members: DataFrame, labels: DataFrame, sizes: DataFrame, texts: DataFrame, words_each: int, share: int
 ) -> DataFrame:
@@ -355,10 +419,7 @@ def across(
             alone = alone.join(sizes.select(F.col("doc_id").alias("id"), "most"), "id")
             gone = alone.filter(100 * (F.col("most") - F.col("alone")) < share * F.col("most"))
             placed = placed.join(keep(gone.select("id"), "lonely"), "id", "left_anti")
-    left = placed.select("signature", F.col("id").alias("a"), F.col("component").alias("of_a"))
-    right = placed.select("signature", F.col("id").alias("b"), F.col("component").alias("of_b"))
-    pairs = left.join(right, "signature").filter("of_a > of_b").groupBy("a", "b")
-    return alike(pairs.agg(F.count("*").alias("support")), sizes, share)
+    return meeting(placed, sizes, share).distinct()
 
 
 def link_components(documents: DataFrame, words_each: int, share: int) -> DataFrame:
@@ -375,9 +436,11 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     leaders = keep(leaders.filter("n > 1").drop("n"), "leaders")
     copies = some.join(leaders, same).select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
     member = components(copies)
+    alone = (F.min("first") == F.max("first")) & (F.min("second") == F.max("second"))
     sizes = keep(some.groupBy("doc_id").agg(
         F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min("differ").alias("differ"),
         F.min("asks").alias("asks"),
+        *(F.when(alone, F.min(c)).alias(c) for c in SKETCH),
     ), "sizes")
 
     met = keep(shared(signed(documents, words_each, share)), "signatures")

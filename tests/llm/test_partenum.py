@@ -110,3 +110,39 @@ def test_asked_of_smaller_partners():
             sure = np.maximum(1, differ + 1 - (s + partner) * (100 - share) // (100 + share))
             assert asks[s - 1] <= sure.min()
     assert partenum.asked(np.array([28, 30]), 85)[1][1] == 2
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(2)
+    a = np.unique(rng.integers(0, 1 << 62, 300).astype(np.uint64))
+    for gone in (0, 1, 20, 290):
+        b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 62, gone).astype(np.uint64)]))
+        edge = np.array([0, len(a), len(a) + len(b), len(a) + len(b)])
+        found = np.array(partenum.sketches(np.concatenate([a, b]), edge)).view(np.uint64)
+        bits = np.bitwise_count(found[:, 0] ^ found[:, 1]).sum()
+        assert bits <= len(np.setxor1d(a, b)) and (bits > gone or gone in (0, 290)) and not found[:, 2].any()
+
+
+def test_large_group_below_the_bound(spark, documents, monkeypatch):
+    """Members of one group that share signatures and mostly no link are few rows, and no link is lost."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for _ in range(8 if i % 20 else 4):
+            words[rng.integers(150)] = f"w{rng.integers(150, 170)}"
+        rows.append((i, " ".join(words)))
+    counts, meeting = [], partenum.meeting
+
+    def seen(members, sizes, share):
+        found = meeting(members, sizes, share)
+        each = members.groupBy("signature").count()
+        counts.append((found.count(), each.selectExpr("sum(count * (count - 1) / 2)").first()[0]))
+        return found
+
+    monkeypatch.setattr(partenum, "meeting", seen)
+    found = partenum.link_components(documents(rows), 4, 85).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
+    (made, pairs) = counts[0]
+    assert pairs > 10_000 and made < pairs / 20
