@@ -12,6 +12,8 @@ Jaccard similarity of the two sets, with shingles known by 64-bit hashes, is at
 or that of their shingles at words is at least `SIMILARITY`: every word opens one of `SHINGLE`
 characters, which runs on into the words after it, or is one if it is longer; in scripts
 without spaces the next character does, too.
+Pairs that cannot be linked are told by odd sketches before any text is fetched for them: the
+bit of every shingle is flipped, so two sketches differ in no more bits than the sets in shingles.
 One line of each component is kept, the first of the corpus.
 """
 
@@ -35,6 +37,9 @@ BANDS = 12
 SIMILARITY = 0.7
 SUPPORT = 2  # bands that lines of different components must share to be compared
 CHUNK = 500  # lines of a band that meet in one group
+WORDS = (8, 4)  # words of 64 bits in the sketches of all shingles and of those at words
+SKETCH = [f"{kind}{i}" for kind, n in zip("es", WORDS) for i in range(n)]
+KNOWN = ["n_every", "n_spaced", *SKETCH]
 LAST = (1 << 63) - 1
 # scripts that are written without spaces, fixed ranges of Unicode blocks
 UNSPACED = "\\u3040-\\u30ff\\u3400-\\u9fff\\uac00-\\ud7af"
@@ -130,13 +135,60 @@ def reached(left: Column, right: Column, share: float) -> Column:
     return F.exists(F.array(sets), enough)
 
 
+def sketched(texts: DataFrame) -> DataFrame:
+    """id, the sizes of the two sets of each line and their sketches."""
+    spaced = F.transform(F.array_distinct(shingles("line")), lambda s: F.xxhash64(s))
+    own = texts.select("id", F.array_distinct(coded("line")).alias("every"), spaced.alias("spaced"))
+    own = own.select("id", F.size("every").alias("n"), F.concat("every", "spaced").alias("codes"))
+    marked = own.select("id", "n", F.posexplode("codes").alias("at", "code"))
+    of_every = F.col("at") < F.col("n")
+    turn = F.shiftright("code", 6)
+    word = F.when(of_every, F.pmod(turn, F.lit(WORDS[0]))).otherwise(F.pmod(turn, F.lit(WORDS[1])) + WORDS[0])
+    marked = marked.select("id", "n", word.alias("word"), F.expr("shiftleft(1L, CAST(code & 63 AS INT))").alias("bit"))
+    odd = [F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0))).alias(c) for i, c in enumerate(SKETCH)]
+    sizes = [F.max("n").alias("n_every"), (F.count("*") - F.max("n")).alias("n_spaced")]
+    return marked.groupBy("id").agg(*sizes, *odd)
+
+
+def known(sketches: DataFrame, end: str) -> DataFrame:
+    return sketches.select(F.col("id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in KNOWN))
+
+
+def near() -> Column:
+    """Whether the sketches of a pair with what is known of both ends allow a link."""
+
+    def allows(columns: list[str], size: str, share: float) -> Column:
+        bits = [F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in columns]
+        a, b = F.col(f"a_{size}"), F.col(f"b_{size}")
+        differ = F.greatest(sum(bits[1:], bits[0]).cast("long"), F.abs(a - b).cast("long"))
+        # with d shingles apart and n in both sets together, similarity is (n - d) / (n + d)
+        return (1 + share) * differ <= (1 - share) * (a + b) + 1e-6
+
+    return allows(SKETCH[: WORDS[0]], "n_every", ALIKE) | allows(SKETCH[WORDS[0] :], "n_spaced", SIMILARITY)
+
+
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     found = labelled(labelled(pairs, "a", labels, "of_a"), "b", labels, "of_b")
     return found.filter("of_a <> of_b").select("a", "b")
 
 
-def crossing(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every pair (a, b) that shares `SUPPORT` bands and whose ends are in different components.
+def meeting(dealt: DataFrame) -> DataFrame:
+    """Pairs of lines of a band and of different components that their sketches allow a link.
+
+    Others are no rows: lines of a large group are told apart by their bits.
+    """
+    group, ends = ["band", "one", "two"], []
+    for end in ("a", "b"):
+        own = [F.col("id").alias(end), F.col("component").alias(f"of_{end}"), F.col("chunk").alias(f"in_{end}")]
+        ends.append(dealt.select(*group, *own, *(F.col(c).alias(f"{end}_{c}") for c in KNOWN)))
+    # two lines of one chunk meet where the chunk meets itself
+    met = ends[0].join(ends[1], group).filter("of_a > of_b and (one = two or in_a <> in_b)")
+    return met.filter(near()).select("a", "b", "of_a", "of_b")
+
+
+def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Every pair (a, b) that shares `SUPPORT` bands, may be linked and whose ends are in
+    different components, `of_a` and `of_b`.
 
     Lines of a similarity of 0.8 do with a chance of 99.7 %, most that only have a passage in
     common do not. A band of many lines is dealt into chunks, and each pair of chunks is a
@@ -149,18 +201,12 @@ def crossing(members: DataFrame, labels: DataFrame) -> DataFrame:
     open_ = keep(open_.select("band", F.ceil(F.col("n") / CHUNK).alias("chunks")), "open")
     dealt = placed.join(open_, "band").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
-    dealt = dealt.select("band", "id", "component", "chunk", other).select(
-        "band", "id", "component", "chunk",
+    dealt = dealt.join(sketches, "id").select("band", "id", "component", "chunk", other, *KNOWN).select(
+        "band", "id", "component", "chunk", *KNOWN,
         F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
     )
-    dealt = keep(dealt, "dealt")
-    group = ["band", "one", "two"]
-    left = dealt.select(*group, F.col("id").alias("a"), F.col("component").alias("of_a"), F.col("chunk").alias("in_a"))
-    right = dealt.select(*group, F.col("id").alias("b"), F.col("component").alias("of_b"), F.col("chunk").alias("in_b"))
-    # two lines of one chunk meet where the chunk meets itself
-    met = left.join(right, group).filter("of_a > of_b and (one = two or in_a <> in_b)")
-    met = met.groupBy("a", "b").agg(F.count("*").alias("support"))
-    return met.filter(F.col("support") >= SUPPORT).select("a", "b")
+    met = meeting(keep(dealt, "dealt")).groupBy("a", "b", "of_a", "of_b").agg(F.count("*").alias("support"))
+    return met.filter(F.col("support") >= SUPPORT)
 
 
 def line_components(documents: DataFrame) -> DataFrame:
@@ -175,6 +221,10 @@ def line_components(documents: DataFrame) -> DataFrame:
     pairs = keep(pairs.agg(F.count("*").alias("support")), "line-pairs")
     met = keep(members.select("id").distinct(), "line-met")
     texts = keep(texts_of(documents, keep(lines.select("id", "h1", "h2").join(met, "id"), "line-ids")), "line-texts")
+    sketches = keep(sketched(texts), "line-sketches")
+    for end in ("a", "b"):
+        pairs = pairs.join(known(sketches, end), end)
+    pairs = keep(pairs.filter(near()).select("a", "b", "support"), "line-near")
     best = keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
     links = keep(similar(texts, best), "line-links")
     labels = components(links)
@@ -184,10 +234,18 @@ def line_components(documents: DataFrame) -> DataFrame:
         labels = components(links)
     # `b` is the smallest id of its bands, so a pair that was tried has it second
     tried = keep(pairs.select(F.col("a").alias("high"), F.col("b").alias("low")), "line-tried")
-    cross = crossing(members.select("band", "id"), labels)
+    cross = crossing(members.select("band", "id"), labels, sketches)
     ordered = [F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")]
-    cross = cross.select("a", "b", *ordered).join(tried, ["high", "low"], "left_anti").select("a", "b")
+    cross = cross.select("*", *ordered).join(tried, ["high", "low"], "left_anti").drop("high", "low")
     cross = keep(cross, "line-crossing")
+    # of two components the pair with most bands in common, then what is apart even so
+    best = cross.groupBy("of_a", "of_b").agg(F.max_by(F.struct("a", "b"), F.struct("support", "a", "b")).alias("best"))
+    best = keep(best.select("best.a", "best.b"), "line-crossing")
+    if not best.isEmpty():
+        links = keep(links.unionByName(similar(texts, best)), "line-links")
+        labels = components(links)
+        cross = apart(cross.select("a", "b").join(best, ["a", "b"], "left_anti"), labels)
+        cross = keep(cross, "line-crossing")
     if not cross.isEmpty():
         links = keep(links.unionByName(similar(texts, cross)), "line-links")
         labels = components(links)

@@ -224,3 +224,24 @@ def test_sieve_passes_all_that_is_kept(spark):
     assert found.columns == rows.columns
     assert found.join(kept, ["id", "other"]).count() == 2_000 <= found.count() < 2_200
     assert sifted(rows, kept.limit(0), ["id"]).count() == 0
+
+
+def test_large_band_below_the_bound(documents, monkeypatch):
+    """Lines of one band that cannot be linked are no rows of the join, and no link is lost."""
+    rng = np.random.default_rng(12)
+    words = lambda n: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(n)]
+    head, counts, meeting = words(30), [], lines.meeting
+    text = [" ".join(head + words(14)) for _ in range(200)]
+    for i in range(0, 200, 10):
+        text.append(text[i][:-2])
+
+    def seen(dealt):
+        found = meeting(dealt)
+        counts.append((found.count(), dealt.groupBy("band").count().selectExpr("sum(count * (count - 1) / 2)").first()[0]))
+        return found
+
+    monkeypatch.setattr(lines, "meeting", seen)
+    got = dropped(lines.summaries(documents(list(enumerate(text)))).collect())
+    assert got == {(i, 0) for i in range(200, 220)}
+    ((made, pairs),) = counts
+    assert pairs > 10_000 and made < pairs / 20
