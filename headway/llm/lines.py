@@ -36,10 +36,11 @@ ROWS = 3
 BANDS = 12
 SIMILARITY = 0.7
 SUPPORT = 2  # bands that lines of different components must share to be compared
-CHUNK = 500  # lines of a band that meet in one group
+CHUNK = 2000  # lines of a band that meet in one group
 WORDS = (8, 4)  # words of 64 bits in the sketches of all shingles and of those at words
 SKETCH = [f"{kind}{i}" for kind, n in zip("es", WORDS) for i in range(n)]
 KNOWN = ["n_every", "n_spaced", *SKETCH]
+BAND = [f"band{i}" for i in range(BANDS)]
 LAST = (1 << 63) - 1
 # scripts that are written without spaces, fixed ranges of Unicode blocks
 UNSPACED = "\\u3040-\\u30ff\\u3400-\\u9fff\\uac00-\\ud7af"
@@ -116,8 +117,10 @@ def texts_of(documents: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def similar(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    left = texts.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
+    """The pairs (a, b), read from a kept table, whose lines are similar enough."""
+    # only lines that some pair has are shuffled, or few others
+    ends = [texts.select(F.col("id").alias(end), F.col("line").alias(f"line_{end}")) for end in ("a", "b")]
+    left, right = (sifted(own, pairs.select(end), [end]) for end, own in zip("ab", ends))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     every = [coded(c) for c in ("line_a", "line_b")]
     by_word = [shingles(c) for c in ("line_a", "line_b")]
@@ -173,22 +176,28 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def meeting(dealt: DataFrame) -> DataFrame:
-    """Pairs of lines of a band and of different components that their sketches allow a link.
+    """Pairs of lines of different components that share `SUPPORT` bands, their number, and
+    that their sketches allow a link.
 
-    Others are no rows: lines of a large group are told apart by their bits.
+    Others are no rows, and a pair is one, in the first band that it shares: lines of a large
+    group are told apart by their bits.
     """
     group, ends = ["band", "one", "two"], []
     for end in ("a", "b"):
         own = [F.col("id").alias(end), F.col("component").alias(f"of_{end}"), F.col("chunk").alias(f"in_{end}")]
-        ends.append(dealt.select(*group, *own, *(F.col(c).alias(f"{end}_{c}") for c in KNOWN)))
+        ends.append(dealt.select(*group, *own, *(F.col(c).alias(f"{end}_{c}") for c in [*KNOWN, *BAND])))
     # two lines of one chunk meet where the chunk meets itself
     met = ends[0].join(ends[1], group).filter("of_a > of_b and (one = two or in_a <> in_b)")
-    return met.filter(near()).select("a", "b", "of_a", "of_b")
+    equal = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in BAND]
+    support = sum((e.cast("long") for e in equal[1:]), equal[0].cast("long"))
+    first = F.coalesce(*(F.when(e, F.col(f"a_{c}")) for e, c in zip(equal, BAND)))
+    met = met.filter((first == F.col("band")) & (support >= SUPPORT) & near())
+    return met.select("a", "b", "of_a", "of_b", support.alias("support"))
 
 
 def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Every pair (a, b) that shares `SUPPORT` bands, may be linked and whose ends are in
-    different components, `of_a` and `of_b`.
+    different components, `of_a` and `of_b`. `sketches` has the bands of each line, too.
 
     Lines of a similarity of 0.8 do with a chance of 99.7 %, most that only have a passage in
     common do not. A band of many lines is dealt into chunks, and each pair of chunks is a
@@ -201,12 +210,11 @@ def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> Data
     open_ = keep(open_.select("band", F.ceil(F.col("n") / CHUNK).alias("chunks")), "open")
     dealt = placed.join(open_, "band").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
-    dealt = dealt.join(sketches, "id").select("band", "id", "component", "chunk", other, *KNOWN).select(
-        "band", "id", "component", "chunk", *KNOWN,
+    dealt = dealt.join(sketches, "id").select("band", "id", "component", "chunk", other, *KNOWN, *BAND).select(
+        "band", "id", "component", "chunk", *KNOWN, *BAND,
         F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"),
     )
-    met = meeting(keep(dealt, "dealt")).groupBy("a", "b", "of_a", "of_b").agg(F.count("*").alias("support"))
-    return met.filter(F.col("support") >= SUPPORT)
+    return meeting(keep(dealt, "dealt"))
 
 
 def line_components(documents: DataFrame) -> DataFrame:
@@ -220,8 +228,10 @@ def line_components(documents: DataFrame) -> DataFrame:
     pairs = members.filter("id <> b").groupBy(F.col("id").alias("a"), "b")
     pairs = keep(pairs.agg(F.count("*").alias("support")), "line-pairs")
     met = keep(members.select("id").distinct(), "line-met")
-    texts = keep(texts_of(documents, keep(lines.select("id", "h1", "h2").join(met, "id"), "line-ids")), "line-texts")
-    sketches = keep(sketched(texts), "line-sketches")
+    ids = lines.select("id", "h1", "h2", *(F.col("bands")[i].alias(c) for i, c in enumerate(BAND)))
+    ids = keep(sifted(ids, met, ["id"]).join(met, "id"), "line-ids")
+    texts = keep(texts_of(documents, ids.select("id", "h1", "h2")), "line-texts")
+    sketches = keep(sketched(texts).join(ids.select("id", *BAND), "id"), "line-sketches")
     for end in ("a", "b"):
         pairs = pairs.join(known(sketches, end), end)
     pairs = keep(pairs.filter(near()).select("a", "b", "support"), "line-near")

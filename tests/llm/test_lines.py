@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from headway.llm import lines
 from headway.llm.sieve import sifted
@@ -245,3 +246,29 @@ def test_large_band_below_the_bound(documents, monkeypatch):
     assert got == {(i, 0) for i in range(200, 220)}
     ((made, pairs),) = counts
     assert pairs > 10_000 and made < pairs / 20
+
+
+def test_a_pair_meets_once(documents, monkeypatch):
+    """A pair of lines that shares many bands is one row of the join, one that shares a single band is none."""
+    rng = np.random.default_rng(13)
+    words = lambda n: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(n)]
+    head, found, meeting = words(30), [], lines.meeting
+    text = [" ".join(head + words(7)) for _ in range(150)]
+
+    def seen(dealt):
+        made = meeting(dealt)
+        ends = dealt.groupBy("id").agg(F.collect_set("band").alias("bands")).collect()
+        bands = {r.id: set(r.bands) for r in ends}
+        found.append((made.collect(), bands))
+        return made
+
+    monkeypatch.setattr(lines, "meeting", seen)
+    # sketches exclude most of these pairs, so they are told to allow all of them
+    monkeypatch.setattr(lines, "near", lambda: F.lit(True))
+    lines.summaries(documents(list(enumerate(text)))).collect()
+    ((made, bands),) = found
+    pairs = {(r.a, r.b): r.support for r in made}
+    assert len(made) == len(pairs) > 1_000
+    assert all(n == len(bands[a] & bands[b]) >= 2 for (a, b), n in pairs.items())
+    several = {frozenset((a, b)) for a in bands for b in bands if a < b and len(bands[a] & bands[b]) >= 2}
+    assert several == {frozenset(p) for p in pairs}
