@@ -33,6 +33,7 @@ from pyspark.sql.window import Window
 
 from headway.llm.common import SpanHash, blocks, keep, mixed, utf8, words
 from headway.llm.components import components, labelled
+from headway.llm.sieve import sifted
 
 PARTITIONS = 2  # n2
 SUBSET_GAP = 1  # k2
@@ -268,7 +269,8 @@ def shared(signed: DataFrame) -> DataFrame:
 
 
 def compared(texts: DataFrame, pairs: DataFrame, words_each: int, share: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, counted on the texts."""
+    """The pairs (a, b), read from a kept table, whose sets are similar enough, counted on the
+    texts. Texts of no pair are not shuffled, or few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,8 +289,8 @@ def compared(texts: DataFrame, pairs: DataFrame, words_each: int, share: int) ->
                     ok = pa.array((union > 0) & (100 * common >= share * union))
                     yield part.select(["a", "b"]).filter(ok)
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    ends = [texts.select(F.col("doc_id").alias(end), F.col("text").alias(f"text_{end}")) for end in ("a", "b")]
+    left, right = (sifted(own, pairs.select(end), [end]) for end, own in zip("ab", ends))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
@@ -330,11 +332,12 @@ def alike(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
 
 
 def viable(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members that meet others in as many signatures as any similar set would ask for."""
+    """Members that meet others in as many signatures as any similar set would ask for, and
+    a few more, which cost work but no link: so members need no shuffle by id."""
     counts = members.groupBy("id").agg(F.count("*").alias("met"))
     own = sizes.select(F.col("doc_id").alias("id"), "asks")
     ids = keep(counts.join(own, "id").filter("met >= asks").select("id"), "viable")
-    return members.join(ids, "id", "left_semi")
+    return sifted(members, ids, ["id"])
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -411,11 +414,14 @@ def across(
         several = placed.groupBy("signature").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high")
-        open_ = placed.join(keep(several.select("signature"), "open"), "signature", "left_semi")
+        several = keep(several.select("signature"), "open")
+        open_ = sifted(placed, several, ["signature"]).join(several, "signature", "left_semi")
         placed = keep(viable(keep(open_, "open-members"), sizes), "open-members")
         if turn < 2:
             ids = keep(placed.select(F.col("id").alias("doc_id")).distinct(), "open-ids")
-            alone = unshared(texts.join(ids, "doc_id", "left_semi"), words_each)
+            # a text more could share the features of others, so the join decides
+            own = sifted(texts, ids, ["doc_id"]).join(ids, "doc_id", "left_semi")
+            alone = unshared(own, words_each)
             alone = alone.join(sizes.select(F.col("doc_id").alias("id"), "most"), "id")
             gone = alone.filter(100 * (F.col("most") - F.col("alone")) < share * F.col("most"))
             placed = placed.join(keep(gone.select("id"), "lonely"), "id", "left_anti")
@@ -452,8 +458,9 @@ def link_components(documents: DataFrame, words_each: int, share: int) -> DataFr
     tried = members.join(first, "signature").filter("id <> b").groupBy(F.col("id").alias("a"), "b")
     tried = keep(alike(tried.agg(F.count("*").alias("support")), sizes, share), "candidates")
     wanted = keep(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
-    texts = documents.select("doc_id", "text").filter("text is not null")
-    texts = keep(texts.join(wanted, "doc_id", "left_semi"), "texts")
+    # a text more is one that no pair asks for, so no text is shuffled to leave it out
+    texts = documents.select("doc_id", "text").filter("text is not null and doc_id is not null")
+    texts = keep(sifted(texts, wanted, ["doc_id"]), "texts")
 
     best = keep(tried.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
     links = keep(compared(texts, best, words_each, share), "links")

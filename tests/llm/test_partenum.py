@@ -146,3 +146,26 @@ def test_large_group_below_the_bound(spark, documents, monkeypatch):
     assert sorted(map(tuple, found), key=str) == brute(rows)
     (made, pairs) = counts[0]
     assert pairs > 10_000 and made < pairs / 20
+
+
+def test_texts_of_no_pair_stay_out_of_the_comparison(spark, documents, monkeypatch):
+    rows = [(i, " ".join(f"w{i // 2 * 100 + j}" for j in range(40 + i % 2))) for i in range(400)]
+    counts, sifted = [], partenum.sifted
+
+    def seen(df, kept, columns):
+        found = sifted(df, kept, columns)
+        counts.append((df.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(partenum, "sifted", seen)
+    pairs = spark.createDataFrame([(1, 0), (7, 6), (9, 6)], "a long, b long")
+    found = partenum.compared(documents(rows), pairs, 4, 85).collect()
+    assert sorted(map(tuple, found)) == [(1, 0), (7, 6)]
+    assert len(counts) == 2 and all(n == 400 and passed < 10 for n, passed in counts)
+
+
+def test_members_kept_are_all_viable_ones_and_few_others(spark):
+    members = spark.range(4_000).selectExpr("id % 7 AS signature", "id div 4 AS id")
+    sizes = spark.range(1_000).selectExpr("id AS doc_id", "IF(id % 10 = 0, 4L, 5L) AS asks")
+    ids = partenum.viable(members, sizes).groupBy("id").count().collect()
+    assert {r.id for r in ids} >= set(range(0, 1_000, 10)) and len(ids) < 110 and all(r["count"] == 4 for r in ids)
