@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.session import shared_folder
 
 BLOCK_BYTES = 2 << 20  # numpy work takes about a hundred times as much memory
+FILE_ROWS = 100_000  # of a table of numbers, one or two MB
+SLICE_BYTES = 256 << 10  # of a block, where numpy holds several numbers for each byte
 # white space of the word pattern [^\x20\x09-\x0D]+
 SPACES = (32, 9, 10, 11, 12, 13)
 
@@ -19,10 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` below the shared folder and read it back: a cut of the lineage."""
+def keep(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
+    """Write `df` below the shared folder and read it back: a cut of the lineage.
+
+    `most` is a bound of its rows, of a few numbers each, where it is known: every task writes
+    as many as make a file worth its while. Hadoop forks a process for each file it makes.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    if most is not None:
+        df = df.coalesce(max(1, -(-most // FILE_ROWS)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -65,6 +73,16 @@ def blocks(
         first = last
 
 
+def by_rows(starts: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """First row and end of slices with at most `limit` bytes, or a single row."""
+    first, n = 0, len(starts) - 1
+    while first < n:
+        last = int(np.searchsorted(starts, starts[first] + limit, "right")) - 1
+        last = min(max(last, first + 1), n)
+        yield first, last
+        first = last
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (splitmix64's finish)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -37,22 +37,24 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder, so a lost executor costs one round at most.
     """
     edges = keep(_edges(edges.select("a", "b")), "edges")
+    # no table of any round has more rows: each edge makes one vertex hook at most
+    most = edges.count()
     labels = None
     while True:
-        parents = keep(edges.groupBy("hi").agg(F.min("lo").alias("lo")), "parents")
+        parents = keep(edges.groupBy("hi").agg(F.min("lo").alias("lo")), "parents", most)
         if parents.isEmpty():
             break
         while True:
-            moved = keep(_through(parents.withColumn("was", F.col("lo")), "lo", parents), "parents")
+            moved = keep(_through(parents.withColumn("was", F.col("lo")), "lo", parents), "parents", most)
             parents = moved.select("hi", "lo")
             if moved.filter("lo <> was").isEmpty():
                 break
         old = [] if labels is None else [_through(labels, "component", parents)]
         new = parents.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
         # a vertex hooks once: later it is no root, so the two sides share none
-        labels = keep(old[0].unionByName(new) if old else new, "labels")
+        labels = keep(old[0].unionByName(new) if old else new, "labels", most)
         ends = edges.select(F.col("hi").alias("a"), F.col("lo").alias("b"))
-        edges = keep(_edges(_through(_through(ends, "a", parents), "b", parents)), "edges")
+        edges = keep(_edges(_through(_through(ends, "a", parents), "b", parents)), "edges", most)
     if labels is None:
         labels = edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return labels

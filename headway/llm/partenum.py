@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from headway.llm.common import SpanHash, blocks, keep, mixed, utf8, words
+from headway.llm.common import SpanHash, blocks, by_rows, keep, mixed, utf8, words
 from headway.llm.components import components, labelled
 from headway.llm.sieve import sifted
 
@@ -49,6 +49,17 @@ def shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray,
 
     A text of fewer words has one feature, all of them; one without words has none.
     """
+    rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    # hashing words takes several numbers for each byte
+    for first, end in by_rows(starts):
+        part = data[starts[first] : starts[end]]
+        row, code = slice_shingles(part, starts[first : end + 1] - starts[first], n)
+        rows.append(row + first)
+        found.append(code)
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def slice_shingles(data: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     fold = np.arange(256, dtype=np.uint8)
     fold[65:91] += 32
     data = fold[data]

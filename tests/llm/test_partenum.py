@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from headway.llm import components as components_module
 from headway.llm import partenum
 from headway.llm.components import components
 from headway.llm.queries import op6_jaccard_join
@@ -169,3 +171,41 @@ def test_members_kept_are_all_viable_ones_and_few_others(spark):
     sizes = spark.range(1_000).selectExpr("id AS doc_id", "IF(id % 10 = 0, 4L, 5L) AS asks")
     ids = partenum.viable(members, sizes).groupBy("id").count().collect()
     assert {r.id for r in ids} >= set(range(0, 1_000, 10)) and len(ids) < 110 and all(r["count"] == 4 for r in ids)
+
+
+def test_shingles_of_a_block_take_little_memory():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(0, 5_000, 800)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    data = rng.choice(np.frombuffer(b"abcdefgh \n", np.uint8), starts[-1])
+    tracemalloc.start()
+    found = partenum.shingles(data, starts, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(data)
+    whole = partenum.slice_shingles(data, starts, 5)
+    assert len(whole[0]) > 10_000 and all(np.array_equal(a, b) for a, b in zip(found, whole))
+
+
+def test_small_rounds_are_few_files(spark, monkeypatch):
+    """A table of a round has as many files as its rows need, whatever the number of partitions."""
+    kept, files = components_module.keep, []
+
+    def seen(df, name, *most):
+        found = kept(df, name, *most)
+        files.append((name, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(components_module, "keep", seen)
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        edges = spark.range(2_000).selectExpr("id AS a", "id + IF(id % 100 = 99, 0, 1) AS b")
+        found = {r.id: r.component for r in components(edges).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {i: i - i % 100 for i in range(2_000) if i % 100}
+    assert len(files) > 5 and max(n for _, n in files[1:]) == 1

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -121,3 +122,17 @@ def test_repeated_ids_of_other_texts_and_several_without_one(documents):
         assert found(suffixes.summaries(df)) == expected
         kept = suffixes.without_repeats(df).collect()
         assert b in {r.text for r in kept} or b not in {r[1] for r in rows}
+
+
+def test_regions_of_a_block_take_little_memory():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 5_000, 800)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    data = rng.integers(97, 123, starts[-1]).astype(np.uint8)
+    tracemalloc.start()
+    found = suffixes.regions(data, starts, suffixes.SPAN)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(data)
+    whole = suffixes.slice_regions(data, starts, suffixes.SPAN)
+    assert len(whole[0]) > 10_000 and all(np.array_equal(a, b) for a, b in zip(found, whole))
