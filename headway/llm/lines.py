@@ -195,6 +195,28 @@ def meeting(dealt: DataFrame) -> DataFrame:
     return met.select("a", "b", "of_a", "of_b", support.alias("support"))
 
 
+def opened(placed: DataFrame) -> DataFrame:
+    """Bands with lines of several components, and their number of lines."""
+    found = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    )
+    return found.filter("low <> high").select("band", "n")
+
+
+def open_members(placed: DataFrame, most: int) -> DataFrame:
+    """Lines in `SUPPORT` bands with lines of other components, in those bands.
+
+    Lines with fewer share too few with any of another component. Without them more bands
+    hold a single component, so it is done again.
+    """
+    for _ in range(2):
+        bands = keep(opened(placed).select("band"), "open", most)
+        left = keep(placed.join(bands, "band"), "open-members", most)
+        several = left.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("id")
+        placed = keep(left.join(keep(several, "open-ids", most), "id").select(*placed.columns), "open-members", most)
+    return placed
+
+
 def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Every pair (a, b) that shares `SUPPORT` bands, may be linked and whose ends are in
     different components, `of_a` and `of_b`. `sketches` has the bands of each line, too.
@@ -203,11 +225,10 @@ def crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> Data
     common do not. A band of many lines is dealt into chunks, and each pair of chunks is a
     group of its own.
     """
-    placed = keep(labelled(members, "id", labels, "component"), "placed")
-    open_ = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    ).filter("low <> high")
-    open_ = keep(open_.select("band", F.ceil(F.col("n") / CHUNK).alias("chunks")), "open")
+    most = members.count()
+    placed = open_members(keep(labelled(members, "id", labels, "component"), "placed", most), most)
+    open_ = opened(placed).select("band", F.ceil(F.col("n") / CHUNK).alias("chunks"))
+    open_ = keep(open_, "open", most)
     dealt = placed.join(open_, "band").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
     dealt = dealt.join(sketches, "id").select("band", "id", "component", "chunk", other, *KNOWN, *BAND).select(
@@ -227,7 +248,7 @@ def line_components(documents: DataFrame) -> DataFrame:
     members = keep(sifted(bands, shared, ["band"]).join(shared, "band"), "band-members")
     pairs = members.filter("id <> b").groupBy(F.col("id").alias("a"), "b")
     pairs = keep(pairs.agg(F.count("*").alias("support")), "line-pairs")
-    met = keep(members.select("id").distinct(), "line-met")
+    met = keep(members.select("id").distinct(), "line-met", members.count())
     ids = lines.select("id", "h1", "h2", *(F.col("bands")[i].alias(c) for i, c in enumerate(BAND)))
     ids = keep(sifted(ids, met, ["id"]).join(met, "id"), "line-ids")
     texts = keep(texts_of(documents, ids.select("id", "h1", "h2")), "line-texts")
@@ -235,15 +256,16 @@ def line_components(documents: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         pairs = pairs.join(known(sketches, end), end)
     pairs = keep(pairs.filter(near()).select("a", "b", "support"), "line-near")
-    best = keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best")
+    most = pairs.count()
+    best = keep(pairs.groupBy("a").agg(F.max_by("b", F.struct("support", "b")).alias("b")), "best", most)
     links = keep(similar(texts, best), "line-links")
     labels = components(links)
-    rest = keep(apart(pairs.join(best, ["a", "b"], "left_anti"), labels), "line-rest")
+    rest = keep(apart(pairs.join(best, ["a", "b"], "left_anti"), labels), "line-rest", most)
     if not rest.isEmpty():
         links = keep(links.unionByName(similar(texts, rest)), "line-links")
         labels = components(links)
     # `b` is the smallest id of its bands, so a pair that was tried has it second
-    tried = keep(pairs.select(F.col("a").alias("high"), F.col("b").alias("low")), "line-tried")
+    tried = keep(pairs.select(F.col("a").alias("high"), F.col("b").alias("low")), "line-tried", most)
     cross = crossing(members.select("band", "id"), labels, sketches)
     ordered = [F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")]
     cross = cross.select("*", *ordered).join(tried, ["high", "low"], "left_anti").drop("high", "low")

@@ -272,3 +272,19 @@ def test_a_pair_meets_once(documents, monkeypatch):
     assert all(n == len(bands[a] & bands[b]) >= 2 for (a, b), n in pairs.items())
     several = {frozenset((a, b)) for a in bands for b in bands if a < b and len(bands[a] & bands[b]) >= 2}
     assert several == {frozenset(p) for p in pairs}
+
+
+def test_lines_of_a_single_open_band_are_not_dealt(documents, monkeypatch):
+    """Only lines that could share two bands with a line of another component meet others."""
+    rng = np.random.default_rng(14)
+    words = lambda n: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(n)]
+    head, found, meeting = words(30), [], lines.meeting
+    text = [" ".join(head + words(n)) for n in (7, 20, 30, 40) for _ in range(60)]
+
+    def seen(dealt):
+        found.append([r.n for r in dealt.groupBy("id").agg(F.countDistinct("band").alias("n")).collect()])
+        return meeting(dealt)
+
+    monkeypatch.setattr(lines, "meeting", seen)
+    lines.summaries(documents(list(enumerate(text)))).collect()
+    assert len(found[0]) > 50 and min(found[0]) >= 2
