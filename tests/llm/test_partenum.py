@@ -182,7 +182,7 @@ def test_shingles_of_a_block_take_little_memory():
     found = partenum.shingles(data, starts, 5)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 30 * len(data)
+    assert peak < 15 * len(data)
     whole = partenum.slice_shingles(data, starts, 5)
     assert len(whole[0]) > 10_000 and all(np.array_equal(a, b) for a, b in zip(found, whole))
 
