@@ -30,11 +30,16 @@ def keep(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     if most is not None:
-        df = df.coalesce(max(1, -(-most // FILE_ROWS)))
+        df = few(df, most)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """`df` in no more parts than at most `most` rows of a few numbers make files worth their while."""
+    return df.coalesce(max(1, -(-most // FILE_ROWS)))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, with as many underscores in front as keep it apart from the columns."""
     taken = {c.lower() for c in df.columns}

@@ -60,6 +60,18 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels`, as `components` gives them, with the components that the edges `links` join.
+
+    Only components are vertices here, so it is as much work as there are links.
+    """
+    ends = labelled(labelled(links, "a", labels, "of_a"), "b", labels, "of_b")
+    above = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    old = labelled(labels, "component", above, "above").select("id", F.col("above").alias("component"))
+    # a component's own id has no row of its own before it is joined to a smaller one
+    return keep(old.unionByName(above.select("id", "component")), "labels")
+
+
 def labelled(df: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
     """`df` with the component of `column` as `name`; an id without one is its own."""
     step = labels.select(F.col("id").alias("_id"), F.col("component").alias("_component"))

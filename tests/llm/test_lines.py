@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from headway.llm import lines
+from headway.llm.components import components, merged
 from headway.llm.sieve import sifted
 from headway.llm.queries import op9_line_dedup
 from tests.llm.conftest import EDGES
@@ -288,3 +289,49 @@ def test_lines_of_a_single_open_band_are_not_dealt(documents, monkeypatch):
     monkeypatch.setattr(lines, "meeting", seen)
     lines.summaries(documents(list(enumerate(text)))).collect()
     assert len(found[0]) > 50 and min(found[0]) >= 2
+
+
+def test_the_jvm_compiles_what_compares_a_pair(spark, documents, monkeypatch):
+    """A method of more than 8000 bytes stays interpreted, which takes several times as long for each pair."""
+    sizes, meeting = [], lines.meeting
+
+    def seen(dealt):
+        found = meeting(dealt)
+        parts = found._jdf.queryExecution().debug().codegenToSeq()
+        sizes.extend(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size()))
+        return found
+
+    monkeypatch.setattr(lines, "meeting", seen)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines.line_components(documents([(1, "some line of words\nother"), (2, "some line of word\nother")]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
+
+
+def test_pairs_within_a_joined_component_are_not_compared(spark, monkeypatch):
+    """Ten lines with links among all: nine pairs join them, and the other 36 need not be compared."""
+    compared = []
+
+    def similar(texts, pairs):
+        compared.extend((r.a, r.b) for r in pairs.collect())
+        return pairs
+
+    monkeypatch.setattr(lines, "similar", similar)
+    rows = [(a, b, a, b, 2, 10 * b - a) for a in range(10) for b in range(a)]
+    cross = spark.createDataFrame(rows, "a long, b long, of_a long, of_b long, support long, close long")
+    labels = spark.createDataFrame([], "id long, component long")
+    found = lines.settled(cross, labels, None)
+    assert {(r.id, r.component) for r in found.collect()} == {(i, 0) for i in range(1, 10)}
+    assert len(compared) == len(set(compared)) == 9
+
+
+def test_merged_labels_are_those_of_all_links(spark):
+    rng = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 60, (50, 2)) if a != b]
+    edges = [spark.createDataFrame(part, "a long, b long") for part in (links, links[:20], links[20:])]
+    labels = components(edges[0])
+    found = merged(components(edges[1]), edges[2])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, labels.collect()))
