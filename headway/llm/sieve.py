@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import keep
 
 BITS = 1 << 25  # 4 MB
+WORDS = 512  # of 64 bits in each bitmap of 32,768 bits that Spark makes
 
 
 def _place(columns: list[str]) -> Column:
@@ -23,10 +24,17 @@ def sifted(df: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of `df` that may have an equal in `kept` by the columns, which are not null."""
     place = _place(columns)
     bits = kept.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_at"))
-    bits = keep(bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")), "sieve")
+    bits = bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    # numbers in place of bytes, which Spark can test a bit of without a detour by text
+    word = F.transform(
+        F.sequence(F.lit(1), F.lit(8 * WORDS), F.lit(8)),
+        lambda at: F.conv(F.hex(F.substring("_bits", at, F.lit(8))), 16, -10).cast("long"),
+    )
+    bits = keep(bits.select("_bucket", word.alias("_words")), "sieve")
     marked = df.withColumn("_bucket", F.bitmap_bucket_number(place)).withColumn("_at", F.bitmap_bit_position(place))
     # at most BITS / 8 bytes in rows of 4096
     met = marked.join(F.broadcast(bits), "_bucket")
-    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = met.filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(_at % 8 AS INT))")) != 0)
-    return met.select(*df.columns)
+    # bits count from the lowest of each byte, bytes from the highest of each word
+    turn = F.expr("CAST((_at & 63) ^ 56 AS INT)")
+    bit = F.call_function("shiftright", F.get("_words", F.shiftright("_at", 6).cast("int")), turn).bitwiseAND(1)
+    return met.filter(bit == 1).select(*df.columns)
